@@ -5,7 +5,7 @@ from __future__ import annotations
 import tempfile
 import uuid
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 
 # Results depend on the first one; the others let AQE split a hot join key even
 # where an aggregation on the same key follows the join.
@@ -36,3 +36,14 @@ def work_folder(spark: SparkSession, name: str) -> str:
             raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
         base = tempfile.mkdtemp(prefix="dayfold-")
     return f"{base.rstrip('/')}/{name}-{uuid.uuid4().hex}"
+
+
+def written(df: DataFrame, name: str) -> DataFrame:
+    """``df`` as a table written to the shared folder and read back.
+
+    For a result that several branches use: it is computed once, its size is
+    known to the planner, and a lost executor costs nothing but a re-read.
+    """
+    path = work_folder(df.sparkSession, name)
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
