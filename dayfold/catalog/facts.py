@@ -64,7 +64,7 @@ _ORDER_COLS = ["l_linenumber", "l_partkey", "l_suppkey", "l_quantity", "l_extend
                "l_returnflag", "l_linestatus", "l_shipdate"]
 
 
-def allocated(t: Tables) -> tuple[DataFrame, DataFrame]:
+def allocated(t: Tables, split: HotSplit = DEFAULT) -> tuple[DataFrame, DataFrame]:
     return allocate_header_amount(
         t.lineitem.withColumnRenamed("l_orderkey", "o_orderkey"),
         t.orders,
@@ -72,12 +72,11 @@ def allocated(t: Tables) -> tuple[DataFrame, DataFrame]:
         "o_totalprice",
         "l_extendedprice",
         _ORDER_COLS,
+        split=split,
     )
 
 
-@query(
-    "allocate_header_amount",
-    f"""
+_ALLOCATE_SQL = f"""
     WITH c AS (
         SELECT l.*, CAST(CAST(o_totalprice AS DECIMAL(18,2)) * 100 AS HUGEINT) AS amount,
                CAST(CAST(l_extendedprice AS DECIMAL(16,2)) * 100 AS HUGEINT) AS cents
@@ -91,11 +90,18 @@ def allocated(t: Tables) -> tuple[DataFrame, DataFrame]:
            CAST(CAST(share + CASE WHEN nth = 1 THEN amount - sum(share) OVER (PARTITION BY l_orderkey) ELSE 0 END
                      AS BIGINT) / 100 AS DOUBLE) AS allocated
     FROM s
-    """,
-)
+"""
+_ALLOCATED = ["o_orderkey", "l_linenumber", "l_partkey", "l_suppkey", "allocated"]
+
+
+@query("allocate_header_amount", _ALLOCATE_SQL)
 def shared_order_totals(t: Tables) -> DataFrame:
-    lines, _ = allocated(t)
-    return lines.select("o_orderkey", "l_linenumber", "l_partkey", "l_suppkey", "allocated")
+    return allocated(t)[0].select(_ALLOCATED)
+
+
+@query("allocate_header_amount_split", _ALLOCATE_SQL)
+def shared_order_totals_split(t: Tables) -> DataFrame:
+    return allocated(t, SMALL_CELLS)[0].select(_ALLOCATED)
 
 
 @query(

@@ -46,7 +46,7 @@ def position(col: Column, dtype: T.DataType) -> Column:
     if isinstance(dtype, T.TimestampType):
         return F.unix_seconds(col).cast("double")
     if isinstance(dtype, T.TimestampNTZType):
-        seconds = F.hour(col) * 3600 + F.minute(col) * 60 + F.second(col)
+        seconds = F.hour(col) * 3600 + F.minute(col) * 60 + F.date_part(F.lit("SECOND"), col).cast("double")
         return (F.unix_date(col.cast("date")) * F.lit(86400.0) + seconds).cast("double")
     if isinstance(dtype, (T.DoubleType, T.FloatType)):
         # NaN sorts last; the infinities would spoil the width of a cell.
@@ -57,33 +57,74 @@ def position(col: Column, dtype: T.DataType) -> Column:
     raise TypeError(f"cannot order cells by {dtype.simpleString()}")
 
 
+def group_hash(keys: Sequence[str]) -> Column:
+    """A hash keeps the list of hot groups small whatever the key's type.
+
+    Two groups with one hash are merely treated alike.
+    """
+    return F.xxhash64(*(keys or [F.lit(0)]))
+
+
+def _largest(sizes: DataFrame, split: HotSplit) -> DataFrame:
+    large = sizes.where(F.col("__n") > split.min_rows)
+    return large.orderBy(F.col("__n").desc(), "__group").limit(split.max_groups)
+
+
+class HotGroups:
+    """The hot groups of ``df`` by ``keys``, to be treated apart from the rest."""
+
+    def __init__(self, df: DataFrame, keys: Sequence[str], split: HotSplit = DEFAULT):
+        self.group = group_hash(keys)
+        sizes = df.select(self.group.alias("__group")).groupBy("__group").agg(F.count(F.lit(1)).alias("__n"))
+        # At most max_groups longs.
+        self.hot = F.broadcast(_largest(sizes, split).select("__group"))
+
+    def only(self, df: DataFrame) -> DataFrame:
+        return df.withColumn("__group", self.group).join(self.hot, "__group", "left_semi").drop("__group")
+
+    def rest(self, df: DataFrame) -> DataFrame:
+        return df.withColumn("__group", self.group).join(self.hot, "__group", "left_anti").drop("__group")
+
+
 class Cells:
-    """The hot groups of ``df`` by ``keys``, cut along the column ``order``."""
+    """The hot groups of ``df`` by ``keys``, cut along the column ``order``.
 
-    def __init__(self, df: DataFrame, keys: Sequence[str], order: str, split: HotSplit = DEFAULT):
+    Where ``df`` is itself the outcome of an aggregation, naming its count as
+    ``counted`` keeps that column in use here too. The aggregation then has the
+    same columns wherever it is used, and Spark runs its shuffle just once.
+    """
+
+    def __init__(
+        self,
+        df: DataFrame,
+        keys: Sequence[str],
+        order: str,
+        split: HotSplit = DEFAULT,
+        counted: str | None = None,
+    ):
         self.keys = list(keys)
         self.place = position(F.col(order), df.schema[order].dataType)
-        # A hash keeps the list small whatever the key's type. Two groups with
-        # one hash are merely cut alike.
-        self.group = F.xxhash64(*(self.keys or [F.lit(0)])).alias("__group")
+        self.group = group_hash(self.keys)
         sizes = (
-            df.select(self.group, self.place.alias("__at"))
+            df.select(
+                self.group.alias("__group"),
+                self.place.alias("__at"),
+                (F.col(counted) if counted else F.lit(1).cast("bigint")).alias("__counted"),
+            )
             .groupBy("__group")
             .agg(
                 F.count(F.lit(1)).alias("__n"),
+                F.max("__counted").alias("__most"),
                 F.min("__at").alias("__low"),
                 F.max("__at").alias("__high"),
             )
         )
         pieces = F.ceil(F.col("__n") / F.lit(split.rows_per_cell))
-        hot = (
-            sizes.where((F.col("__n") > split.min_rows) & (F.col("__high") > F.col("__low")))
-            .orderBy(F.col("__n").desc(), "__group")
-            .limit(split.max_groups)
-            .select("__group", "__low", ((F.col("__high") - F.col("__low")) / pieces).alias("__width"))
+        width = (F.col("__high") - F.col("__low")) / pieces
+        # At most max_groups rows of one long and two doubles.
+        self.hot = F.broadcast(
+            _largest(sizes.where("__high > __low AND __most > 0"), split).select("__group", "__low", width.alias("__width"))
         )
-        # At most max_groups rows of fixed width.
-        self.hot = F.broadcast(hot)
 
     def _cell(self) -> Column:
         inside = F.floor((self.place - F.col("__low")) / F.col("__width")).cast("bigint")

@@ -10,7 +10,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from dayfold.functions.columns import day_of, money
-from dayfold.functions.hot import AFTER, BEFORE, DEFAULT, ROW, SEED, Cells, HotSplit, seeded
+from dayfold.functions.hot import AFTER, BEFORE, DEFAULT, ROW, SEED, Cells, HotGroups, HotSplit, seeded
 
 if TYPE_CHECKING:
     from dayfold.operators.dims import Lookup
@@ -48,6 +48,7 @@ def allocate_header_amount(
     weight: str,
     order_cols: Sequence[str],
     out: str = "allocated",
+    split: HotSplit = DEFAULT,
 ) -> tuple[DataFrame, DataFrame]:
     """``(lines with their share, headers without lines)``.
 
@@ -56,32 +57,43 @@ def allocate_header_amount(
     order a header's lines totally, takes what is left, so that lines add up to
     the header exactly. Where the weights add up to zero it takes everything.
 
-    Totals and remainders are aggregated per header below the shuffle and come
-    back by a join that AQE can split, so a header may have any number of lines.
+    Lines and headers meet in one shuffle, and windows over the header then
+    need no other. Headers with very many lines would not fit a window; their
+    few totals are aggregated and broadcast to their lines instead.
     """
     cents = F.coalesce((F.col(weight).cast("decimal(16,2)") * 100).cast("decimal(18,0)"), F.lit(0))
-    last = F.struct(*order_cols)
-    totals = lines.groupBy(key).agg(F.sum(cents).alias("__total"), F.max(last).alias("__last"))
     amounts = header.select(key, (money(amount) * 100).cast("decimal(18,0)").alias("__amount"))
-    heads = amounts.join(totals, key)
-
-    product = F.col("__amount") * cents
+    product = F.col("__amount") * F.col("__cents")
+    size = F.call_function("div", F.abs(product) * 2 + F.abs("__total"), F.abs("__total") * 2)
     share = F.when(F.col("__total") == 0, F.lit(0).cast("bigint")).otherwise(
-        (F.signum(product) * F.signum("__total")).cast("bigint")
-        * F.call_function("div", F.abs(product) * 2 + F.abs("__total"), F.abs("__total") * 2)
-    )
-    rest = (
-        lines.select(key, weight)
-        .join(heads.drop("__last"), key)
-        .groupBy(key)
-        .agg((F.first("__amount") - F.sum(share)).cast("bigint").alias("__rest"))
+        (F.signum(product) * F.signum("__total")).cast("bigint") * size
     )
-    shared = lines.join(heads.join(rest, key), key).withColumn(
-        out,
-        ((share + F.when(last == F.col("__last"), F.col("__rest")).otherwise(0)) / 100).cast("decimal(18,2)"),
+    given = F.col("__share") + F.when(F.col("__is_last"), F.col("__amount") - F.col("__shares")).otherwise(0)
+    result = [*lines.columns, (given / 100).cast("decimal(18,2)").alias(out)]
+    groups = HotGroups(lines, [key], split)
+
+    whole = Window.partitionBy(key)
+    last_first = Window.partitionBy(key).orderBy(*[F.col(c).desc_nulls_last() for c in order_cols])
+    calm = (
+        groups.rest(lines)
+        .join(amounts, key)
+        .withColumn("__cents", cents)
+        .withColumns({"__total": F.sum("__cents").over(whole), "__is_last": F.row_number().over(last_first) == 1})
+        .withColumn("__share", share)
+        .withColumn("__shares", F.sum("__share").over(whole))
     )
+
+    hot = groups.only(lines).withColumn("__cents", cents)
+    last = F.struct(*order_cols)
+    # One row per hot header, of which there are at most split.max_groups.
+    totals = hot.groupBy(key).agg(F.sum("__cents").alias("__total"), F.max(last).alias("__last"))
+    heads = amounts.join(F.broadcast(totals), key)
+    shared = hot.join(F.broadcast(heads), key).withColumn("__share", share)
+    sums = shared.groupBy(key).agg(F.sum("__share").alias("__shares"))
+    busy = shared.join(F.broadcast(sums), key).withColumn("__is_last", last == F.col("__last"))
+
     without = header.join(lines.select(key).distinct(), key, "left_anti")
-    return shared.select(*lines.columns, out), without
+    return calm.select(result).unionByName(busy.select(result)), without
 
 
 def accumulating_snapshot(

@@ -5,6 +5,7 @@ from __future__ import annotations
 from collections.abc import Mapping, Sequence
 from dataclasses import dataclass
 from decimal import Decimal
+from functools import reduce
 from typing import Any
 
 from pyspark.sql import Column, DataFrame, Window
@@ -16,16 +17,35 @@ from dayfold.operators.clean import orphan_rows
 def profile_columns(df: DataFrame, columns: Sequence[str] | None = None, approx: bool = False) -> DataFrame:
     """One row per column: rows, nulls, distinct values, and min and max as text.
 
-    ``approx`` replaces the exact distinct counts, which shuffle every distinct
-    value of every column, by sketches, which shuffle next to nothing.
+    Each column is counted by value on its own, which reads just that column and
+    shuffles each of its values once per map task; everything else follows from
+    the counts. One aggregate with several exact distinct counts would instead
+    copy every row once per column. ``approx`` sketches the distinct counts and
+    so needs a single pass that shuffles next to nothing.
     """
     columns = list(columns or df.columns)
-    distinct = (lambda c: F.approx_count_distinct(c)) if approx else (lambda c: F.count_distinct(F.col(c)))
+    if not approx:
+        parts = []
+        for c in columns:
+            value, n = F.col("__value"), F.col("__n")
+            per_value = df.groupBy(F.col(c).alias("__value")).agg(F.count(F.lit(1)).alias("__n"))
+            zero = F.lit(0).cast("bigint")
+            parts.append(
+                per_value.agg(
+                    F.lit(c).alias("column"),
+                    F.coalesce(F.sum(n), zero).alias("rows"),
+                    F.coalesce(F.sum(F.when(value.isNull(), n)), zero).alias("nulls"),
+                    F.count(value).alias("distinct_values"),
+                    F.min(value).cast("string").alias("min_value"),
+                    F.max(value).cast("string").alias("max_value"),
+                )
+            )
+        return reduce(DataFrame.unionByName, parts)
     aggs = [F.count(F.lit(1)).alias("__rows")]
     for i, c in enumerate(columns):
         aggs += [
             F.count(c).alias(f"__present{i}"),
-            distinct(c).alias(f"__distinct{i}"),
+            F.approx_count_distinct(c).alias(f"__distinct{i}"),
             F.min(c).cast("string").alias(f"__min{i}"),
             F.max(c).cast("string").alias(f"__max{i}"),
         ]
@@ -117,10 +137,7 @@ def rule_audit(df: DataFrame, rules: Mapping[str, Rule]) -> DataFrame:
             continue
         total = F.coalesce(F.sum("__n"), F.lit(0)) if isinstance(rule, References) else F.count(F.lit(1))
         parts.append(bad.agg(F.lit(name).alias("rule"), total.cast("bigint").alias("failures")))
-    out = parts[0]
-    for part in parts[1:]:
-        out = out.unionByName(part)
-    return out
+    return reduce(DataFrame.unionByName, parts)
 
 
 def volume_drift(

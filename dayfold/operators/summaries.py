@@ -9,7 +9,7 @@ from typing import Any
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from dayfold.functions.columns import day_of, period_start
+from dayfold.functions.columns import all_null_safe_equal, day_of, period_start
 from dayfold.functions.hot import BEFORE, DEFAULT, ROW, SEED, Cells, HotSplit, seeded
 
 # How a measure is taken from rows, and how partial results of it are merged.
@@ -230,7 +230,7 @@ def quantile_summary(
         .groupBy(*[F.col(d).alias(k) for d, k in zip(dims, keys)], F.col(col).alias("__value"))
         .agg(F.count(F.lit(1)).alias("__n"))
     )
-    cells = Cells(values, keys, "__value", split)
+    cells = Cells(values, keys, "__value", split, counted="__n")
     earlier = cells.along().rowsBetween(Window.unboundedPreceding, -1)
     seeds = (
         cells.only_hot(values)
@@ -245,17 +245,28 @@ def quantile_summary(
         .withColumn("__upto", F.sum("__n").over(so_far))
         .where(F.col(SEED) == ROW)
     )
+    # Where to look, worked out once per group: the two neighbours of each
+    # quantile's position and how far it lies between them.
+    size = F.col("__size")
+    wanted = {}
+    for i, q in enumerate(quantiles.values()):
+        exact_q = F.lit(Decimal(str(q)))
+        if how == "discrete":
+            wanted[f"__low{i}"] = F.greatest(F.ceil(size * exact_q) - 1, F.lit(0)).cast("bigint")
+        else:
+            at = (size - 1) * exact_q
+            wanted[f"__low{i}"] = F.floor(at).cast("bigint")
+            wanted[f"__high{i}"] = F.ceil(at).cast("bigint")
+            wanted[f"__part{i}"] = (at - F.floor(at)).cast("double")
+    total = F.sum("__n").alias("__size")
     if keys:
-        sizes = values.groupBy(*[F.col(k).alias(f"{k}s") for k in keys]).agg(F.sum("__n").alias("__size"))
-        condition = F.col(keys[0]).eqNullSafe(F.col(f"{keys[0]}s"))
-        for k in keys[1:]:
-            condition = condition & F.col(k).eqNullSafe(F.col(f"{k}s"))
-        placed = placed.join(sizes, condition)
-        size = F.col("__size")
+        sizes = values.groupBy(*[F.col(k).alias(f"{k}s") for k in keys]).agg(total).withColumns(wanted)
+        placed = placed.join(sizes, all_null_safe_equal([(F.col(k), F.col(f"{k}s")) for k in keys]))
+        look = {name: F.col(name) for name in wanted}
     else:
-        size = values.agg(F.sum("__n")).scalar()
-        placed = placed.withColumn("__size", size)
-        size = F.col("__size")
+        one = values.agg(total).withColumns(wanted).select(F.struct(*wanted)).scalar()
+        look = {name: F.col("__look")[name] for name in wanted}
+        placed = placed.withColumn("__look", one)
 
     def value_at(index: Column) -> Column:
         return F.max(
@@ -263,23 +274,16 @@ def quantile_summary(
         )
 
     found, result = [], []
-    for i, (name, q) in enumerate(quantiles.items()):
-        exact_q = F.lit(Decimal(str(q)))
+    for i, name in enumerate(quantiles):
+        low, high, part = (F.col(f"__{c}{i}") for c in ("l", "h", "p"))
+        found.append(value_at(look[f"__low{i}"]).alias(f"__l{i}"))
         if how == "discrete":
-            index = F.greatest(F.ceil(size * exact_q) - 1, F.lit(0))
-            found.append(value_at(index).alias(name))
-            result.append(F.col(name))
+            result.append(low.alias(name))
             continue
-        at = (size - 1) * exact_q
-        found += [
-            value_at(F.floor(at)).cast("double").alias(f"__low{i}"),
-            value_at(F.ceil(at)).cast("double").alias(f"__high{i}"),
-            F.max((at - F.floor(at)).cast("double")).alias(f"__part{i}"),
-        ]
-        low, high, part = (F.col(f"__{c}{i}") for c in ("low", "high", "part"))
-        result.append(
-            F.when(low == high, low).otherwise(low + (high - low) * part).alias(name)
-        )
+        found.append(value_at(look[f"__high{i}"]).alias(f"__h{i}"))
+        found.append(F.max(look[f"__part{i}"]).alias(f"__p{i}"))
+        low, high = low.cast("double"), high.cast("double")
+        result.append(F.when(low == high, low).otherwise(low + (high - low) * part).alias(name))
     return placed.groupBy(*keys).agg(*found).select(*[F.col(k).alias(d) for d, k in zip(dims, keys)], *result)
 
 

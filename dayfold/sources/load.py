@@ -2,9 +2,10 @@
 
 from __future__ import annotations
 
+from datetime import date
 from typing import Any
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -35,6 +36,17 @@ def write_daily_partition(df: DataFrame, path: str, dt_col: str = "dt") -> None:
     )
 
 
+def write_day(df: DataFrame, path: str, day: date, dt_col: str = "dt") -> None:
+    """Replace one day, also when ``df`` has no rows; ``df`` holds that day alone."""
+    df.drop(dt_col).write.mode("overwrite").parquet(f"{path}/{dt_col}={day.isoformat()}")
+
+
+def read_days(spark: SparkSession, path: str, schema: T.StructType, dt_col: str = "dt") -> DataFrame:
+    """The table below ``path``; a filter on its day prunes whole folders."""
+    fields = [f for f in schema.fields if f.name != dt_col]
+    return spark.read.schema(T.StructType([*fields, T.StructField(dt_col, T.DateType())])).parquet(path)
+
+
 def parse_json_column(
     df: DataFrame, col: str, ddl: str, flag: str = "is_malformed", keep_text: bool = False
 ) -> DataFrame:
