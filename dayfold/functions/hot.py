@@ -121,10 +121,14 @@ class Cells:
         )
         pieces = F.ceil(F.col("__n") / F.lit(split.rows_per_cell))
         width = (F.col("__high") - F.col("__low")) / pieces
-        # At most max_groups rows of one long and two doubles.
-        self.hot = F.broadcast(
-            _largest(sizes.where("__high > __low AND __most > 0"), split).select("__group", "__low", width.alias("__width"))
-        )
+        large = _largest(sizes.where("__high > __low AND __most > 0"), split)
+        cuts = large.select("__group", "__low", width.alias("__width"))
+        if self.keys:
+            # At most max_groups rows of one long and two doubles.
+            self.hot = F.broadcast(cuts)
+        else:
+            # A single group: its cuts are one value, and there is no key to join on.
+            self.single = cuts.select(F.struct("__low", "__width")).scalar()
 
     def _cell(self) -> Column:
         inside = F.floor((self.place - F.col("__low")) / F.col("__width")).cast("bigint")
@@ -134,19 +138,19 @@ class Cells:
     def mark(self, df: DataFrame) -> DataFrame:
         """All rows of ``df`` with their cell; groups that are not hot have one cell."""
         cell = F.when(F.col("__low").isNull(), F.lit(0).cast("bigint")).otherwise(self._cell())
-        return (
-            df.withColumn("__group", self.group)
-            .join(self.hot, "__group", "left")
-            .select(*[F.col(c) for c in df.columns], cell.alias(CELL))
-        )
+        return self._with_cuts(df, "left").select(*[F.col(c) for c in df.columns], cell.alias(CELL))
 
     def only_hot(self, df: DataFrame) -> DataFrame:
         """The rows of hot groups alone, with their cell."""
-        return (
-            df.withColumn("__group", self.group)
-            .join(self.hot, "__group", "inner")
-            .select(*[F.col(c) for c in df.columns], self._cell().alias(CELL))
+        return self._with_cuts(df, "inner").select(*[F.col(c) for c in df.columns], self._cell().alias(CELL))
+
+    def _with_cuts(self, df: DataFrame, how: str) -> DataFrame:
+        if self.keys:
+            return df.withColumn("__group", self.group).join(self.hot, "__group", how)
+        found = df.withColumn("__cuts", self.single).withColumns(
+            {"__low": F.col("__cuts.__low"), "__width": F.col("__cuts.__width")}
         )
+        return found if how == "left" else found.where("__low IS NOT NULL")
 
     def rows(self) -> WindowSpec:
         """Window partition for rows: one cell of one group."""

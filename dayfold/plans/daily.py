@@ -22,7 +22,6 @@ from datetime import date, timedelta
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
 from dayfold.functions.columns import day_of, money
 from dayfold.operators.clean import latest_by_key, split_valid
@@ -31,10 +30,8 @@ from dayfold.operators.facts import transaction_fact
 from dayfold.operators.summaries import daily_summary, to_date_merge
 from dayfold.sources.load import load_increment, read_days, write_day
 
-TO_DATE = T.StructType.fromDDL(
-    "o_custkey bigint, first_day date, last_day date, lines bigint, net_sales decimal(28,4)"
-)
-VERSION = T.StructType.fromDDL(
+TO_DATE = "o_custkey bigint, first_day date, last_day date, lines bigint, net_sales decimal(28,4)"
+VERSION = (
     "o_custkey bigint, o_orderpriority string, valid_from timestamp_ntz, valid_to timestamp_ntz, is_current boolean"
 )
 
@@ -50,7 +47,7 @@ class Warehouse:
     def table(self, name: str) -> str:
         return f"{self.path}/{name}"
 
-    def state(self, name: str, schema: T.StructType, day: date | None) -> DataFrame:
+    def state(self, name: str, schema: str, day: date | None) -> DataFrame:
         """What the run of ``day`` left; empty before the first run."""
         if day is None:
             return self.spark.createDataFrame([], schema)

@@ -41,8 +41,10 @@ def write_day(df: DataFrame, path: str, day: date, dt_col: str = "dt") -> None:
     df.drop(dt_col).write.mode("overwrite").parquet(f"{path}/{dt_col}={day.isoformat()}")
 
 
-def read_days(spark: SparkSession, path: str, schema: T.StructType, dt_col: str = "dt") -> DataFrame:
+def read_days(spark: SparkSession, path: str, schema: T.StructType | str, dt_col: str = "dt") -> DataFrame:
     """The table below ``path``; a filter on its day prunes whole folders."""
+    if isinstance(schema, str):
+        schema = T.StructType.fromDDL(schema)
     fields = [f for f in schema.fields if f.name != dt_col]
     return spark.read.schema(T.StructType([*fields, T.StructField(dt_col, T.DateType())])).parquet(path)
 
