@@ -26,9 +26,10 @@ BEFORE, ROW, AFTER = 0, 1, 2
 class HotSplit:
     """When a group counts as hot, and how finely it is cut.
 
-    ``max_groups`` bounds the broadcast list of hot groups (three longs each).
-    Beyond it the largest groups are split and the others stay whole, which
-    changes the speed but not the result.
+    ``max_groups`` bounds the broadcast list of hot groups (a hash and at most
+    two doubles each). Beyond it the largest groups are split and the others
+    stay whole, which changes the speed but not the result. With 0 nothing is
+    split and the pass that looks for hot groups is left out.
     """
 
     min_rows: int = 1_000_000
@@ -37,6 +38,7 @@ class HotSplit:
 
 
 DEFAULT = HotSplit()
+NO_SPLIT = HotSplit(max_groups=0)
 
 
 def position(col: Column, dtype: T.DataType) -> Column:
@@ -167,3 +169,8 @@ def seeded(rows: DataFrame, *seeds: tuple[DataFrame, int]) -> DataFrame:
     for seed, place in seeds:
         out = out.unionByName(seed.withColumn(SEED, F.lit(place)), allowMissingColumns=True)
     return out
+
+
+def in_one_cell(rows: DataFrame) -> DataFrame:
+    """Rows of groups that are not split."""
+    return rows.withColumn(CELL, F.lit(0).cast("bigint"))

@@ -10,7 +10,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from dayfold.functions.columns import all_null_safe_equal
-from dayfold.functions.hot import AFTER, BEFORE, DEFAULT, ROW, SEED, Cells, HotSplit, seeded
+from dayfold.functions.hot import AFTER, BEFORE, CELL, DEFAULT, ROW, SEED, Cells, HotSplit, seeded
 from dayfold.operators.clean import latest_by_key
 from dayfold.operators.facts import asof_join
 
@@ -101,7 +101,7 @@ def scd2_build(
     # What a cell of a hot key must know: the state it starts from ...
     hot = cells.only_hot(rows).withColumn("__state", state)
     start = (
-        hot.groupBy(*keys, "__cell")
+        hot.groupBy(*keys, CELL)
         .agg(F.max_by("__state", ts).alias("__state"))
         .withColumn("__state", F.lag("__state").over(cells.along()))
         .where("__state IS NOT NULL")
@@ -110,7 +110,7 @@ def scd2_build(
     end = (
         real_changes(seeded(hot, (start, BEFORE)))
         .where(F.col(SEED) == ROW)
-        .groupBy(*keys, "__cell")
+        .groupBy(*keys, CELL)
         .agg(F.min(ts).alias(ts))
         .withColumn(ts, F.lead(ts).over(cells.along()))
         .where(F.col(ts).isNotNull())

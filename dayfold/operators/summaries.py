@@ -10,7 +10,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from dayfold.functions.columns import all_null_safe_equal, day_of, period_start
-from dayfold.functions.hot import BEFORE, DEFAULT, ROW, SEED, Cells, HotSplit, seeded
+from dayfold.functions.hot import BEFORE, CELL, DEFAULT, ROW, SEED, Cells, HotSplit, seeded
 
 # How a measure is taken from rows, and how partial results of it are merged.
 TAKE = {"sum": F.sum, "count": F.count, "min": F.min, "max": F.max}
@@ -234,7 +234,7 @@ def quantile_summary(
     earlier = cells.along().rowsBetween(Window.unboundedPreceding, -1)
     seeds = (
         cells.only_hot(values)
-        .groupBy(*keys, "__cell")
+        .groupBy(*keys, CELL)
         .agg(F.sum("__n").alias("__n"))
         .withColumn("__n", F.sum("__n").over(earlier))
         .where("__n IS NOT NULL")

@@ -154,3 +154,33 @@ def test_cells_really_split(spark):
     assert max(r.n for r in per_cell if r.k) <= 101 and len([r for r in per_cell if r.k]) >= 8
     assert [r.n for r in per_cell if not r.k] == [200]
     assert cells.only_hot(df).count() == 800
+
+
+def copies(spark, n):
+    """One event ``n`` times, and a few others of the same user."""
+    schema = "id int, user int, ts timestamp_ntz"
+    others = spark.createDataFrame([(i, 1, START + timedelta(hours=i)) for i in range(1, 5)], schema)
+    same = spark.range(n).selectExpr("0 AS id", "1 AS user", "timestamp_ntz'2024-01-01 02:30:00' AS ts")
+    return others.union(same)
+
+
+@pytest.mark.parametrize("split", [HotSplit(), HotSplit(min_rows=50, rows_per_cell=10)])
+def test_copies_of_one_event(spark, split):
+    df = copies(spark, 500)
+    sessions = sessionize(df, "user", "ts", timedelta(minutes=45), split=split)
+    counts = {r.session_no: r["count"] for r in sessions.groupBy("session_no").count().collect()}
+    assert counts == {1: 1, 2: 502, 3: 1}
+    out = asof_join(df, df.where("id > 0"), ["user"], "ts", split=split).groupBy("id", "id_right").count()
+    assert {(r.id, r.id_right): r["count"] for r in out.collect()} == {(0, 2): 500, **{(i, i): 1 for i in range(1, 5)}}
+    out = asof_join(df.where("id > 0"), df, ["user"], "ts", ["id"], split=split)
+    assert {r.id: r.id_right for r in out.collect()} == {1: 1, 2: 2, 3: 3, 4: 4}
+    late = df.where("id = 1").withColumn("ts", F.expr("ts + INTERVAL '100' MINUTES"))
+    assert asof_join(late, df, ["user"], "ts", ["id"], split=split).first().id_right == 0
+
+
+def test_no_split_needs_no_first_pass(spark):
+    from dayfold.functions.hot import NO_SPLIT
+
+    df = copies(spark, 5)
+    plan = sessionize(df, "user", "ts", GAP, split=NO_SPLIT)._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("Exchange") == 1
