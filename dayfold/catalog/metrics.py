@@ -93,9 +93,7 @@ def user_streaks(t: Tables) -> DataFrame:
     return streaks(t.events, "user_id", "ts")
 
 
-@query(
-    "funnel",
-    """
+_FUNNEL_SQL = """
     WITH v AS (SELECT user_id, min(ts) AS t1 FROM events WHERE event_type = 'view' GROUP BY user_id),
     c AS (SELECT v.user_id, t1, min(ts) AS t2 FROM v JOIN events e ON e.user_id = v.user_id
           WHERE event_type = 'click' AND ts > t1 AND ts <= t1 + INTERVAL 24 HOUR GROUP BY ALL),
@@ -104,11 +102,22 @@ def user_streaks(t: Tables) -> DataFrame:
     SELECT CAST(1 AS BIGINT) AS step, 'view' AS kind, (SELECT count(*) FROM v) AS ids
     UNION ALL SELECT 2, 'click', (SELECT count(*) FROM c)
     UNION ALL SELECT 3, 'purchase', (SELECT count(*) FROM p)
-    """,
-)
-def purchase_funnel(t: Tables) -> DataFrame:
+"""
+
+
+def _funnel(t: Tables, split: HotSplit = DEFAULT) -> DataFrame:
     steps = ["view", "click", "purchase"]
-    return funnel(t.events, "user_id", "ts", "event_type", steps, timedelta(hours=24))
+    return funnel(t.events, "user_id", "ts", "event_type", steps, timedelta(hours=24), split)
+
+
+@query("funnel", _FUNNEL_SQL)
+def purchase_funnel(t: Tables) -> DataFrame:
+    return _funnel(t)
+
+
+@query("funnel_split", _FUNNEL_SQL)
+def purchase_funnel_split(t: Tables) -> DataFrame:
+    return _funnel(t, SMALL_CELLS)
 
 
 _TOP_SQL = """

@@ -87,6 +87,11 @@ class HotGroups:
     def rest(self, df: DataFrame) -> DataFrame:
         return df.withColumn("__group", self.group).join(self.hot, "__group", "left_anti").drop("__group")
 
+    def flag(self, df: DataFrame, name: str) -> DataFrame:
+        """All rows, with TRUE for hot groups and NULL for the others."""
+        hot = F.broadcast(self.hot.withColumn(name, F.lit(True)))
+        return df.withColumn("__group", self.group).join(hot, "__group", "left").drop("__group")
+
 
 class Cells:
     """The hot groups of ``df`` by ``keys``, cut along the column ``order``.

@@ -91,7 +91,9 @@ def allocate_header_amount(
         groups.rest(lines)
         .join(amounts, key)
         .withColumn("__cents", cents)
-        .withColumns({"__total": F.sum("__cents").over(whole), "__is_last": F.row_number().over(last_first) == 1})
+        # The ordered window comes first: its sort serves the other two.
+        .withColumn("__is_last", F.row_number().over(last_first) == 1)
+        .withColumn("__total", F.sum("__cents").over(whole))
         .withColumn("__share", share)
         .withColumn("__shares", F.sum("__share").over(whole))
     )

@@ -10,7 +10,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from dayfold.functions.columns import day_of, money, period_index, period_start
-from dayfold.functions.hot import DEFAULT, HotSplit
+from dayfold.functions.hot import DEFAULT, HotGroups, HotSplit
 from dayfold.operators.facts import next_event
 from dayfold.operators.summaries import quantile_summary
 
@@ -101,28 +101,45 @@ def streaks(events: DataFrame, id_col: str, ts: str) -> DataFrame:
 
 
 def funnel(
-    events: DataFrame, id_col: str, ts: str, kind: str, steps: Sequence[str], within: timedelta
+    events: DataFrame,
+    id_col: str,
+    ts: str,
+    kind: str,
+    steps: Sequence[str],
+    within: timedelta,
+    split: HotSplit = DEFAULT,
+    lanes: int = 256,
 ) -> DataFrame:
     """Ids that reach each step.
 
     A run starts at the id's first event of step one; each further step is the
     earliest strictly later event of its kind, at most ``within`` after the start.
+
+    The events of an id with very many are spread over ``lanes``, to each of
+    which the id's one row of progress is copied.
     """
-    per_step = [
-        events.where((F.col(kind) == step) & F.col(id_col).isNotNull()).select(id_col, F.col(ts).alias("__ts"))
-        for step in steps
-    ]
-    state = per_step[0].groupBy(id_col).agg(F.min("__ts").alias("__at0"))
-    for i, candidates in enumerate(per_step[1:], start=1):
-        later = (F.col("__ts") > F.col(f"__at{i - 1}")) & (F.col("__ts") <= F.col("__at0") + F.lit(within))
-        # Inner join: AQE may split a hot id's events over several tasks.
-        reached = (
-            candidates.join(state.select(id_col, "__at0", f"__at{i - 1}"), id_col)
-            .where(later)
+    used = events.where(F.col(kind).isin(list(steps)) & F.col(id_col).isNotNull()).select(id_col, ts, kind)
+    groups = HotGroups(used, [id_col], split)
+
+    def of(step: str) -> DataFrame:
+        return used.where(F.col(kind) == step).select(id_col, F.col(ts).alias("__ts"))
+
+    state = of(steps[0]).groupBy(id_col).agg(F.min("__ts").alias("__at0"))
+    for i, step in enumerate(steps[1:], start=1):
+        done = [f"__at{n}" for n in range(i)]
+        lane = F.pmod(F.xxhash64("__ts"), F.lit(lanes)).cast("int")
+        candidates = groups.flag(of(step), "__hot").select(
+            F.col(id_col).alias("__id"), "__ts", F.when(F.col("__hot"), lane).otherwise(0).alias("__event_lane")
+        )
+        copies = F.when(F.col("__hot"), F.sequence(F.lit(0), F.lit(lanes - 1))).otherwise(F.array(F.lit(0)))
+        spread = groups.flag(state, "__hot").select(id_col, *done, F.explode(copies).alias("__lane"))
+        later = (F.col("__ts") > F.col(done[-1])) & (F.col("__ts") <= F.col("__at0") + F.lit(within))
+        same = (F.col(id_col) == F.col("__id")) & (F.col("__lane") == F.col("__event_lane"))
+        state = (
+            spread.join(candidates, same & later, "left")
             .groupBy(id_col)
-            .agg(F.min("__ts").alias(f"__at{i}"))
+            .agg(*[F.min(c).alias(c) for c in done], F.min("__ts").alias(f"__at{i}"))
         )
-        state = state.join(reached, id_col, "left")
     counts = state.agg(*[F.count(f"__at{i}").alias(f"__at{i}") for i in range(len(steps))])
     rows = F.array(
         *[

@@ -67,7 +67,8 @@ def test_streaks_across_a_month_end(spark):
     ]
 
 
-def test_funnel(spark):
+@pytest.mark.parametrize("split", [HotSplit(), HotSplit(min_rows=2)])
+def test_funnel(spark, split):
     def at(hours):
         return START + timedelta(hours=hours)
 
@@ -79,7 +80,7 @@ def test_funnel(spark):
         (None, at(0), "a"),
     ]
     df = spark.createDataFrame(events, "id int, ts timestamp_ntz, kind string")
-    out = rows(funnel(df, "id", "ts", "kind", ["a", "b", "c"], timedelta(hours=24)))
+    out = rows(funnel(df, "id", "ts", "kind", ["a", "b", "c"], timedelta(hours=24), split))
     assert out == [(1, "a", 3), (2, "b", 2), (3, "c", 1)]
 
 

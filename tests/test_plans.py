@@ -17,6 +17,7 @@ from dayfold.sources.tables import read_table
 # Aggregates over everything, or over a handful of rows such as a funnel's counts.
 ONE_ROW = {
     "funnel",
+    "funnel_split",
     "profile_columns",
     "reconcile",
     "reconcile_rows",
