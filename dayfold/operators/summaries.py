@@ -292,10 +292,11 @@ def pivot_summary(
 ) -> DataFrame:
     """One column per value of ``col``; values are listed, so no job looks them up.
 
-    The column is aggregated by (rows, col) first and only then spread. Rows
-    that have none of the listed values are not shown.
+    The column is aggregated by (rows, col) first and only then spread. Values
+    that are not listed count as NULL there; rows with no others are kept.
     """
-    fine = df.where(F.col(col).isin(list(values))).groupBy(*rows, col).agg(*take_measures({"__m": measure}))
+    listed = F.when(F.col(col).isin(list(values)), F.col(col)).alias(col)
+    fine = df.groupBy(*rows, listed).agg(*take_measures({"__m": measure}))
     return fine.groupBy(*rows).pivot(col, list(values)).agg(*merge_measures({"__m": measure}))
 
 

@@ -54,18 +54,21 @@ def parse_json_column(
 ) -> DataFrame:
     """Replace JSON text by typed fields.
 
-    Text that does not parse, or a field of the wrong type, gives NULL there and
-    sets ``flag``. A NULL text gives NULL fields and is not malformed.
+    Text that is not a JSON object, or a field of the wrong type, gives NULL
+    there and sets ``flag``. A NULL text gives NULL fields and is not malformed.
+    What follows a complete object is ignored, as Spark's parser stops there.
     """
     fields = T.StructType.fromDDL(ddl).fields
     parsed = F.from_json(
         F.col(col),
         T.StructType([*fields, T.StructField("__bad", T.StringType())]),
-        {"mode": "PERMISSIVE", "columnNameOfCorruptRecord": "__bad"},
+        {"mode": "PERMISSIVE", "columnNameOfCorruptRecord": "__bad", "allowSingleQuotes": "false"},
     )
     kept = [c for c in df.columns if keep_text or c != col]
-    return df.select(*kept, parsed.alias("__json")).select(
+    # Empty text parses to a NULL struct.
+    is_bad = F.col("__json").getField("__bad").isNotNull() | (F.col("__json").isNull() & F.col("__given"))
+    return df.select(*kept, parsed.alias("__json"), F.col(col).isNotNull().alias("__given")).select(
         *kept,
         *[F.col("__json").getField(f.name).alias(f.name) for f in fields],
-        F.coalesce(F.col("__json").getField("__bad").isNotNull(), F.lit(False)).alias(flag),
+        is_bad.alias(flag),
     )

@@ -55,6 +55,10 @@ def test_json(spark):
         (3, '{"s": "y"}'),
         (4, '{"k": "five", "s": "z"}'),
         (5, None),
+        (6, " "),
+        (7, "[1]"),
+        (8, "{'k': 1}"),
+        (9, "{}"),
     ]
     df = spark.createDataFrame(rows, "id int, body string")
     out = {r.id: (r.k, r.s, r.is_malformed) for r in parse_json_column(df, "body", "k int, s string").collect()}
@@ -62,7 +66,8 @@ def test_json(spark):
     assert out[2] == (None, None, True)
     assert out[3] == (None, "y", False)
     assert out[4] == (None, "z", True)
-    assert out[5] == (None, None, False)
+    assert out[5] == out[9] == (None, None, False)
+    assert out[6] == out[7] == out[8] == (None, None, True)
     assert parse_json_column(df, "body", "k int", keep_text=True).columns == ["id", "body", "k", "is_malformed"]
 
 

@@ -154,6 +154,6 @@ def test_pivot_and_back(spark):
     data = [("r1", "a", 1), ("r1", "a", 2), ("r1", "b", 5), ("r2", "c", 7), ("r3", "a", None), (None, "a", 3)]
     df = spark.createDataFrame(data, "r string, c string, v int")
     wide = pivot_summary(df, ["r"], "c", ["a", "b"], ("sum", "v"))
-    assert rows(wide) == sorted([("r1", 3, 5), ("r3", None, None), (None, 3, None)], key=str)
+    assert rows(wide) == sorted([("r1", 3, 5), ("r2", None, None), ("r3", None, None), (None, 3, None)], key=str)
     back = unpivot_summary(wide, ["r"], ["a", "b"], "c", "v")
     assert rows(back) == sorted([("r1", "a", 3), ("r1", "b", 5), (None, "a", 3)], key=str)
