@@ -15,11 +15,10 @@ from dayfold.operators.dims import Lookup
 from dayfold.operators.facts import (
     accumulating_snapshot,
     allocate_header_amount,
-    asof_join,
     periodic_snapshot,
-    sessionize,
     transaction_fact,
 )
+from dayfold.operators.sequence import asof_join, sessionize
 
 NET_SQL = "CAST(l_extendedprice AS DECIMAL(18,2)) * (1 - CAST(l_discount AS DECIMAL(4,2)))"
 CUSTOMER_SQL = """

@@ -12,7 +12,7 @@ from pyspark.sql import functions as F
 from dayfold.functions.columns import all_null_safe_equal
 from dayfold.functions.hot import AFTER, BEFORE, CELL, DEFAULT, ROW, SEED, Cells, HotSplit, seeded
 from dayfold.operators.clean import latest_by_key
-from dayfold.operators.facts import asof_join
+from dayfold.operators.sequence import asof_join
 
 OPEN_END = "9999-12-31"
 
@@ -191,7 +191,7 @@ def scd2_lookup(
     also checks the validity, so a small history is broadcast and the fact not
     shuffled. A key with more than ``max_versions`` versions would make that
     join compare each of its fact rows with all of them; those keys go through
-    :func:`~dayfold.operators.facts.asof_join`, which reads each row once.
+    :func:`~dayfold.operators.sequence.asof_join`, which reads each row once.
     """
     unknown = unknown or {}
     facts, dims = list(keys), list(keys.values())

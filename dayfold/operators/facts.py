@@ -1,32 +1,16 @@
-"""Facts at transaction, snapshot, session and as-of grain."""
+"""Facts at transaction and snapshot grain."""
 
 from __future__ import annotations
 
 from collections.abc import Sequence
-from datetime import timedelta
-from typing import TYPE_CHECKING, Any
+from typing import Any
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from dayfold.functions.columns import all_null_safe_equal, day_of, money
-from dayfold.functions.hot import (
-    AFTER,
-    BEFORE,
-    CELL,
-    DEFAULT,
-    ROW,
-    SEED,
-    Cells,
-    HotGroups,
-    HotSplit,
-    in_one_cell,
-    seeded,
-)
-from dayfold.operators.clean import latest_by_key
-
-if TYPE_CHECKING:
-    from dayfold.operators.dims import Lookup
+from dayfold.functions.columns import day_of, money
+from dayfold.functions.hot import DEFAULT, HotGroups, HotSplit
+from dayfold.operators.dims import Lookup, denormalize_dim
 
 
 def transaction_fact(
@@ -43,8 +27,6 @@ def transaction_fact(
     Lookups on header columns are joined to the header first: it has fewer rows
     than the lines, and the one large shuffle is then lines against header.
     """
-    from dayfold.operators.dims import denormalize_dim
-
     head = header.select(F.col(header_key).alias("__header"), *header_cols)
     head = denormalize_dim(head, lookups).select(
         "__header", *header_cols, *[name for lookup in lookups for name in lookup.take]
@@ -135,184 +117,3 @@ def periodic_snapshot(history: DataFrame, start: Any, end: Any, day: str = "dt")
     last = F.least(F.date_sub(day_of("valid_to"), 1), F.lit(end).cast("date"))
     kept = [c for c in history.columns if c not in ("valid_from", "valid_to", "is_current")]
     return history.where(first <= last).select(*kept, F.explode(F.sequence(first, last)).alias(day))
-
-
-def sessionize(
-    events: DataFrame,
-    user: str,
-    ts: str,
-    gap: timedelta,
-    out: str = "session_no",
-    split: HotSplit = DEFAULT,
-) -> DataFrame:
-    """Number each user's sessions; a wait *longer than* ``gap`` opens a new one.
-
-    Events without a time belong to no session and get NULL.
-
-    Sessions depend on the distinct times of a user alone. For users with very
-    many events they are therefore found on those times, in cells, and joined
-    back; copies of one event are combined before they are shuffled.
-    """
-    groups = HotGroups(events, [user], split)
-    calm = _number_sessions(seeded(in_one_cell(groups.rest(events))), user, ts, gap, out)
-
-    times = groups.only(events.select(user, ts).where(F.col(ts).isNotNull())).distinct()
-    numbered = _sessions_in_cells(times, user, ts, gap, split)
-    same = all_null_safe_equal([(F.col(user), F.col("__user")), (F.col(ts), F.col("__ts"))])
-    busy = groups.only(events).join(
-        numbered.select(F.col(user).alias("__user"), F.col(ts).alias("__ts"), F.col("session_no").alias(out)),
-        same,
-        "left",
-    )
-    return calm.select(*events.columns, out).unionByName(busy.select(*events.columns, out))
-
-
-def _opens(previous: Column, now: Column, gap: timedelta) -> Column:
-    return (now.isNotNull() & (previous.isNull() | (now - previous > F.lit(gap)))).cast("bigint")
-
-
-def _number_sessions(rows: DataFrame, user: str, ts: str, gap: timedelta, out: str) -> DataFrame:
-    """A seed has the last time before its cell and, as ``__opened``, the sessions before it."""
-    in_order = Window.partitionBy(user, CELL).orderBy(SEED, ts)
-    so_far = in_order.rowsBetween(Window.unboundedPreceding, 0)
-    step = _opens(F.col("__prev"), F.col(ts), gap)
-    if "__opened" in rows.columns:
-        step = F.when(F.col(SEED) == ROW, step).otherwise(F.col("__opened"))
-    return (
-        rows.withColumn("__prev", F.lag(ts).over(in_order))
-        .withColumn("__step", step)
-        .withColumn("__number", F.sum("__step").over(so_far))
-        .where(F.col(SEED) == ROW)
-        .withColumn(out, F.when(F.col(ts).isNotNull(), F.col("__number")))
-    )
-
-
-def _sessions_in_cells(times: DataFrame, user: str, ts: str, gap: timedelta, split: HotSplit) -> DataFrame:
-    cells = Cells(times, [user], ts, split)
-    # Per cell: sessions opened inside it, first and last time.
-    inside = cells.only_hot(times).withColumn("__prev", F.lag(ts).over(cells.rows().orderBy(ts)))
-    per_cell = inside.groupBy(user, CELL).agg(
-        F.sum(F.when(F.col("__prev").isNull(), 0).otherwise(_opens(F.col("__prev"), F.col(ts), gap))).alias("__inner"),
-        F.min(ts).alias("__first"),
-        F.max(ts).alias("__last"),
-    )
-    linked = per_cell.withColumn("__prev", F.lag("__last").over(cells.along())).withColumn(
-        "__opened", F.col("__inner") + _opens(F.col("__prev"), F.col("__first"), gap)
-    )
-    earlier = cells.along().rowsBetween(Window.unboundedPreceding, -1)
-    seeds = linked.select(
-        user, CELL, F.col("__prev").alias(ts), F.sum("__opened").over(earlier).alias("__opened")
-    ).where("__opened IS NOT NULL")
-    return _number_sessions(seeded(cells.mark(times), (seeds, BEFORE)), user, ts, gap, "session_no")
-
-
-def next_event(
-    events: DataFrame,
-    user: str,
-    ts: str,
-    values: Sequence[str],
-    tiebreak: Sequence[str] = (),
-    out: str = "next",
-    split: HotSplit = DEFAULT,
-) -> DataFrame:
-    """Each event with a struct of the user's next event (its time and ``values``)."""
-    cells = Cells(events, [user], ts, split)
-    here = F.struct(ts, *values)
-    order = [ts, *tiebreak]
-    hot = cells.only_hot(events.select(*dict.fromkeys([user, *order, *values])))
-    seeds = (
-        hot.groupBy(user, CELL)
-        .agg(F.min_by(here, F.struct(*order)).alias("__here"))
-        .withColumn("__here", F.lead("__here").over(cells.along()))
-        .where("__here IS NOT NULL")
-    )
-    rows = seeded(cells.mark(events).withColumn("__here", here), (seeds, AFTER))
-    in_order = cells.rows().orderBy(SEED, *order)
-    return (
-        rows.withColumn(out, F.lead("__here").over(in_order))
-        .where(F.col(SEED) == ROW)
-        .select(*events.columns, out)
-    )
-
-
-def asof_join(
-    left: DataFrame,
-    right: DataFrame,
-    by: Sequence[str],
-    ts: str,
-    tiebreak: Sequence[str] = (),
-    suffix: str = "_right",
-    split: HotSplit = DEFAULT,
-) -> DataFrame:
-    """Each left row with the last right row at or before it, per ``by``.
-
-    Equal times match; of several right rows at one time the last by
-    ``tiebreak`` counts. A left row without a match, or with a NULL key or
-    time, is kept with NULLs. Right columns that exist on the left get
-    ``suffix``.
-
-    Both sides are stacked and sorted, so every row is read once and no pairs
-    are formed. For keys with very many rows the match is found for the distinct
-    left times, in cells, and joined back.
-    """
-    taken = [c for c in right.columns if c not in by]
-    names = {c: c + suffix if c in left.columns else c for c in taken}
-    match = F.struct(*[F.col(c).alias(name) for c, name in names.items()])
-    order = [f"__t{i}" for i in range(len(tiebreak))]
-    has_key = F.lit(True)
-    for key in by:
-        has_key = has_key & F.col(key).isNotNull()
-
-    lefts = left.select(*by, F.col(ts).alias("__ts"), F.struct(*left.columns).alias("__left"))
-    rights = right.where(has_key & F.col(ts).isNotNull()).select(
-        *by,
-        F.col(ts).alias("__ts"),
-        *[F.col(c).alias(name) for c, name in zip(tiebreak, order)],
-        match.alias("__match"),
-    )
-    groups = HotGroups(left.select(*by).unionAll(right.select(*by)), by, split)
-    calm = _last_before(in_one_cell(_stacked(groups.rest(lefts), groups.rest(rights))), by, order)
-
-    times = groups.only(lefts.select(*by, "__ts").where(has_key & F.col("__ts").isNotNull())).distinct()
-    newest = latest_by_key(groups.only(rights), [*by, "__ts"], order or ["__ts"])
-    found = _last_before_in_cells(_stacked(times, newest), by, order, split)
-    pairs = [(F.col(c), F.col(f"__f{i}")) for i, c in enumerate([*by, "__ts"])]
-    found = found.select(*[F.col(c).alias(f"__f{i}") for i, c in enumerate([*by, "__ts"])], "__found")
-    busy = groups.only(lefts).join(found, all_null_safe_equal(pairs), "left")
-
-    out = calm.select(*by, "__ts", "__left", "__found").unionByName(busy.select(*by, "__ts", "__left", "__found"))
-    return out.withColumn("__found", F.when(has_key & F.col("__ts").isNotNull(), F.col("__found"))).select(
-        "__left.*", *[F.col("__found")[name].alias(name) for name in names.values()]
-    )
-
-
-def _stacked(lefts: DataFrame, rights: DataFrame) -> DataFrame:
-    """Right rows are side 0, so that they sort before left rows of the same time."""
-    return rights.withColumn("__side", F.lit(0)).unionByName(
-        lefts.withColumn("__side", F.lit(1)), allowMissingColumns=True
-    )
-
-
-def _last_before(rows: DataFrame, by: Sequence[str], order: Sequence[str], *seeds: tuple[DataFrame, int]) -> DataFrame:
-    in_order = Window.partitionBy(*by, CELL).orderBy(SEED, "__ts", "__side", *order)
-    so_far = in_order.rowsBetween(Window.unboundedPreceding, 0)
-    return (
-        seeded(rows, *seeds)
-        .withColumn("__found", F.last("__match", ignorenulls=True).over(so_far))
-        .where((F.col(SEED) == ROW) & (F.col("__side") == 1))
-    )
-
-
-def _last_before_in_cells(rows: DataFrame, by: Sequence[str], order: Sequence[str], split: HotSplit) -> DataFrame:
-    cells = Cells(rows, by, "__ts", split)
-    earlier = cells.along().rowsBetween(Window.unboundedPreceding, -1)
-    # Times are distinct on the right by now, so they alone tell the last row of a cell.
-    right_time = F.when(F.col("__side") == 0, F.col("__ts"))
-    seeds = (
-        cells.only_hot(rows)
-        .groupBy(*by, CELL)
-        .agg(F.max_by("__match", right_time).alias("__match"))
-        .withColumn("__match", F.last("__match", ignorenulls=True).over(earlier))
-        .where("__match IS NOT NULL")
-    )
-    return _last_before(cells.mark(rows), by, order, (seeds, BEFORE))

@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 
 from dayfold.functions.columns import day_of, money, period_index, period_start
 from dayfold.functions.hot import DEFAULT, HotGroups, HotSplit
-from dayfold.operators.facts import next_event
+from dayfold.operators.sequence import next_event
 from dayfold.operators.summaries import quantile_summary
 
 

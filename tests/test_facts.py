@@ -6,14 +6,8 @@ import pytest
 from pyspark.sql import functions as F
 
 from dayfold.functions.hot import HotSplit
-from dayfold.operators.facts import (
-    accumulating_snapshot,
-    allocate_header_amount,
-    asof_join,
-    next_event,
-    periodic_snapshot,
-    sessionize,
-)
+from dayfold.operators.facts import accumulating_snapshot, allocate_header_amount, periodic_snapshot
+from dayfold.operators.sequence import asof_join, next_event, sessionize
 
 SPLITS = [HotSplit(), HotSplit(min_rows=3, rows_per_cell=2), HotSplit(min_rows=20, rows_per_cell=15)]
 START = datetime(2024, 1, 1)
