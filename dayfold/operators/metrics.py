@@ -10,7 +10,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from dayfold.functions.columns import day_of, money, period_index, period_start
-from dayfold.functions.hot import DEFAULT, HotGroups, HotSplit
+from dayfold.functions.hot import DEFAULT, NO_SPLIT, HotGroups, HotSplit
 from dayfold.operators.sequence import next_event
 from dayfold.operators.summaries import quantile_summary
 
@@ -263,13 +263,28 @@ def transitions(
     """Counts of (event, next event) inside a session, ``exit`` at its end.
 
     A session ends where the next event of the id comes more than ``gap`` later.
+    Copies of one event follow each other: of ids with very many events they are
+    counted before the shuffle, and all but the last lead to their own kind.
     """
-    rows = events.where(F.col(ts).isNotNull()).select(*dict.fromkeys([id_col, ts, kind, *tiebreak]))
-    nexts = next_event(rows, id_col, ts, [kind], tiebreak, split=split)
-    stays = F.col("next")[ts] - F.col(ts) <= F.lit(gap)
-    return nexts.groupBy(
-        F.col(kind).alias("from_event"), F.when(stays, F.col("next")[kind]).otherwise("exit").alias("to_event")
-    ).agg(F.count(F.lit(1)).alias("n"))
+    columns = list(dict.fromkeys([id_col, ts, kind, *tiebreak]))
+    rows = events.where(F.col(ts).isNotNull()).select(columns)
+    groups = HotGroups(rows, [id_col], split)
+    counted = groups.only(rows).groupBy(columns).agg(F.count(F.lit(1)).alias("__n"))
+
+    def pairs(nexts: DataFrame, copies: Column) -> DataFrame:
+        stays = F.col("next")[ts] - F.col(ts) <= F.lit(gap)
+        onward = F.struct(
+            F.col(kind).alias("from_event"),
+            F.when(stays, F.col("next")[kind]).otherwise("exit").alias("to_event"),
+            F.lit(1).cast("bigint").alias("n"),
+        )
+        again = F.struct(F.col(kind).alias("from_event"), F.col(kind).alias("to_event"), (copies - 1).alias("n"))
+        return nexts.select(F.explode(F.array_compact(F.array(onward, F.when(copies > 1, again)))).alias("p"))
+
+    calm = next_event(groups.rest(rows), id_col, ts, [kind], tiebreak, split=NO_SPLIT)
+    busy = next_event(counted, id_col, ts, [kind], tiebreak, split=split)
+    both = pairs(calm, F.lit(1)).unionByName(pairs(busy, F.col("__n"))).select("p.*")
+    return both.groupBy("from_event", "to_event").agg(F.sum("n").alias("n"))
 
 
 def rfm_segments(

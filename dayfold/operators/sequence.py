@@ -103,7 +103,10 @@ def next_event(
     out: str = "next",
     split: HotSplit = DEFAULT,
 ) -> DataFrame:
-    """Each event with a struct of the user's next event (its time and ``values``)."""
+    """Each event with a struct of the user's next event (its time and ``values``).
+
+    Events of one user at one identical time stay in one cell.
+    """
     cells = Cells(events, [user], ts, split)
     here = F.struct(ts, *values)
     order = [ts, *tiebreak]

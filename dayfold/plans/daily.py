@@ -38,10 +38,15 @@ VERSION = (
 
 @dataclass(frozen=True)
 class Warehouse:
-    """Where the sources come from and where the tables go."""
+    """Where the sources come from and where the tables go.
+
+    ``source(name, day)`` gives what landed for ``orders`` and ``lineitem``, and
+    the current table of a dimension. With landed tables kept by day it returns
+    that day's folder, so that a run reads its own day and no more.
+    """
 
     spark: SparkSession
-    source: Callable[[str], DataFrame]
+    source: Callable[[str, date], DataFrame]
     path: str
 
     def table(self, name: str) -> str:
@@ -59,8 +64,8 @@ def run_day(wh: Warehouse, day: date, previous: date | None) -> None:
     """Process ``day`` on top of the state after ``previous`` (None for the first run)."""
     if previous is not None and previous >= day:
         raise ValueError(f"{day} must come after {previous}")
-    orders = load_increment(wh.source("orders"), "o_orderdate", day, day + timedelta(days=1))
-    lines = wh.source("lineitem").join(orders.select("o_orderkey"), F.col("l_orderkey") == F.col("o_orderkey"), "left_semi")
+    orders = load_increment(wh.source("orders", day), "o_orderdate", day, day + timedelta(days=1))
+    lines = wh.source("lineitem", day).join(orders.select("o_orderkey"), F.col("l_orderkey") == F.col("o_orderkey"), "left_semi")
     valid, rejected = split_valid(
         lines,
         {
@@ -78,9 +83,9 @@ def run_day(wh: Warehouse, day: date, previous: date | None) -> None:
         "o_orderkey",
         ["o_custkey", "o_orderdate"],
         [
-            Lookup(wh.source("customer"), {"o_custkey": "c_custkey"}, {"c_nationkey": "c_nationkey"}, {"c_nationkey": -1}),
-            Lookup(wh.source("nation"), {"c_nationkey": "n_nationkey"}, {"n_regionkey": "n_regionkey"}, {"n_regionkey": -1}),
-            Lookup(wh.source("region"), {"n_regionkey": "r_regionkey"}, {"region": "r_name"}),
+            Lookup(wh.source("customer", day), {"o_custkey": "c_custkey"}, {"c_nationkey": "c_nationkey"}, {"c_nationkey": -1}),
+            Lookup(wh.source("nation", day), {"c_nationkey": "n_nationkey"}, {"n_regionkey": "n_regionkey"}, {"n_regionkey": -1}),
+            Lookup(wh.source("region", day), {"n_regionkey": "r_regionkey"}, {"region": "r_name"}),
         ],
         {"net": net.cast("decimal(18,4)"), "dt": day_of("o_orderdate")},
     )

@@ -156,6 +156,14 @@ def test_transitions(spark, split):
     assert {(r.from_event, r.to_event): r.n for r in out.collect()} == expected
 
 
+@pytest.mark.parametrize("split", [HotSplit(), HotSplit(min_rows=10)])
+def test_transitions_between_copies(spark, split):
+    one = spark.range(50).selectExpr("1 AS id", "timestamp_ntz'2024-01-01' AS ts", "'a' AS kind")
+    then = spark.range(1).selectExpr("1 AS id", "timestamp_ntz'2024-01-01 00:05:00' AS ts", "'b' AS kind")
+    out = transitions(one.union(then), "id", "ts", "kind", timedelta(minutes=10), split=split)
+    assert rows(out) == [("a", "a", 49), ("a", "b", 1), ("b", "exit", 1)]
+
+
 @pytest.mark.parametrize("how", ["discrete", "approx"])
 def test_rfm(spark, how):
     orders = [(i, START + timedelta(days=i), Decimal(i)) for i in range(1, 11) for _ in range(i)]

@@ -74,7 +74,7 @@ def warehouse(spark, folder, days):
     # Every order moved to one of the days, so that keys meet again.
     moved = F.date_add(F.lit(days[0]), (F.col("o_orderkey") % len(days)).cast("int")).cast("timestamp_ntz")
 
-    def source(name):
+    def source(name, day):
         table = read_table(spark, folder, name)
         return table.withColumn("o_orderdate", moved) if name == "orders" else table
 
@@ -103,7 +103,7 @@ def test_daily_batch(spark, folder, days):
     run_days(wh, days[2:], days[1])
     assert tables(spark, wh) == after
 
-    built = scd2_build(wh.source("orders"), ["o_custkey"], "o_orderdate", ["o_orderpriority"], ["o_orderkey"])
+    built = scd2_build(wh.source("orders", days[-1]), ["o_custkey"], "o_orderdate", ["o_orderpriority"], ["o_orderkey"])
     history = priority_history(wh, days[-1]).select(built.columns)
     assert sorted(map(str, history.collect())) == sorted(map(str, built.collect()))
 
