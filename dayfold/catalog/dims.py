@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from dayfold.catalog.registry import Tables, query
-from dayfold.functions.columns import day_of
+from dayfold.functions.columns import day_of, surrogate_key
 from dayfold.functions.hot import HotSplit
 from dayfold.operators.clean import latest_by_key
 from dayfold.operators.dims import (
@@ -60,12 +60,14 @@ def priority_history(t: Tables, split: HotSplit | None = None) -> DataFrame:
 @query(
     "denormalize_dim",
     """
-    SELECT c_custkey, c_mktsegment, coalesce(n_name, 'unknown') AS nation, coalesce(r_name, 'unknown') AS region
+    SELECT sha256(length(CAST(c_custkey AS VARCHAR)) || ':' || CAST(c_custkey AS VARCHAR)) AS customer_sk,
+           c_custkey, c_mktsegment, coalesce(n_name, 'unknown') AS nation, coalesce(r_name, 'unknown') AS region
     FROM customer LEFT JOIN nation ON c_nationkey = n_nationkey LEFT JOIN region ON n_regionkey = r_regionkey
     """,
 )
 def customer_dim(t: Tables) -> DataFrame:
-    return denormalize_dim(t.customer, customer_lookups(t)).select("c_custkey", "c_mktsegment", "nation", "region")
+    dim = denormalize_dim(t.customer, customer_lookups(t))
+    return dim.select(surrogate_key("c_custkey").alias("customer_sk"), "c_custkey", "c_mktsegment", "nation", "region")
 
 
 @query(

@@ -55,10 +55,6 @@ def surrogate_key(*keys: str) -> Column:
     return F.sha2(F.concat(*parts), 256)
 
 
-def same_row(left: Column | str, right: Column | str) -> Column:
-    return as_column(left).eqNullSafe(as_column(right))
-
-
 def all_null_safe_equal(pairs: Sequence[tuple[Column, Column]]) -> Column:
     condition = pairs[0][0].eqNullSafe(pairs[0][1])
     for left, right in pairs[1:]:

@@ -22,7 +22,10 @@ def shift_period(start: Column, period: str, by: int) -> Column:
 
 
 def _active_periods(events: DataFrame, id_col: str, ts: str, period: str) -> DataFrame:
-    """Distinct (id, period): from here on an id has at most one row per period."""
+    """Distinct (id, period): from here on an id has at most one row per period.
+
+    Events without an id or a time count for no one.
+    """
     known = F.col(id_col).isNotNull() & F.col(ts).isNotNull()
     return events.where(known).select(id_col, period_start(ts, period).alias("period")).distinct()
 

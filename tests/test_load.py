@@ -81,6 +81,19 @@ def test_work_folder_uses_the_shared_setting(spark):
     assert work_folder(spark, "x").startswith(spark.conf.get("spark.checkpoint.dir"))
 
 
+def test_a_cluster_without_a_shared_folder_is_refused():
+    class Conf:
+        def get(self, name, default):
+            return default
+
+    class Cluster:
+        conf = Conf()
+        sparkContext = type("Context", (), {"master": "yarn"})
+
+    with pytest.raises(ValueError, match="spark.checkpoint.dir"):
+        work_folder(Cluster(), "x")
+
+
 @pytest.mark.parametrize("period, start", [("day", date(2024, 2, 29)), ("week", date(2024, 2, 26)), ("year", date(2024, 1, 1))])
 def test_period_start(spark, period, start):
     from dayfold.functions.columns import period_start
