@@ -81,11 +81,14 @@ class HotGroups:
         # At most max_groups longs.
         self.hot = F.broadcast(_largest(sizes, split).select("__group"))
 
-    def only(self, df: DataFrame) -> DataFrame:
-        return df.withColumn("__group", self.group).join(self.hot, "__group", "left_semi").drop("__group")
+    def only(self, df: DataFrame, group: Column | None = None) -> DataFrame:
+        """The rows of hot groups; ``group`` is their hash where the keys have other names."""
+        marked = df.withColumn("__group", self.group if group is None else group)
+        return marked.join(self.hot, "__group", "left_semi").drop("__group")
 
-    def rest(self, df: DataFrame) -> DataFrame:
-        return df.withColumn("__group", self.group).join(self.hot, "__group", "left_anti").drop("__group")
+    def rest(self, df: DataFrame, group: Column | None = None) -> DataFrame:
+        marked = df.withColumn("__group", self.group if group is None else group)
+        return marked.join(self.hot, "__group", "left_anti").drop("__group")
 
     def flag(self, df: DataFrame, name: str) -> DataFrame:
         """All rows, with TRUE for hot groups and NULL for the others."""
@@ -179,3 +182,26 @@ def seeded(rows: DataFrame, *seeds: tuple[DataFrame, int]) -> DataFrame:
 def in_one_cell(rows: DataFrame) -> DataFrame:
     """Rows of groups that are not split."""
     return rows.withColumn(CELL, F.lit(0).cast("bigint"))
+
+
+def null_lane(keys: Sequence[str], spread_by: Sequence[str] = (), lanes: int = 256) -> Column:
+    """0 for rows whose keys are all known, more for others, which cannot match.
+
+    Joined with :func:`in_lane_zero`. The others share lane 1, or are spread over
+    ``lanes`` by a hash of ``spread_by``.
+    """
+    unknown = F.lit(False)
+    for key in keys:
+        unknown = unknown | F.col(key).isNull()
+    lane = F.pmod(F.xxhash64(*spread_by), F.lit(lanes)).cast("int") + 1 if spread_by else F.lit(1)
+    return F.when(unknown, lane).otherwise(0)
+
+
+def in_lane_zero(df: DataFrame, name: str) -> DataFrame:
+    """Add a column that is 0 in a way the optimizer does not fold away.
+
+    As one more join key it makes Spark shuffle ``df`` for the join even if an
+    aggregation has already partitioned it by the other keys. AQE splits a skewed
+    join only where both inputs come straight from such a shuffle.
+    """
+    return df.withColumn(name, F.explode(F.array(F.lit(0))))

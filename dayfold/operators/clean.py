@@ -8,6 +8,8 @@ from typing import Any
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from dayfold.functions.hot import in_lane_zero, null_lane
+
 
 def latest_by_key(df: DataFrame, keys: Sequence[str], order_cols: Sequence[str]) -> DataFrame:
     """One row per key: the greatest by ``order_cols``, which must order a key's rows totally.
@@ -54,26 +56,23 @@ def orphan_rows(
     child: DataFrame,
     parent: DataFrame,
     on: Mapping[str, str],
-    spread_by: Sequence[str] | None = None,
-    spread: int = 256,
+    spread_by: Sequence[str] = (),
 ) -> DataFrame:
     """Child rows without a parent; ``on`` maps child columns to parent columns.
 
-    A row with a NULL key is an orphan. Such rows may be many and would all
-    hash to one partition, so they are spread by a second join column, a hash
-    of ``spread_by`` (a row id, say; all columns unless given).
+    A row with a NULL key is an orphan. Where such rows are known to be many,
+    ``spread_by`` names columns, a row id say, by which they are spread over the
+    tasks; otherwise they are left to AQE like any other hot key.
     """
-    known = parent.select([F.col(p).alias(f"__p{i}") for i, p in enumerate(on.values())])
+    parents = [f"__p{i}" for i in range(len(on))]
     # One row per key, reduced before it is shuffled.
-    known = known.na.drop().distinct().withColumn("__p", F.lit(0))
-    any_null = F.lit(False)
-    for name in on:
-        any_null = any_null | F.col(name).isNull()
-    lane = F.when(any_null, F.pmod(F.xxhash64(*(spread_by or child.columns)), F.lit(spread)).cast("int") + 1).otherwise(0)
-    condition = F.col("__lane") == F.col("__p")
-    for i, name in enumerate(on):
-        condition = condition & (F.col(name) == F.col(f"__p{i}"))
-    return child.withColumn("__lane", lane).join(known, condition, "left_anti").drop("__lane")
+    known = parent.select([F.col(p).alias(name) for p, name in zip(on.values(), parents)]).na.drop().distinct()
+    condition = F.col("__lane") == F.col("__zero")
+    for name, key in zip(on, parents):
+        condition = condition & (F.col(name) == F.col(key))
+    lane = null_lane(list(on), spread_by)
+    spread = child.withColumn("__lane", lane)
+    return spread.join(in_lane_zero(known, "__zero"), condition, "left_anti").drop("__lane")
 
 
 def mask_columns(df: DataFrame, spec: Mapping[str, str | tuple[str, int]], salt: str) -> DataFrame:

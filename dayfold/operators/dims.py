@@ -3,14 +3,28 @@
 from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
-from dataclasses import dataclass, field
+from dataclasses import dataclass, field, replace
 from typing import Any
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from dayfold.functions.columns import all_null_safe_equal
-from dayfold.functions.hot import AFTER, BEFORE, CELL, DEFAULT, ROW, SEED, Cells, HotSplit, seeded
+from dayfold.functions.hot import (
+    AFTER,
+    BEFORE,
+    CELL,
+    DEFAULT,
+    ROW,
+    SEED,
+    Cells,
+    HotGroups,
+    HotSplit,
+    in_lane_zero,
+    null_lane,
+    seeded,
+)
 from dayfold.operators.clean import latest_by_key
 from dayfold.operators.sequence import asof_join
 
@@ -48,12 +62,15 @@ def denormalize_dim(base: DataFrame, lookups: Sequence[Lookup]) -> DataFrame:
             *[F.col(key).alias(name) for name, key in keys.items()],
             *[F.col(source).alias(name) for name, source in lookup.take.items()],
         )
-        if not lookup.unique:
-            side = latest_by_key(side, list(keys), list(lookup.take))
+        columns = [F.col(c) for c in out.columns]
         condition = F.lit(True)
+        if not lookup.unique:
+            side = latest_by_key(side.na.drop(subset=list(keys)), list(keys), list(lookup.take))
+            side = in_lane_zero(side, "__zero")
+            out = out.withColumn("__lane", null_lane(list(lookup.on)))
+            condition = F.col("__lane") == F.col("__zero")
         for column, name in zip(lookup.on, keys):
             condition = condition & (F.col(column) == F.col(name))
-        columns = [F.col(c) for c in out.columns]
         taken = [
             F.coalesce(F.col(name), F.lit(lookup.unknown.get(name, "unknown"))).alias(name)
             for name in lookup.take
@@ -194,38 +211,44 @@ def scd2_lookup(
     :func:`~dayfold.operators.sequence.asof_join`, which reads each row once.
     """
     unknown = unknown or {}
-    facts, dims = list(keys), list(keys.values())
-    names = [f"__k{i}" for i in range(len(dims))]
+    names = [f"__k{i}" for i in range(len(keys))]
+    fact_keys, version_keys = [], []
+    for in_fact, in_history in keys.items():
+        types = fact.schema[in_fact].dataType, history.schema[in_history].dataType
+        whole = all(isinstance(t, T.IntegralType) for t in types)
+        if types[0] != types[1] and not whole:
+            raise TypeError(f"{in_fact} and {in_history} differ in type: {types}")
+        # One type, so that a key has one hash on both sides.
+        fact_keys.append(F.col(in_fact).cast("bigint") if whole else F.col(in_fact))
+        version_keys.append(F.col(in_history).cast("bigint") if whole else F.col(in_history))
     versions = history.select(
-        *[F.col(d).alias(n) for d, n in zip(dims, names)],
+        *[key.alias(name) for key, name in zip(version_keys, names)],
         F.col("valid_from").alias("__from"),
         F.col("valid_to").alias("__to"),
         F.struct(*[F.col(source).alias(name) for name, source in take.items()]).alias("__version"),
     ).na.drop(subset=names)
-    busy = (
-        versions.groupBy(*names)
-        .agg(F.count(F.lit(1)).alias("__n"))
-        .where(F.col("__n") > max_versions)
-        .select(*[F.col(n).alias(f"__b{n}") for n in names])
-    )
+    # Bounded like every list of hot groups; keys beyond it take the plain join.
+    busy = HotGroups(versions, names, replace(split, min_rows=max_versions))
+    fact_group = F.xxhash64(*fact_keys)
+
     same_key = F.lit(True)
-    is_busy = F.lit(True)
-    fact_busy = F.lit(True)
-    for f, n in zip(facts, names):
-        same_key = same_key & (F.col(f) == F.col(n))
-        is_busy = is_busy & (F.col(n) == F.col(f"__b{n}"))
-        fact_busy = fact_busy & (F.col(f) == F.col(f"__b{n}"))
-
-    calm_fact = fact.join(busy, fact_busy, "left_anti")
-    calm_versions = versions.join(busy, is_busy, "left_anti")
+    for key, name in zip(fact_keys, names):
+        same_key = same_key & (key == F.col(name))
     valid = (F.col(ts) >= F.col("__from")) & (F.col(ts) < F.col("__to"))
-    calm = calm_fact.join(calm_versions, same_key & valid, "left").drop(*names, "__from", "__to")
+    calm = (
+        busy.rest(fact, fact_group)
+        .join(busy.rest(versions), same_key & valid, "left")
+        .drop(*names, "__from", "__to")
+    )
 
-    busy_versions = versions.join(busy, is_busy, "left_semi").select(
-        *[F.col(n).alias(f) for f, n in zip(facts, names)], F.col("__from").alias(ts), "__to", "__version"
+    busy_versions = busy.only(versions).select(
+        *[F.col(name).cast(fact.schema[f].dataType).alias(f) for f, name in zip(keys, names)],
+        F.col("__from").alias(ts),
+        "__to",
+        "__version",
     )
     sorted_match = asof_join(
-        fact.join(busy, fact_busy, "left_semi"), busy_versions, facts, ts, split=split, suffix="__busy"
+        busy.only(fact, fact_group), busy_versions, list(keys), ts, split=split, suffix="__busy"
     )
     busy_rows = sorted_match.withColumn(
         "__version", F.when(F.col(ts) < F.col("__to"), F.col("__version"))

@@ -42,6 +42,7 @@ def test_orphans(spark):
     child = spark.createDataFrame([(1, 1), (2, 2), (3, None), (4, None), (5, 7)], "id int, p bigint")
     parent = spark.createDataFrame([(1,), (1,), (2,), (None,)], "pid bigint")
     assert sorted(r.id for r in orphan_rows(child, parent, {"p": "pid"}).collect()) == [3, 4, 5]
+    assert sorted(r.id for r in orphan_rows(child, parent, {"p": "pid"}, ["id"]).collect()) == [3, 4, 5]
     assert orphan_rows(child, parent, {"p": "pid"}).columns == child.columns
 
 

@@ -7,9 +7,16 @@ import pytest
 from pyspark.sql import functions as F
 
 import __spark_entry__ as entries
-from dayfold.operators.clean import latest_by_key
-from dayfold.operators.dims import scd2_build
-from dayfold.operators.metrics import topk_per_group
+from dayfold.operators import (
+    Lookup,
+    denormalize_dim,
+    latest_by_key,
+    orphan_rows,
+    scd2_build,
+    scd2_lookup,
+    topk_per_group,
+    transaction_fact,
+)
 from dayfold.plans.daily import Warehouse, priority_history, run_day, run_days
 from dayfold.session import work_folder
 from dayfold.sources.tables import read_table
@@ -65,6 +72,50 @@ def test_scan_reads_only_what_is_used(spark, folder):
     assert "struct<ts:timestamp_ntz,user_id:bigint>" in text
 
 
+@pytest.fixture
+def no_broadcast(spark):
+    settings = {
+        "spark.sql.autoBroadcastJoinThreshold": "-1",
+        "spark.sql.adaptive.autoBroadcastJoinThreshold": "-1",
+        "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": "64KB",
+        "spark.sql.adaptive.skewJoin.skewedPartitionFactor": "2",
+        "spark.sql.adaptive.advisoryPartitionSizeInBytes": "64KB",
+    }
+    before = {name: spark.conf.get(name, None) for name in settings}
+    for name, value in settings.items():
+        spark.conf.set(name, value)
+    yield
+    for name, value in before.items():
+        spark.conf.unset(name) if value is None else spark.conf.set(name, value)
+
+
+def test_joins_split_a_hot_key(spark, no_broadcast):
+    """A third of all rows has one key; the joins must be such that AQE can split it."""
+    rows = spark.range(0, 300_000, 1, 8).select(
+        "id",
+        F.when(F.col("id") % 3 == 0, -1).otherwise(F.col("id") % 5000).alias("key"),
+        F.timestamp_seconds("id").cast("timestamp_ntz").alias("ts"),
+    )
+    side = spark.range(5000).select((F.col("id") - 1).alias("k"), F.lit("x").alias("v"))
+    history = side.select(
+        F.col("k"),
+        "v",
+        F.lit("1970-01-01").cast("timestamp_ntz").alias("valid_from"),
+        F.lit("9999-12-31").cast("timestamp_ntz").alias("valid_to"),
+    )
+    joins = {
+        "orphans": orphan_rows(rows, side, {"key": "k"}),
+        "lookup": denormalize_dim(rows, [Lookup(side, {"key": "k"}, {"v": "v"})]),
+        "unique lookup": denormalize_dim(rows, [Lookup(side, {"key": "k"}, {"v": "v"}, unique=True)]),
+        "versions": scd2_lookup(rows, history, {"key": "k"}, "ts", {"v": "v"}),
+        "fact": transaction_fact(rows, side, "key", "k", ["v"]),
+    }
+    for name, df in joins.items():
+        df = df.select(F.xxhash64(*df.columns).alias("h")).agg(F.max("h"))
+        df.collect()
+        assert "skew=true" in plan_of(df).split("== Initial Plan ==")[0], name
+
+
 @pytest.fixture(scope="module")
 def days():
     return [date(1998, 3, 1) + timedelta(days=d) for d in range(4)]
