@@ -42,7 +42,9 @@ def latest_order(t: Tables) -> DataFrame:
 def brand_numbers(t: Tables) -> DataFrame:
     """One column whose text is mostly numbers, one whose text never is."""
     raw = t.part.select(
-        "p_partkey", F.replace("p_brand", F.lit("Brand#"), F.lit("")).alias("brand_no"), F.col("p_name").alias("name_no")
+        "p_partkey",
+        F.replace("p_brand", F.lit("Brand#"), F.lit("")).alias("brand_no"),
+        F.col("p_name").alias("name_no"),
     )
     return conform_types(raw, {"brand_no": ("bigint", -1), "name_no": ("bigint", 0)})
 
@@ -74,7 +76,8 @@ _LINES_SQL = """
     "split_valid",
     _LINES_SQL
     + """
-    SELECT l_orderkey, CAST(l_linenumber AS BIGINT) AS l_linenumber, l_partkey, l_suppkey, reject_reasons FROM tagged WHERE reject_reasons <> ''
+    SELECT l_orderkey, CAST(l_linenumber AS BIGINT) AS l_linenumber, l_partkey, l_suppkey, reject_reasons
+    FROM tagged WHERE reject_reasons <> ''
     """,
 )
 def rejected_lines(t: Tables) -> DataFrame:

@@ -45,10 +45,11 @@ _SHOW_HISTORY = """
 """
 
 
-def customer_lookups(t: Tables) -> list[Lookup]:
+def customer_lookups(t: Tables, unique: bool = False) -> list[Lookup]:
+    nation = {"nation": "n_name", "n_regionkey": "n_regionkey"}
     return [
-        Lookup(t.nation, {"c_nationkey": "n_nationkey"}, {"nation": "n_name", "n_regionkey": "n_regionkey"}, {"n_regionkey": -1}),
-        Lookup(t.region, {"n_regionkey": "r_regionkey"}, {"region": "r_name"}),
+        Lookup(t.nation, {"c_nationkey": "n_nationkey"}, nation, {"n_regionkey": -1}, unique),
+        Lookup(t.region, {"n_regionkey": "r_regionkey"}, {"region": "r_name"}, {}, unique),
     ]
 
 
@@ -119,7 +120,8 @@ _LOOKUP_SQL = (
     "WITH "
     + HISTORY_SQL
     + """
-    SELECT l_orderkey, CAST(l_linenumber AS BIGINT) AS l_linenumber, l_partkey, l_suppkey, o.o_custkey, CAST(l_shipdate AS VARCHAR) AS l_shipdate,
+    SELECT l_orderkey, CAST(l_linenumber AS BIGINT) AS l_linenumber, l_partkey, l_suppkey, o.o_custkey,
+           CAST(l_shipdate AS VARCHAR) AS l_shipdate,
            coalesce(h.o_orderpriority, 'unknown') AS priority
     FROM lineitem JOIN orders o ON l_orderkey = o_orderkey
     LEFT JOIN history h ON h.o_custkey = o.o_custkey AND l_shipdate >= valid_from AND l_shipdate < valid_to

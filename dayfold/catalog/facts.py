@@ -31,7 +31,8 @@ SIX_HOURS = timedelta(hours=6)
 
 def net_sales(t: Tables) -> DataFrame:
     """Order lines with the order's date, the customer's region and the net amount."""
-    customer = Lookup(t.customer, {"o_custkey": "c_custkey"}, {"c_nationkey": "c_nationkey"}, {"c_nationkey": -1}, unique=True)
+    nation_of = {"c_nationkey": "c_nationkey"}
+    customer = Lookup(t.customer, {"o_custkey": "c_custkey"}, nation_of, {"c_nationkey": -1}, unique=True)
     net = money("l_extendedprice") * (F.lit(1) - F.col("l_discount").cast("decimal(4,2)"))
     return transaction_fact(
         t.lineitem.select("l_orderkey", "l_linenumber", "l_partkey", "l_suppkey", "l_extendedprice", "l_discount"),
@@ -39,7 +40,7 @@ def net_sales(t: Tables) -> DataFrame:
         "l_orderkey",
         "o_orderkey",
         ["o_custkey", "o_orderdate", "o_orderstatus", "o_orderpriority"],
-        [customer, *customer_lookups(t)],
+        [customer, *customer_lookups(t, unique=True)],
         {"net": net.cast("decimal(18,4)")},
     )
 
@@ -47,7 +48,8 @@ def net_sales(t: Tables) -> DataFrame:
 @query(
     "transaction_fact",
     f"""
-    SELECT l_orderkey, CAST(l_linenumber AS BIGINT) AS l_linenumber, l_partkey, l_suppkey, CAST(o_orderdate AS VARCHAR) AS o_orderdate,
+    SELECT l_orderkey, CAST(l_linenumber AS BIGINT) AS l_linenumber, l_partkey, l_suppkey,
+           CAST(o_orderdate AS VARCHAR) AS o_orderdate,
            coalesce(n_name, 'unknown') AS nation, coalesce(r_name, 'unknown') AS region,
            CAST({NET_SQL} AS DOUBLE) AS net
     {CUSTOMER_SQL}

@@ -230,7 +230,8 @@ _RFM_SQL = f"""
                FROM orders WHERE o_orderdate < TIMESTAMP '2001-08-02' GROUP BY o_custkey),
     q AS (SELECT {_CUTS} FROM p)
     SELECT o_custkey, recency AS recency_days, frequency, CAST(monetary AS DOUBLE) AS monetary,
-           5 - ({_score("recency")}) AS r_score, 1 + {_score("frequency")} AS f_score, 1 + {_score("monetary")} AS m_score
+           5 - ({_score("recency")}) AS r_score,
+           1 + {_score("frequency")} AS f_score, 1 + {_score("monetary")} AS m_score
     FROM p, q
 """
 

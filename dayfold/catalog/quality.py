@@ -39,9 +39,11 @@ def order_profile(t: Tables) -> DataFrame:
     "rule_audit",
     """
     SELECT 'has_ship_date' AS rule, count(*) FILTER (l_shipdate IS NULL) AS failures FROM lineitem
-    UNION ALL SELECT 'discount_range', count(*) FILTER (NOT coalesce(l_discount BETWEEN 0 AND 0.09::DOUBLE, false)) FROM lineitem
+    UNION ALL SELECT 'discount_range',
+              count(*) FILTER (NOT coalesce(l_discount BETWEEN 0 AND 0.09::DOUBLE, false)) FROM lineitem
     UNION ALL SELECT 'return_flag', count(*) FILTER (NOT coalesce(l_returnflag IN ('A', 'N'), false)) FROM lineitem
-    UNION ALL SELECT 'line_key', count(*) FROM (SELECT 1 FROM lineitem GROUP BY l_orderkey, l_linenumber HAVING count(*) > 1)
+    UNION ALL SELECT 'line_key', count(*)
+              FROM (SELECT 1 FROM lineitem GROUP BY l_orderkey, l_linenumber HAVING count(*) > 1)
     UNION ALL SELECT 'order_exists', count(*) FROM lineitem
               WHERE NOT EXISTS (SELECT 1 FROM orders WHERE o_orderkey = l_orderkey AND o_orderstatus <> 'P')
     """,

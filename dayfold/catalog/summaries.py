@@ -50,7 +50,8 @@ def daily_net_sales(t: Tables) -> DataFrame:
     """
     WITH d AS (SELECT event_type, CAST(ts AS DATE) AS dt, count(*) AS n, sum(CAST(value AS DECIMAL(18,2))) AS total
                FROM events GROUP BY ALL)
-    SELECT event_type, CAST(w AS BIGINT) AS window_days, CAST(sum(n) AS BIGINT) AS n, CAST(sum(total) AS DOUBLE) AS total
+    SELECT event_type, CAST(w AS BIGINT) AS window_days, CAST(sum(n) AS BIGINT) AS n,
+           CAST(sum(total) AS DOUBLE) AS total
     FROM d, (VALUES (1), (7), (30)) AS v(w), (SELECT max(dt) AS last FROM d)
     WHERE dt > last - w AND dt <= last
     GROUP BY event_type, w

@@ -60,12 +60,23 @@ class Warehouse:
         return table.where(F.col("dt") == F.lit(day)).drop("dt")
 
 
+def customer_chain(wh: Warehouse, day: date) -> list[Lookup]:
+    """Customer, nation and region of an order; their keys are unique."""
+    customer, nation, region = (wh.source(name, day) for name in ("customer", "nation", "region"))
+    return [
+        Lookup(customer, {"o_custkey": "c_custkey"}, {"c_nationkey": "c_nationkey"}, {"c_nationkey": -1}, True),
+        Lookup(nation, {"c_nationkey": "n_nationkey"}, {"n_regionkey": "n_regionkey"}, {"n_regionkey": -1}, True),
+        Lookup(region, {"n_regionkey": "r_regionkey"}, {"region": "r_name"}, {}, True),
+    ]
+
+
 def run_day(wh: Warehouse, day: date, previous: date | None) -> None:
     """Process ``day`` on top of the state after ``previous`` (None for the first run)."""
     if previous is not None and previous >= day:
         raise ValueError(f"{day} must come after {previous}")
     orders = load_increment(wh.source("orders", day), "o_orderdate", day, day + timedelta(days=1))
-    lines = wh.source("lineitem", day).join(orders.select("o_orderkey"), F.col("l_orderkey") == F.col("o_orderkey"), "left_semi")
+    of_day = orders.select("o_orderkey")
+    lines = wh.source("lineitem", day).join(of_day, F.col("l_orderkey") == F.col("o_orderkey"), "left_semi")
     valid, rejected = split_valid(
         lines,
         {
@@ -82,11 +93,7 @@ def run_day(wh: Warehouse, day: date, previous: date | None) -> None:
         "l_orderkey",
         "o_orderkey",
         ["o_custkey", "o_orderdate"],
-        [
-            Lookup(wh.source("customer", day), {"o_custkey": "c_custkey"}, {"c_nationkey": "c_nationkey"}, {"c_nationkey": -1}),
-            Lookup(wh.source("nation", day), {"c_nationkey": "n_nationkey"}, {"n_regionkey": "n_regionkey"}, {"n_regionkey": -1}),
-            Lookup(wh.source("region", day), {"n_regionkey": "r_regionkey"}, {"region": "r_name"}),
-        ],
+        customer_chain(wh, day),
         {"net": net.cast("decimal(18,4)"), "dt": day_of("o_orderdate")},
     )
     write_day(sales, wh.table("sales"), day)
