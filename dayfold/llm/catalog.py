@@ -2,7 +2,12 @@
 
 from dayfold.llm import (  # noqa: F401
     q_exact_dedup,
+    q_langid,
+    q_licenses,
     q_packing,
+    q_quality,
+    q_secrets,
+    q_token_counts,
 )
 from dayfold.llm.registry import QUERIES, SQL
 
