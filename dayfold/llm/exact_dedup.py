@@ -28,7 +28,8 @@ def exact_dedup(
 
     A round counts rows per (group, digit), which map tasks combine, and joins
     the counts back; a hot group is one key of a join that AQE can split, and
-    never meets in one task. Rounds grow with the logarithm of the longest text.
+    never meets in one task. The counts grow with the table, so they are not broadcast.
+    Rounds grow with the logarithm of the longest text.
 
     Returns one row per input row: the id, ``keep_id`` (the largest id among equal
     texts), ``group_size``, ``kept`` and the columns of ``carry``. NULL text counts
@@ -56,7 +57,7 @@ def exact_dedup(
     )
     open_ = F.col("__n") > 1
     state = scratch.write(
-        rows.join(together, ["__group", "__digit"], "left").select(
+        rows.join(together.hint("merge"), ["__group", "__digit"], "left").select(
             "__id",
             *kept_cols,
             F.monotonically_increasing_id().alias("__tag"),
@@ -89,7 +90,7 @@ def exact_dedup(
         )
         open_ = (F.col("__n") > 1) & (F.col("__length") > done)
         following = scratch.write(
-            rows.join(groups, ["__group", "__digit"]).select(
+            rows.join(groups.hint("merge"), ["__group", "__digit"]).select(
                 "__id",
                 *kept_cols,
                 "__tag",
