@@ -1,9 +1,12 @@
 """The queries of this subpackage."""
 
 from dayfold.llm import (  # noqa: F401
+    q_decontaminate,
     q_exact_dedup,
+    q_html_extract,
     q_langid,
     q_licenses,
+    q_near_dedup,
     q_packing,
     q_quality,
     q_secrets,

@@ -17,6 +17,7 @@ def exact_dedup(
     carry: Sequence[str] = (),
     first_bytes: int = 64,
     growth: int = 8,
+    store_single: bool = True,
 ) -> DataFrame:
     """Groups of equal texts: ``keep_id``, ``group_size`` and ``kept`` for every row.
 
@@ -31,6 +32,10 @@ def exact_dedup(
     never meets in one task. The counts grow with the table, so they are not broadcast.
     Rounds grow with the logarithm of the longest text.
 
+    Rows that are alone after round one are stored with their carried columns, or without ``store_single``
+    found by the first join once more when the result is read, which spares disk where
+    the text itself is carried.
+
     Returns one row per input row: the id, ``keep_id`` (the largest id among equal
     texts), ``group_size``, ``kept`` and the columns of ``carry``. NULL text counts
     as empty. Exactly one row of a group is kept, also where the largest id
@@ -56,7 +61,7 @@ def exact_dedup(
         .withColumn("__next", F.monotonically_increasing_id())
     )
     open_ = F.col("__n") > 1
-    state = scratch.write(
+    first = (
         rows.join(together.hint("merge"), ["__group", "__digit"], "left").select(
             "__id",
             *kept_cols,
@@ -70,8 +75,13 @@ def exact_dedup(
             F.lit(True).alias("__kept"),
         )
     )
-    scratch.drop(together)
-    finished = [state.where(~F.col("__open"))]
+    if store_single:
+        state = scratch.write(first)
+        finished = [state.where(~F.col("__open"))]
+        scratch.drop(together)
+    else:
+        state = scratch.write(first.where("__open"))
+        finished = [first.where(~F.col("__open"))]
     done, width = first_bytes, first_bytes
     while True:
         rows = state.where("__open")

@@ -187,16 +187,11 @@ def identify_languages(
             yield pa.RecordBatch.from_arrays(arrays, names=out.names)
 
     best = F.array_position("__text_logs", F.array_max("__text_logs")).cast("int")
-    read_rows = given.mapInArrow(read, out)
     # The last two labels of a host are its domain; other names are their own.
     domain = F.coalesce(F.nullif(F.regexp_extract("__host", r"([^.]+\.[^.]+)$", 1), F.lit("")), F.col("__host"))
-    rows = scratch.write(
-        read_rows.withColumns(
-            {
-                "__best": F.when((F.col("__n") > 0) & (F.size("__text_logs") > 0), best),
-                "__domain": domain,
-            }
-        )
+    # Texts are read once for the counts and once for the result, so that no text has to be stored.
+    rows = given.mapInArrow(read, out).withColumns(
+        {"__best": F.when((F.col("__n") > 0) & (F.size("__text_logs") > 0), best), "__domain": domain}
     )
     final = [
         F.col("__id").alias(id_col),
@@ -214,9 +209,12 @@ def identify_languages(
         ).select(final)
 
     k = len(languages)
-    one = [(F.col("__best") == i + 1).cast("double") for i in range(k)]
-    counted = rows.where("__best IS NOT NULL")
-    # One row: how many texts read like each language.
+    one = [F.when(F.col("__best") == i + 1, F.col("__rows")).otherwise(0.0) for i in range(k)]
+    evidence = ["__host", "__domain", "__declared", "__suffix", "__best"]
+    counted = scratch.write(
+        rows.where("__best IS NOT NULL").groupBy(*evidence).agg(F.count(F.lit(1)).cast("double").alias("__rows"))
+    )
+    # A single row: how many texts read like each language.
     total = counted.agg(*[F.coalesce(F.sum(o), F.lit(0.0)) for o in one]).first()
     world = [(n + 1.0) / (sum(total) + k) for n in total]
 
