@@ -150,8 +150,8 @@ def near_dedup(
     2. Each node has ``sketches`` order MinHash keys of ``sampled`` shingles. Two texts of similarity s share
        a given key with a chance near s ** sampled, so at 0.8 they miss all 14 once in a million pairs.
     3. A bucket holds the nodes that share a key, and is never spread into pairs: each node is
-       paired with the smallest of its bucket and, in case that one is unlike, with the smallest of those
-       that share the next key too, and the next two. Buckets are counted in map tasks first.
+       paired with the smallest and the largest of its bucket and, in case they are unlike, with those of the
+       nodes that share the next key too, and the next two. Buckets are reduced in map tasks first.
     4. Distinct pairs are verified by alignment, and links joined to classes by rounds of smallest
        neighbours, which shrink the links left in each round.
 
@@ -219,10 +219,12 @@ def near_dedup(
 
     members = nodes.select("node", F.explode(F.concat(*[bucket(s) for s in (1, 2, 3)])).alias("bucket"))
     members = scratch.write(members)
-    heads = members.groupBy("bucket").agg(F.min("node").alias("head"), F.count(F.lit(1)).alias("n")).where("n > 1")
-    heads = scratch.write(heads.select("bucket", "head"))
-    pairs = members.join(heads, "bucket").where("node != head").select("head", "node").distinct()
-    pairs = scratch.write(pairs)
+    ends = members.groupBy("bucket").agg(F.min("node").alias("low"), F.max("node").alias("high"))
+    heads = scratch.write(ends.where("low < high"))
+    met = members.join(heads, "bucket").select("node", F.explode(F.array("low", "high")).alias("head"))
+    # Either order of a pair is one pair; the smaller id is the head.
+    pairs = met.where("node != head").select(F.least("node", "head").alias("head"), F.greatest("node", "head").alias("node"))
+    pairs = scratch.write(pairs.distinct())
     scratch.drop(members, heads)
 
     wanted = pairs.select("node").unionAll(pairs.select(F.col("head").alias("node"))).distinct()
