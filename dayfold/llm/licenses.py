@@ -87,6 +87,14 @@ TO_WORDS = bytes(
 )
 
 
+def _is_operand(token: str, after_with: bool) -> bool:
+    """Known or well-formed identifiers, and exceptions behind ``with``; other words end an expression."""
+    if after_with:
+        return "exception" in token
+    own = token.removesuffix("+")
+    return own in IDENTIFIERS or own.startswith("licenseref-") or re.search(r"-[0-9]+(\.[0-9]+)*(-|$)", own) is not None
+
+
 def complete_prefix(text: str) -> list[str]:
     """The tokens of the longest start of ``text`` that is a whole expression."""
     tokens, depth, operand, whole = [], 0, True, 0
@@ -94,10 +102,10 @@ def complete_prefix(text: str) -> list[str]:
         if operand:
             if token == "(":
                 depth += 1
-            elif token == ")" or token in PRECEDENCE:
-                break
-            else:
+            elif _is_operand(token, bool(tokens) and tokens[-1] == "with"):
                 operand = False
+            else:
+                break
         elif token == ")" and depth:
             depth -= 1
         elif token in PRECEDENCE:
