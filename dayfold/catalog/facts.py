@@ -65,7 +65,7 @@ _ORDER_COLS = ["l_linenumber", "l_partkey", "l_suppkey", "l_quantity", "l_extend
                "l_returnflag", "l_linestatus", "l_shipdate"]
 
 
-def allocated(t: Tables, split: HotSplit = DEFAULT) -> tuple[DataFrame, DataFrame]:
+def allocated(t: Tables, split: HotSplit = DEFAULT) -> tuple[DataFrame, DataFrame, DataFrame]:
     return allocate_header_amount(
         t.lineitem.withColumnRenamed("l_orderkey", "o_orderkey"),
         t.orders,
@@ -113,7 +113,7 @@ def shared_order_totals_split(t: Tables) -> DataFrame:
     """,
 )
 def empty_orders(t: Tables) -> DataFrame:
-    _, without = allocated(t)
+    _, without, _ = allocated(t)
     return without.select("o_orderkey", "o_totalprice")
 
 

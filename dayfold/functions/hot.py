@@ -1,11 +1,11 @@
 """Split groups too large for one task into ordered cells.
 
 A window over a key puts all rows of that key into one task. Here the few keys
-with very many rows are cut along the ordering column into cells of equal
-width; all other keys stay whole. A window then runs per (key, cell), and what
-a cell has to know of the cells before or after it comes in as one extra *seed*
-row per cell, built from a small per-cell summary. No row is dropped and the
-result does not depend on where the cuts fall.
+with very many rows are cut along the ordering column into cells of about equal
+row counts; all other keys stay whole. A window then runs per (key, cell), and
+what a cell has to know of the cells before or after it comes in as one extra
+*seed* row per cell, built from a small per-cell summary. No row is dropped and
+the result does not depend on where the cuts fall.
 """
 
 from __future__ import annotations
@@ -22,23 +22,27 @@ SEED = "__seed"
 BEFORE, ROW, AFTER = 0, 1, 2
 
 
+# Most cuts that are looked for in one group; larger cells are cut further by equal width.
+MOST_CUTS = 1024
+
+
 @dataclass(frozen=True)
 class HotSplit:
     """When a group counts as hot, and how finely it is cut.
 
-    ``max_groups`` bounds the broadcast list of hot groups (a hash and at most
-    two doubles each). Beyond it the largest groups are split and the others
-    stay whole, which changes the speed but not the result. With 0 nothing is
-    split and the pass that looks for hot groups is left out.
+    Every group with more than ``min_rows`` rows is hot. Of n rows there are at most
+    n / min_rows such groups and n / rows_per_cell cuts in them, each a few bytes, which
+    bounds the lists that are broadcast: for 10^12 rows and the defaults some 10^6 groups and
+    10^7 cuts. ``enabled=False`` splits nothing and leaves out the pass that looks for hot groups.
     """
 
     min_rows: int = 1_000_000
     rows_per_cell: int = 100_000
-    max_groups: int = 50_000
+    enabled: bool = True
 
 
 DEFAULT = HotSplit()
-NO_SPLIT = HotSplit(max_groups=0)
+NO_SPLIT = HotSplit(enabled=False)
 
 
 def position(col: Column, dtype: T.DataType) -> Column:
@@ -67,9 +71,8 @@ def group_hash(keys: Sequence[str]) -> Column:
     return F.xxhash64(*(keys or [F.lit(0)]))
 
 
-def _largest(sizes: DataFrame, split: HotSplit) -> DataFrame:
-    large = sizes.where(F.col("__n") > split.min_rows)
-    return large.orderBy(F.col("__n").desc(), "__group").limit(split.max_groups)
+def _large(sizes: DataFrame, split: HotSplit) -> DataFrame:
+    return sizes.where(F.col("__n") > split.min_rows) if split.enabled else sizes.where(F.lit(False))
 
 
 class HotGroups:
@@ -77,9 +80,10 @@ class HotGroups:
 
     def __init__(self, df: DataFrame, keys: Sequence[str], split: HotSplit = DEFAULT):
         self.group = group_hash(keys)
+        self.split = split
         sizes = df.select(self.group.alias("__group")).groupBy("__group").agg(F.count(F.lit(1)).alias("__n"))
-        # At most max_groups longs.
-        self.hot = F.broadcast(_largest(sizes, split).select("__group"))
+        # At most rows / min_rows pairs of longs.
+        self.hot = F.broadcast(_large(sizes, split))
 
     def only(self, df: DataFrame, group: Column | None = None) -> DataFrame:
         """The rows of hot groups; ``group`` is their hash where the keys have other names."""
@@ -90,15 +94,21 @@ class HotGroups:
         marked = df.withColumn("__group", self.group if group is None else group)
         return marked.join(self.hot, "__group", "left_anti").drop("__group")
 
-    def flag(self, df: DataFrame, name: str) -> DataFrame:
-        """All rows, with TRUE for hot groups and NULL for the others."""
-        hot = F.broadcast(self.hot.withColumn(name, F.lit(True)))
-        return df.withColumn("__group", self.group).join(hot, "__group", "left").drop("__group")
+    def lanes(self, df: DataFrame, name: str) -> DataFrame:
+        """All rows, with the number of lanes their group's rows fill; NULL where it is not hot."""
+        lanes = F.ceil(F.col("__n") / F.lit(self.split.rows_per_cell)).cast("int").alias(name)
+        return df.withColumn("__group", self.group).join(
+            F.broadcast(self.hot.select("__group", lanes)), "__group", "left"
+        ).drop("__group")
 
 
 class Cells:
     """The hot groups of ``df`` by ``keys``, cut along the column ``order``.
 
+    Cuts are approximate quantiles of the group's own positions, so one stray value or
+    a burst does not put all rows into one cell; equal positions stay together. A column
+    that has no numeric position, such as text, is not cut and its groups stay whole.
+
     Where ``df`` is itself the outcome of an aggregation, naming its count as
     ``counted`` keeps that column in use here too. The aggregation then has the
     same columns wherever it is used, and Spark runs its shuffle just once.
@@ -113,41 +123,74 @@ class Cells:
         counted: str | None = None,
     ):
         self.keys = list(keys)
-        self.place = position(F.col(order), df.schema[order].dataType)
+        try:
+            self.place = position(F.col(order), df.schema[order].dataType)
+        except TypeError:
+            self.place, split = F.lit(0.0), NO_SPLIT
         self.group = group_hash(self.keys)
-        sizes = (
-            df.select(
-                self.group.alias("__group"),
-                self.place.alias("__at"),
-                (F.col(counted) if counted else F.lit(1).cast("bigint")).alias("__counted"),
-            )
-            .groupBy("__group")
+        rows = df.select(
+            self.group.alias("__group"),
+            self.place.alias("__at"),
+            (F.col(counted) if counted else F.lit(1).cast("bigint")).alias("__counted"),
+        )
+        sizes = rows.groupBy("__group").agg(
+            F.count(F.lit(1)).alias("__n"),
+            F.max("__counted").alias("__most"),
+            F.min("__at").alias("__low"),
+            F.max("__at").alias("__high"),
+        )
+        large = _large(sizes.where("__high > __low AND __most > 0"), split)
+        fractions = [n / MOST_CUTS for n in range(1, MOST_CUTS)]
+        pieces = F.least(F.ceil(F.col("__n") / F.lit(split.rows_per_cell)), F.lit(MOST_CUTS)).cast("int")
+        # A group cut into few pieces keeps every so-manieth of the quantiles.
+        nth = lambda i: F.element_at("__all", F.floor(i * MOST_CUTS / F.col("__pieces")).cast("int"))
+        inner = F.when(F.col("__pieces") > 1, F.transform(F.sequence(F.lit(1), F.col("__pieces") - 1), nth))
+        if self.keys:
+            in_large = rows.join(F.broadcast(large.select("__group", "__n")), "__group")
+        else:
+            in_large = rows.withColumn("__n", large.select("__n").scalar()).where("__n IS NOT NULL")
+        found = (
+            in_large.groupBy("__group")
             .agg(
-                F.count(F.lit(1)).alias("__n"),
-                F.max("__counted").alias("__most"),
-                F.min("__at").alias("__low"),
-                F.max("__at").alias("__high"),
+                F.percentile_approx("__at", fractions, 10 * MOST_CUTS).alias("__all"),
+                F.max("__n").alias("__n"),
+            )
+            .withColumn("__pieces", pieces)
+            .select(
+                "__group",
+                F.coalesce(inner, F.array().cast("array<double>")).alias("__cuts"),
+                F.ceil(F.col("__n") / F.lit(split.rows_per_cell * MOST_CUTS)).cast("bigint").alias("__parts"),
             )
         )
-        pieces = F.ceil(F.col("__n") / F.lit(split.rows_per_cell))
-        width = (F.col("__high") - F.col("__low")) / pieces
-        large = _largest(sizes.where("__high > __low AND __most > 0"), split)
-        cuts = large.select("__group", "__low", width.alias("__width"))
         if self.keys:
-            # At most max_groups rows of one long and two doubles.
-            self.hot = F.broadcast(cuts)
+            # At most rows / rows_per_cell cuts in all.
+            self.hot = F.broadcast(found)
         else:
             # A single group: its cuts are one value, and there is no key to join on.
-            self.single = cuts.select(F.struct("__low", "__width")).scalar()
+            self.single = found.select(F.struct("__cuts", "__parts")).scalar()
 
     def _cell(self) -> Column:
-        inside = F.floor((self.place - F.col("__low")) / F.col("__width")).cast("bigint")
+        at, cuts, parts = self.place, F.col("__cuts"), F.col("__parts")
+        steps = F.array(*[F.lit(1 << n) for n in range(10, -1, -1)])
+
+        def narrow(below: Column, step: Column) -> Column:
+            here = below + step
+            return F.when((here <= F.size(cuts)) & (F.get(cuts, here - 1) <= at), here).otherwise(below)
+
+        # The number of cuts at or below the position, by bisection.
+        inside = F.aggregate(steps, F.lit(0), narrow)
+        low, high = F.get(cuts, inside - 1), F.get(cuts, inside)
+        part = F.when(
+            (parts > 1) & (high > low),
+            F.least(F.floor((at - low) / (high - low) * parts).cast("bigint"), parts - 1),
+        )
+        cell = inside.cast("bigint") * parts + F.coalesce(part, F.lit(0).cast("bigint"))
         # NULL sorts first, so NULL positions go to a cell before all others.
-        return F.coalesce(inside, F.lit(-1).cast("bigint"))
+        return F.when(at.isNull(), F.lit(-1).cast("bigint")).otherwise(cell)
 
     def mark(self, df: DataFrame) -> DataFrame:
         """All rows of ``df`` with their cell; groups that are not hot have one cell."""
-        cell = F.when(F.col("__low").isNull(), F.lit(0).cast("bigint")).otherwise(self._cell())
+        cell = F.when(F.col("__cuts").isNull(), F.lit(0).cast("bigint")).otherwise(self._cell())
         return self._with_cuts(df, "left").select(*[F.col(c) for c in df.columns], cell.alias(CELL))
 
     def only_hot(self, df: DataFrame) -> DataFrame:
@@ -157,10 +200,10 @@ class Cells:
     def _with_cuts(self, df: DataFrame, how: str) -> DataFrame:
         if self.keys:
             return df.withColumn("__group", self.group).join(self.hot, "__group", how)
-        found = df.withColumn("__cuts", self.single).withColumns(
-            {"__low": F.col("__cuts.__low"), "__width": F.col("__cuts.__width")}
+        found = df.withColumn("__single", self.single).withColumns(
+            {"__cuts": F.col("__single.__cuts"), "__parts": F.col("__single.__parts")}
         )
-        return found if how == "left" else found.where("__low IS NOT NULL")
+        return found if how == "left" else found.where("__cuts IS NOT NULL")
 
     def rows(self) -> WindowSpec:
         """Window partition for rows: one cell of one group."""

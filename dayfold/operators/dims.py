@@ -37,7 +37,8 @@ class Lookup:
 
     ``on`` maps a column of the base to the lookup's key column, ``take`` maps
     the output name to the lookup's column, ``unknown`` gives the value for a
-    missing lookup. Unless ``unique`` says that the key is unique, the lookup is
+    missing lookup (otherwise "unknown" for text and NULL for other types); a row that is found keeps
+    its values, NULLs included. Unless ``unique`` says that the key is unique, the lookup is
     first reduced to one row per key.
     """
 
@@ -62,6 +63,7 @@ def denormalize_dim(base: DataFrame, lookups: Sequence[Lookup]) -> DataFrame:
             *[F.col(key).alias(name) for name, key in keys.items()],
             *[F.col(source).alias(name) for name, source in lookup.take.items()],
         )
+        types = {name: side.schema[name].dataType for name in lookup.take}
         columns = [F.col(c) for c in out.columns]
         condition = F.lit(True)
         if not lookup.unique:
@@ -71,14 +73,23 @@ def denormalize_dim(base: DataFrame, lookups: Sequence[Lookup]) -> DataFrame:
             condition = F.col("__lane") == F.col("__zero")
         for column, name in zip(lookup.on, keys):
             condition = condition & (F.col(column) == F.col(name))
+        # A key is never NULL where a row was found.
+        found = F.col(next(iter(keys))).isNotNull()
         taken = [
-            F.coalesce(F.col(name), F.lit(lookup.unknown.get(name, "unknown"))).alias(name)
+            F.when(found, F.col(name)).otherwise(_missing(lookup.unknown, name, types[name])).alias(name)
             for name in lookup.take
         ]
         out = out.join(side, condition, "left").select(*columns, *taken)
     return out
 
 
+def _missing(unknown: Mapping[str, Any], name: str, dtype: T.DataType) -> Column:
+    """The value for a missing lookup: as given, else "unknown" for text and NULL for other types."""
+    if name in unknown:
+        return F.lit(unknown[name])
+    return F.lit("unknown") if isinstance(dtype, T.StringType) else F.lit(None).cast(dtype)
+
+
 def scd1_upsert(current: DataFrame, changes: DataFrame, keys: Sequence[str]) -> DataFrame:
     """Replace whole rows by key, NULLs included; other rows stay.
 
@@ -198,7 +209,7 @@ def scd2_lookup(
     ts: str,
     take: Mapping[str, str],
     unknown: Mapping[str, Any] | None = None,
-    max_versions: int = 64,
+    max_versions: int = 1000,
     split: HotSplit = DEFAULT,
 ) -> DataFrame:
     """Each fact row with the version valid at ``ts``, or the unknown member.
@@ -208,7 +219,12 @@ def scd2_lookup(
     also checks the validity, so a small history is broadcast and the fact not
     shuffled. A key with more than ``max_versions`` versions would make that
     join compare each of its fact rows with all of them; those keys go through
-    :func:`~dayfold.operators.sequence.asof_join`, which reads each row once.
+    :func:`~dayfold.operators.sequence.asof_join`, which reads each row once. So no fact
+    row is compared with more than ``max_versions`` versions, and the list of such keys has
+    at most one entry per ``max_versions`` rows of the history.
+
+    A version that is found keeps its values, NULLs included. Without one, ``unknown`` gives
+    the value, otherwise "unknown" for text and NULL for other types.
     """
     unknown = unknown or {}
     names = [f"__k{i}" for i in range(len(keys))]
@@ -227,7 +243,6 @@ def scd2_lookup(
         F.col("valid_to").alias("__to"),
         F.struct(*[F.col(source).alias(name) for name, source in take.items()]).alias("__version"),
     ).na.drop(subset=names)
-    # Bounded like every list of hot groups; keys beyond it take the plain join.
     busy = HotGroups(versions, names, replace(split, min_rows=max_versions))
     fact_group = F.xxhash64(*fact_keys)
 
@@ -258,8 +273,10 @@ def scd2_lookup(
     return out.select(
         *fact.columns,
         *[
-            F.coalesce(F.col("__version")[name], F.lit(unknown.get(name, "unknown"))).alias(name)
-            for name in take
+            F.when(F.col("__version").isNotNull(), F.col("__version")[name])
+            .otherwise(_missing(unknown, name, history.schema[source].dataType))
+            .alias(name)
+            for name, source in take.items()
         ],
     )
 

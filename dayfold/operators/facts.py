@@ -44,20 +44,27 @@ def allocate_header_amount(
     order_cols: Sequence[str],
     out: str = "allocated",
     split: HotSplit = DEFAULT,
-) -> tuple[DataFrame, DataFrame]:
-    """``(lines with their share, headers without lines)``.
+) -> tuple[DataFrame, DataFrame, DataFrame]:
+    """``(lines with their share, headers without lines, lines without a header)``.
 
     A share is amount x weight / total weight, rounded half away from zero to
-    cents in integer arithmetic. The last line by ``order_cols``, which must
-    order a header's lines totally, takes what is left, so that lines add up to
+    cents in integer arithmetic. The last line by ``order_cols``, and among equals the
+    one with the largest hash of all columns, takes what is left, so that lines add up to
     the header exactly. Where the weights add up to zero it takes everything.
+    A header key that occurs twice fails, as its lines would count twice.
 
     Lines and headers meet in one shuffle, and windows over the header then
-    need no other. Headers with very many lines would not fit a window; their
-    few totals are aggregated and broadcast to their lines instead.
+    need no other; they sort a short key. Headers with very many lines would not fit a window; their
+    totals, one row per hot header, are aggregated and broadcast to their lines instead.
     """
     cents = F.coalesce((F.col(weight).cast("decimal(16,2)") * 100).cast("decimal(18,0)"), F.lit(0))
-    amounts = header.select(key, (money(amount) * 100).cast("decimal(18,0)").alias("__amount"))
+    repeated = F.raise_error(F.concat(F.lit("header key occurs twice: "), F.col(key).cast("string")))
+    amounts = (
+        header.where(F.col(key).isNotNull())
+        .groupBy(key)
+        .agg(F.max((money(amount) * 100).cast("decimal(18,0)")).alias("__amount"), F.count(F.lit(1)).alias("__heads"))
+        .select(key, F.when(F.col("__heads") > 1, repeated.cast("decimal(18,0)")).otherwise(F.col("__amount")).alias("__amount"))
+    )
     product = F.col("__amount") * F.col("__cents")
     size = F.call_function("div", F.abs(product) * 2 + F.abs("__total"), F.abs("__total") * 2)
     share = F.when(F.col("__total") == 0, F.lit(0).cast("bigint")).otherwise(
@@ -68,7 +75,8 @@ def allocate_header_amount(
     groups = HotGroups(lines, [key], split)
 
     whole = Window.partitionBy(key)
-    last_first = Window.partitionBy(key).orderBy(*[F.col(c).desc_nulls_last() for c in order_cols])
+    place = F.struct(*order_cols, F.xxhash64(*lines.columns).alias("__hash"))
+    last_first = Window.partitionBy(key).orderBy(*[F.col(c).desc_nulls_last() for c in order_cols], F.xxhash64(*lines.columns).desc())
     calm = (
         groups.rest(lines)
         .join(amounts, key)
@@ -80,17 +88,19 @@ def allocate_header_amount(
         .withColumn("__shares", F.sum("__share").over(whole))
     )
 
-    hot = groups.only(lines).withColumn("__cents", cents)
-    last = F.struct(*order_cols)
-    # One row per hot header, of which there are at most split.max_groups.
-    totals = hot.groupBy(key).agg(F.sum("__cents").alias("__total"), F.max(last).alias("__last"))
+    # Rows that are equal in every column may still tie; their own number settles that.
+    last = F.struct(place.alias("place"), F.monotonically_increasing_id().alias("row"))
+    hot = groups.only(lines).withColumns({"__cents": cents, "__place": last})
+    # One row per hot header, of which there are at most rows / split.min_rows.
+    totals = hot.groupBy(key).agg(F.sum("__cents").alias("__total"), F.max("__place").alias("__last"))
     heads = amounts.join(F.broadcast(totals), key)
     shared = hot.join(F.broadcast(heads), key).withColumn("__share", share)
     sums = shared.groupBy(key).agg(F.sum("__share").alias("__shares"))
-    busy = shared.join(F.broadcast(sums), key).withColumn("__is_last", last == F.col("__last"))
+    busy = shared.join(F.broadcast(sums), key).withColumn("__is_last", F.col("__place") == F.col("__last"))
 
     without = header.join(lines.select(key).distinct(), key, "left_anti")
-    return calm.select(result).unionByName(busy.select(result)), without
+    orphans = lines.join(header.select(key).where(F.col(key).isNotNull()).distinct(), key, "left_anti")
+    return calm.select(result).unionByName(busy.select(result)), without, orphans.select(lines.columns)
 
 
 def accumulating_snapshot(

@@ -61,7 +61,7 @@ def lifecycle(events: DataFrame, id_col: str, ts: str, period: str = "month") ->
     period before and are not now. The last period is the last in the data.
     """
     active = _active_periods(events, id_col, ts, period)
-    final = events.where(F.col(id_col).isNotNull()).agg(period_start(F.max(ts), period)).scalar()
+    final = active.agg(F.max("period")).scalar()
     in_order = Window.partitionBy(id_col).orderBy("period")
     index = period_index("period", period)
     rows = active.withColumns({"__prev": F.lag(index).over(in_order), "__next": F.lead(index).over(in_order)})
@@ -111,15 +111,14 @@ def funnel(
     steps: Sequence[str],
     within: timedelta,
     split: HotSplit = DEFAULT,
-    lanes: int = 256,
 ) -> DataFrame:
     """Ids that reach each step.
 
     A run starts at the id's first event of step one; each further step is the
     earliest strictly later event of its kind, at most ``within`` after the start.
 
-    The events of an id with very many are spread over ``lanes``, to each of
-    which the id's one row of progress is copied.
+    The events of an id with very many are spread over as many lanes as they fill cells, to
+    each of which the id's one row of progress is copied. Copies of one event share a lane.
     """
     used = events.where(F.col(kind).isin(list(steps)) & F.col(id_col).isNotNull()).select(id_col, ts, kind)
     groups = HotGroups(used, [id_col], split)
@@ -130,12 +129,14 @@ def funnel(
     state = of(steps[0]).groupBy(id_col).agg(F.min("__ts").alias("__at0"))
     for i, step in enumerate(steps[1:], start=1):
         done = [f"__at{n}" for n in range(i)]
-        lane = F.pmod(F.xxhash64("__ts"), F.lit(lanes)).cast("int")
-        candidates = groups.flag(of(step), "__hot").select(
-            F.col(id_col).alias("__id"), "__ts", F.when(F.col("__hot"), lane).otherwise(0).alias("__event_lane")
+        lane = F.pmod(F.xxhash64("__ts"), F.col("__lanes").cast("bigint")).cast("int")
+        candidates = groups.lanes(of(step), "__lanes").select(
+            F.col(id_col).alias("__id"), "__ts", F.coalesce(lane, F.lit(0)).alias("__event_lane")
         )
-        copies = F.when(F.col("__hot"), F.sequence(F.lit(0), F.lit(lanes - 1))).otherwise(F.array(F.lit(0)))
-        spread = groups.flag(state, "__hot").select(id_col, *done, F.explode(copies).alias("__lane"))
+        copies = F.when(F.col("__lanes").isNotNull(), F.sequence(F.lit(0), F.col("__lanes") - 1)).otherwise(
+            F.array(F.lit(0))
+        )
+        spread = groups.lanes(state, "__lanes").select(id_col, *done, F.explode(copies).alias("__lane"))
         later = (F.col("__ts") > F.col(done[-1])) & (F.col("__ts") <= F.col("__at0") + F.lit(within))
         same = (F.col(id_col) == F.col("__id")) & (F.col("__lane") == F.col("__event_lane"))
         state = (
@@ -169,11 +170,11 @@ def topk_per_group(
     shuffle. Spark does that on its own up to its group-limit threshold; for a
     larger ``k`` a first cut is made in ``lanes`` parts per group. The other two
     may keep any number of tied rows, so places are found from the distinct
-    metric values and joined back.
+    metric values, cut likewise, and joined back.
     """
+    limit = int(df.sparkSession.conf.get("spark.sql.optimizer.windowGroupLimitThreshold", "1000"))
     if ties == "row":
         best = [F.col(metric).desc_nulls_last(), *tiebreak]
-        limit = int(df.sparkSession.conf.get("spark.sql.optimizer.windowGroupLimitThreshold", "1000"))
         if k > limit:
             lane = F.pmod(F.xxhash64(metric, *tiebreak), F.lit(lanes))
             part = Window.partitionBy(*group, "__lane").orderBy(*best)
@@ -188,6 +189,11 @@ def topk_per_group(
     names = [f"__l{i}" for i in range(len(keys))]
     levels = df.groupBy(*[F.col(c).alias(n) for c, n in zip(keys, names)]).agg(F.count(F.lit(1)).alias("__n"))
     by_level = Window.partitionBy(*names[:-1]).orderBy(F.col(names[-1]).desc_nulls_last())
+    if k > limit:
+        lane = F.pmod(F.xxhash64(names[-1]), F.lit(lanes))
+        part = Window.partitionBy(*names[:-1], "__lane").orderBy(F.col(names[-1]).desc_nulls_last())
+        levels = levels.withColumn("__lane", lane).withColumn("__nth", F.row_number().over(part))
+        levels = levels.where(F.col("__nth") <= k).drop("__lane", "__nth")
     # A rank of at most k lies among the first k distinct values.
     top = levels.withColumn("__dense", F.row_number().over(by_level)).where(F.col("__dense") <= k)
     above = F.sum("__n").over(by_level.rowsBetween(Window.unboundedPreceding, -1))

@@ -199,17 +199,16 @@ def reconcile(a: DataFrame, b: DataFrame, keys: Sequence[str]) -> DataFrame:
         )
         kinds = ["only_left", "only_right", "same"]
     else:
-        per_key = stacked.groupBy(*group).agg(
-            F.sum("__a").alias("__a"),
-            F.sum("__b").alias("__b"),
-            F.min("__row").alias("__low"),
-            F.max("__row").alias("__high"),
+        # Equal rows are counted first, so that hash aggregates do where extremes of rows need sorts.
+        rows = stacked.groupBy(*group, "__row").agg(F.sum("__a").alias("__a"), F.sum("__b").alias("__b"))
+        per_key = rows.groupBy(*group).agg(
+            F.sum("__a").alias("__a"), F.sum("__b").alias("__b"), F.count(F.lit(1)).alias("__rows")
         )
         status = (
             F.when((F.col("__a") > 1) | (F.col("__b") > 1), "repeated")
             .when(F.col("__b") == 0, "only_left")
             .when(F.col("__a") == 0, "only_right")
-            .when(F.col("__low").eqNullSafe(F.col("__high")), "same")
+            .when(F.col("__rows") == 1, "same")
             .otherwise("different")
         )
         kinds = ["only_left", "only_right", "different", "same", "repeated"]

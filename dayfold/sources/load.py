@@ -56,7 +56,8 @@ def parse_json_column(
 
     Text that is not a JSON object, or a field of the wrong type, gives NULL
     there and sets ``flag``. A NULL text gives NULL fields and is not malformed.
-    What follows a complete object is ignored, as Spark's parser stops there.
+    Text that goes on behind a complete object is no JSON object either; as Spark's parser stops
+    there, it is read once more as the first of two entries of an array.
     """
     fields = T.StructType.fromDDL(ddl).fields
     parsed = F.from_json(
@@ -65,9 +66,14 @@ def parse_json_column(
         {"mode": "PERMISSIVE", "columnNameOfCorruptRecord": "__bad", "allowSingleQuotes": "false"},
     )
     kept = [c for c in df.columns if keep_text or c != col]
+    last = "the end"
+    entries = F.from_json(
+        F.concat(F.lit("["), F.col(col), F.lit(f',"{last}"]')), "array<string>", {"allowSingleQuotes": "false"}
+    )
+    whole = F.coalesce((F.size(entries) == 2) & (F.element_at(entries, -1) == last), F.lit(False))
     # Empty text parses to a NULL struct.
     is_bad = F.col("__json").getField("__bad").isNotNull() | (F.col("__json").isNull() & F.col("__given"))
-    return df.select(*kept, parsed.alias("__json"), F.col(col).isNotNull().alias("__given")).select(
+    return df.select(*kept, F.when(whole, parsed).alias("__json"), F.col(col).isNotNull().alias("__given")).select(
         *kept,
         *[F.col("__json").getField(f.name).alias(f.name) for f in fields],
         is_bad.alias(flag),

@@ -3,6 +3,7 @@
 import pytest
 
 import __spark_entry__ as entries
+from dayfold import catalog
 from compare import compare, connect
 
 
@@ -19,6 +20,6 @@ def test_entry(spark):
     assert entries.entry(spark).columns == ["region", "dt", "net_sales", "lines"]
 
 
-@pytest.mark.parametrize("name", list(entries.queries()))
+@pytest.mark.parametrize("name", list(catalog.QUERIES))
 def test_query(spark, duck, folder, name):
     assert compare(spark, duck, folder, name) == ""

@@ -54,7 +54,7 @@ def expected_history(changes):
     return sorted(out, key=str)
 
 
-@pytest.mark.parametrize("split", [HotSplit(), TINY, HotSplit(min_rows=3, rows_per_cell=2, max_groups=1)])
+@pytest.mark.parametrize("split", [HotSplit(), TINY, HotSplit(min_rows=3, rows_per_cell=2)])
 @pytest.mark.parametrize("seed", [1, 2])
 def test_scd2_build(spark, split, seed):
     changes = random_changes(seed)
@@ -98,7 +98,7 @@ FACTS = [
     (2, 1, datetime(2024, 1, 1), "a"),
     (3, 1, datetime(2024, 1, 10), "b"),
     (4, 1, datetime(2024, 1, 20), "unknown"),
-    (5, 1, datetime(2024, 1, 26), "unknown"),
+    (5, 1, datetime(2024, 1, 26), None),  # the version says NULL
     (6, 2, datetime(2025, 1, 1), "z"),
     (7, 3, datetime(2024, 1, 1), "unknown"),
     (8, None, datetime(2024, 1, 1), "unknown"),
@@ -117,6 +117,20 @@ def test_scd2_lookup(spark, max_versions, split):
     assert rows(out) == sorted(((f[0], *f[1:]) for f in FACTS), key=str)
 
 
+def test_found_nulls_stay_and_defaults_follow_the_type(spark):
+    base = spark.createDataFrame([(1,), (2,), (None,)], "k int")
+    side = spark.createDataFrame([(1, None, None, None)], "n int, name string, size int, since date")
+    take = {"name": "name", "size": "size", "since": "since"}
+    out = denormalize_dim(base, [Lookup(side, {"k": "n"}, take)])
+    missing = ("unknown", None, None)
+    assert rows(out) == sorted([(1, None, None, None), (2, *missing), (None, *missing)], key=str)
+    history = side.selectExpr("n", "name", "size", "since", "timestamp_ntz'2024-01-01' valid_from", "timestamp_ntz'2025-01-01' valid_to")
+    facts = base.selectExpr("k", "timestamp_ntz'2024-06-01' at")
+    for most in (1000, 0):
+        found = scd2_lookup(facts, history, {"k": "n"}, "at", take, max_versions=most).drop("at")
+        assert rows(found) == sorted([(1, None, None, None), (2, *missing), (None, *missing)], key=str)
+
+
 def test_denormalize_keeps_the_row_count(spark):
     base = spark.createDataFrame([(1, 1), (2, 9), (3, None)], "id int, n int")
     nation = spark.createDataFrame([(1, "N1", 5), (1, "N1b", 5), (2, None, 6)], "n int, name string, r int")

@@ -123,7 +123,7 @@ def test_allocation_adds_up(spark, split):
     lines += [(2, 0, d("0.00")), (2, 1, d("0.00")), (3, 0, d("4.20")), (5, 0, d("1.00")), (5, 1, d("2.00")), (5, 2, None)]
     rnd = random.Random(1)
     lines += [(6, n, d(rnd.randrange(1, 9999)) / 100) for n in range(60)]
-    shared, without = allocate_header_amount(
+    shared, without, _ = allocate_header_amount(
         spark.createDataFrame(lines, "h bigint, n int, weight decimal(18,2)"),
         spark.createDataFrame(header, "h bigint, amount decimal(18,2)"),
         "h", "amount", "weight", ["n"], split=split,
@@ -150,6 +150,42 @@ def test_cells_really_split(spark):
     assert cells.only_hot(df).count() == 800
 
 
+@pytest.mark.parametrize("stray", ["1e12", "-1e12", "CAST('Infinity' AS DOUBLE)", "CAST(NULL AS DOUBLE)"])
+def test_one_stray_value_does_not_undo_the_split(spark, stray):
+    from dayfold.functions.hot import CELL, Cells
+
+    df = spark.range(20_000).selectExpr("1 AS k", "pow(id, 3) AS x").unionAll(spark.sql(f"SELECT 1 AS k, {stray} AS x"))
+    for keys in (["k"], []):
+        cells = Cells(df, keys, "x", HotSplit(min_rows=500, rows_per_cell=200))
+        per_cell = cells.mark(df).groupBy(CELL).agg(F.count("*").alias("n"), F.min("x").alias("a"), F.max("x").alias("b"))
+        found = per_cell.orderBy(CELL).collect()
+        assert max(r.n for r in found) <= 400
+        known = [r for r in found if r.a is not None]
+        assert all(x.b < y.a for x, y in zip(known, known[1:]))
+
+
+def test_every_hot_key_is_split_and_text_is_left_whole(spark):
+    from dayfold.functions.hot import CELL, Cells
+
+    df = spark.range(30_000).selectExpr("id % 1000 AS k", "id AS x", "CAST(id AS string) AS t")
+    split = HotSplit(min_rows=20, rows_per_cell=10)
+    assert Cells(df, ["k"], "x", split).mark(df).groupBy("k", CELL).count().agg(F.max("count")).first()[0] <= 20
+    assert Cells(df, ["k"], "t", split).mark(df).select(CELL).distinct().count() == 1
+
+
+@pytest.mark.parametrize("split", SPLITS)
+def test_allocation_of_ties_orphans_and_repeated_headers(spark, split):
+    header = spark.createDataFrame([(1, 100.0), (2, 5.0)], "h int, amount double")
+    lines = spark.createDataFrame([(1, 1.0)] * 3 + [(9, 1.0)] * 4 + [(None, 1.0)], "h int, w double")
+    shared, without, orphans = allocate_header_amount(lines, header, "h", "amount", "w", ["w"], split=split)
+    assert sorted(r.allocated for r in shared.collect()) == [Decimal("33.33"), Decimal("33.33"), Decimal("33.34")]
+    assert [r.h for r in without.collect()] == [2]
+    assert sorted([r.h for r in orphans.collect()], key=str) == [9, 9, 9, 9, None]
+    twice = header.union(header.where("h = 1"))
+    with pytest.raises(Exception, match="header key occurs twice"):
+        allocate_header_amount(lines, twice, "h", "amount", "w", ["w"], split=split)[0].collect()
+
+
 def copies(spark, n):
     """One event ``n`` times, and a few others of the same user."""
     schema = "id int, user int, ts timestamp_ntz"

@@ -71,6 +71,13 @@ def test_json(spark):
     assert parse_json_column(df, "body", "k int", keep_text=True).columns == ["id", "body", "k", "is_malformed"]
 
 
+def test_text_behind_an_object_is_malformed(spark):
+    texts = ['{"k":1} x', '{"k":1}{"k":2}', '{"k":1},{"k":2}', '{"k":1}],[{"k":2}', "[]", '[{"k":1}]', "1", "", ' {"k":1} ', '{"k":1}\n']
+    df = spark.createDataFrame([(n, t) for n, t in enumerate(texts)], "id int, body string")
+    out = [(r.k, r.is_malformed) for r in parse_json_column(df, "body", "k int").orderBy("id").collect()]
+    assert out == [(None, True)] * 8 + [(1, False)] * 2
+
+
 def test_surrogate_keys_tell_nulls_apart(spark):
     rows = [("a", None), (None, "a"), ("a", ""), ("", "a"), (None, None), ("-", None), ("1:a", "b"), ("a1:", "b")]
     df = spark.createDataFrame(rows, "x string, y string")

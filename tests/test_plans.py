@@ -7,6 +7,7 @@ import pytest
 from pyspark.sql import functions as F
 
 import __spark_entry__ as entries
+from dayfold import catalog
 from dayfold.operators import (
     Lookup,
     denormalize_dim,
@@ -36,7 +37,7 @@ def plan_of(df):
     return df._jdf.queryExecution().executedPlan().toString()
 
 
-@pytest.mark.parametrize("name", list(entries.queries()))
+@pytest.mark.parametrize("name", list(catalog.QUERIES))
 def test_no_operator_gathers_everything(spark, folder, name):
     text = plan_of(entries.queries()[name](spark, folder))
     assert "CartesianProduct" not in text and "BroadcastNestedLoopJoin" not in text
@@ -167,3 +168,24 @@ def test_daily_batch(spark, folder, days):
 
     with pytest.raises(ValueError):
         run_day(wh, days[0], days[1])
+
+
+@pytest.mark.parametrize("ties", ["rank", "dense_rank"])
+def test_levels_are_cut_for_any_k(spark, ties):
+    df = spark.range(9000).selectExpr("1 AS g", "id % 4000 AS x")
+    top = topk_per_group(df, ["g"], "x", 2000, ties)
+    assert "__lane" in plan_of(top)
+    rows = [(r.x, r.place) for r in top.collect()]
+    kept = sorted((x for x in [n % 4000 for n in range(9000)]), reverse=True)
+    if ties == "rank":
+        expected = [(x, 1 + kept.index(x)) for x in kept if kept.index(x) < 2000]
+    else:
+        expected = [(x, 4000 - x) for x in kept if 4000 - x <= 2000]
+    assert sorted(rows) == sorted(expected)
+
+
+def test_reconcile_uses_hash_aggregates(spark):
+    from dayfold.operators import reconcile
+
+    df = spark.range(5).selectExpr("id", "id AS x", "'t' AS y")
+    assert "SortAggregate" not in plan_of(reconcile(df, df, ["id"]))
