@@ -12,6 +12,11 @@ Tables below the warehouse folder, all by ``dt``:
 - ``customer_to_date``: first day, last day and totals per customer after the day
 - ``priority_closed``: versions of the customer's priority that ended on the day
 - ``priority_current``: the version open after the day, one row per customer
+
+With ``keep_late`` also:
+
+- ``headers``: key, customer and date of the day's orders
+- ``pending``: lines that have landed and whose order has not
 """
 
 from __future__ import annotations
@@ -23,11 +28,12 @@ from datetime import date, timedelta
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from dayfold.functions.columns import day_of, money
+from dayfold.functions.columns import money
 from dayfold.operators.clean import latest_by_key, split_valid
 from dayfold.operators.dims import Lookup, scd2_apply
 from dayfold.operators.facts import transaction_fact
 from dayfold.operators.summaries import daily_summary, to_date_merge
+from dayfold.session import written
 from dayfold.sources.load import load_increment, read_days, write_day
 
 TO_DATE = "o_custkey bigint, first_day date, last_day date, lines bigint, net_sales decimal(28,4)"
@@ -43,11 +49,17 @@ class Warehouse:
     ``source(name, day)`` gives what landed for ``orders`` and ``lineitem``, and
     the current table of a dimension. With landed tables kept by day it returns
     that day's folder, so that a run reads its own day and no more.
+
+    ``keep_late`` is for such sources, which hand out every line once: a line that lands
+    after its order's day is sold on the day it lands, and one that lands before its order waits
+    in ``pending``, so that none is lost. Without it a run takes the lines of its own orders
+    alone, as is right for a source that always hands out all lines.
     """
 
     spark: SparkSession
     source: Callable[[str, date], DataFrame]
     path: str
+    keep_late: bool = False
 
     def table(self, name: str) -> str:
         return f"{self.path}/{name}"
@@ -70,13 +82,37 @@ def customer_chain(wh: Warehouse, day: date) -> list[Lookup]:
     ]
 
 
+def _with_late(
+    wh: Warehouse, landed: DataFrame, orders: DataFrame, day: date, previous: date | None
+) -> tuple[DataFrame, DataFrame]:
+    """Lines and orders to process: those of the day, and those that waited or came late."""
+    columns = landed.columns
+    landed = written(landed.unionByName(wh.state("pending", landed.schema, previous)), "landed-lines")
+    todays = orders.select("o_orderkey", "o_custkey", "o_orderdate")
+    write_day(todays, wh.table("headers"), day)
+    if previous is None:
+        known = todays
+    else:
+        before = read_days(wh.spark, wh.table("headers"), todays.schema).where(F.col("dt") < F.lit(day)).drop("dt")
+        known = todays.unionByName(before)
+    same = F.col("l_orderkey") == F.col("o_orderkey")
+    keys = known.select("o_orderkey").distinct()
+    write_day(landed.join(keys, same, "left_anti"), wh.table("pending"), day)
+    lines = written(landed.join(keys, same, "left_semi").select(columns), "lines-with-orders")
+    return lines, known.join(lines.select("l_orderkey").distinct(), same, "left_semi")
+
+
 def run_day(wh: Warehouse, day: date, previous: date | None) -> None:
     """Process ``day`` on top of the state after ``previous`` (None for the first run)."""
     if previous is not None and previous >= day:
         raise ValueError(f"{day} must come after {previous}")
     orders = load_increment(wh.source("orders", day), "o_orderdate", day, day + timedelta(days=1))
-    of_day = orders.select("o_orderkey")
-    lines = wh.source("lineitem", day).join(of_day, F.col("l_orderkey") == F.col("o_orderkey"), "left_semi")
+    lines, of_lines = wh.source("lineitem", day), orders
+    if wh.keep_late:
+        lines, of_lines = _with_late(wh, lines, orders, day, previous)
+    else:
+        of_day = orders.select("o_orderkey")
+        lines = written(lines.join(of_day, F.col("l_orderkey") == F.col("o_orderkey"), "left_semi"), "day-lines")
     valid, rejected = split_valid(
         lines,
         {
@@ -89,12 +125,12 @@ def run_day(wh: Warehouse, day: date, previous: date | None) -> None:
     net = money("l_extendedprice") * (F.lit(1) - F.col("l_discount").cast("decimal(4,2)"))
     sales = transaction_fact(
         valid,
-        orders,
+        of_lines,
         "l_orderkey",
         "o_orderkey",
         ["o_custkey", "o_orderdate"],
         customer_chain(wh, day),
-        {"net": net.cast("decimal(18,4)"), "dt": day_of("o_orderdate")},
+        {"net": net.cast("decimal(18,4)"), "dt": F.lit(day)},
     )
     write_day(sales, wh.table("sales"), day)
     # From here on read the day back: it is small, and reading beats joining again.
@@ -110,7 +146,7 @@ def run_day(wh: Warehouse, day: date, previous: date | None) -> None:
 
     changes = latest_by_key(orders, ["o_custkey"], ["o_orderkey"])
     current = wh.state("priority_current", VERSION, previous)
-    versions = scd2_apply(current, changes, day, ["o_custkey"], ["o_orderpriority"])
+    versions = written(scd2_apply(current, changes, day, ["o_custkey"], ["o_orderpriority"]), "versions")
     write_day(versions.where("NOT is_current"), wh.table("priority_closed"), day)
     write_day(versions.where("is_current"), wh.table("priority_current"), day)
 

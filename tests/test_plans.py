@@ -170,6 +170,39 @@ def test_daily_batch(spark, folder, days):
         run_day(wh, days[0], days[1])
 
 
+def test_late_and_early_lines_are_not_lost(spark, folder, days):
+    """Lines land on the day of their order, a day before it or a day after it."""
+    plain = warehouse(spark, folder, days).source
+    shift = (F.col("l_linenumber") % 3 - 1).cast("int")
+
+    def source(name, day):
+        if name != "lineitem":
+            return plain(name, day)
+        orders = plain("orders", day).select("o_orderkey", F.to_date("o_orderdate").alias("d"))
+        lines = plain("lineitem", day).join(orders, F.col("l_orderkey") == F.col("o_orderkey"))
+        lands = F.greatest(F.date_add("d", shift), F.lit(days[0]))
+        return lines.where(lands == F.lit(day)).drop("o_orderkey", "d")
+
+    wh = Warehouse(spark, source, work_folder(spark, "warehouse"), keep_late=True)
+    more = [*days, days[-1] + timedelta(days=1)]
+
+    def balance(upto):
+        landed = sum(source("lineitem", d).count() for d in more if d <= upto)
+        kept = sum(spark.read.parquet(wh.table(t)).where(F.col("dt") <= F.lit(upto)).count() for t in ("sales", "rejects"))
+        waiting = spark.read.parquet(wh.table("pending")).where(F.col("dt") == F.lit(upto)).count()
+        assert landed == kept + waiting
+        return waiting
+
+    run_days(wh, more[:2])
+    assert balance(more[1]) > 0
+    run_days(wh, more[2:], more[1])
+    assert balance(more[-1]) == 0
+    everything = read_table(spark, folder, "lineitem").count()
+    assert sum(spark.read.parquet(wh.table(t)).count() for t in ("sales", "rejects")) == everything
+    run_day(wh, more[-1], more[-2])
+    assert balance(more[-1]) == 0
+
+
 @pytest.mark.parametrize("ties", ["rank", "dense_rank"])
 def test_levels_are_cut_for_any_k(spark, ties):
     df = spark.range(9000).selectExpr("1 AS g", "id % 4000 AS x")
