@@ -52,11 +52,12 @@ def test_posterior_of_short_texts_against_the_formula(spark):
     assert last.probability == pytest.approx(odds.max() / odds.sum())
 
 
-def test_pages(spark, folder):
-    pages = page_evidence(spark.read.parquet(f"{folder}/pages.parquet"))
+def test_pages(spark):
+    """Menus and footers of these pages are often in another language than the article."""
+    pages = page_evidence(spark.read.parquet("/root/testdata/sf0.01/pages.parquet"))
     got = identify_languages(pages, "page_id", "plain", "declared", "suffix", "host", carry=["declared"]).collect()
-    assert len(got) == 50
-    assert sum(r.language == r.declared for r in got) >= 45
+    assert len(got) == 250
+    assert sum(r.language == r.declared for r in got) > 0.9 * 250
     odd = [("http://A.Example.DE:80/x", '<HTML dir=ltr LANG="De-ch"><style>x</style><p>y'), (None, None), ("x", "<p lang=en>")]
     found = page_evidence(spark.createDataFrame(odd, "url string, html string")).collect()
     assert [(r.declared, r.suffix, r.host) for r in found] == [("de", "de", "a.example.de"), (None, None, None), (None, None, None)]
@@ -68,10 +69,8 @@ def test_odd_rows(spark, odd, odd_rows, none):
     model = TextModel(["en", "fr"], np.log(np.full((1 << 15, 2), 1.0 / (1 << 15))))
     got = identify_languages(odd, model=model).collect()
     assert len(got) == len(odd_rows)
-    letters = {"A", "a", "é É ß", "x  y\n z ", "other"}
     assert all((r.text_language is not None) >= r.accepted for r in got)
     assert sum(r.text_language is None for r in got) == sum(1 for r in odd_rows if not (r[1] or "").strip(" \x00\x1f\x7f"))
-    assert letters
     # No declared value has enough texts to be a language.
     assert {r.language for r in identify_languages(odd).collect()} == {"und"}
     assert identify_languages(none, model=model).collect() == identify_languages(none).collect() == []
