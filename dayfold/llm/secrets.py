@@ -9,7 +9,7 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from dayfold.llm.tables import known_text, need
+from dayfold.llm.tables import Scratch, known_text, need
 
 
 @dataclass(frozen=True)
@@ -175,14 +175,12 @@ def scan_secrets(
     place = F.array_position(F.array(*[F.lit(r.kind) for r in rules]), F.col("kind")).cast("int")
     spans = F.sort_array(F.collect_list(F.struct("start", place.alias("rule"), "end", "kind")))
     found = ledger.findings().where(current).groupBy("blob").agg(spans.alias("spans"))
-    # `one` makes both sides come straight from the join's own shuffles, so that AQE
-    # can split the join where many paths share one blob.
-    found = found.withColumn("one", F.explode(F.array(F.lit(1))))
+    # Written, so that AQE can split the join where many paths share one blob.
+    found = Scratch(docs.sparkSession, "secret-spans").write(found)
     rows = docs.select(*[F.col(p).alias(f"__{n}") for n, p in enumerate(paths)], blob_id(text).alias("blob"))
     none = F.array().cast("array<struct<start:bigint,rule:int,end:bigint,kind:string>>")
     return (
-        rows.withColumn("one", F.lit(1))
-        .join(found, ["blob", "one"], "left")
+        rows.join(found, "blob", "left")
         .select(
             *[F.col(f"__{n}").alias(p) for n, p in enumerate(paths)],
             "blob",
