@@ -6,7 +6,7 @@ from collections.abc import Iterator, Sequence
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -208,13 +208,14 @@ def near_dedup(
         )
     )
 
+    def following(n: Column, s: int) -> Column:
+        return F.element_at("keys", ((n + s) % sketches + 1).cast("int"))
+
     # Bucket names carry the sketch's number, refined by the next key and the next two.
-    def bucket(span: int):
+    def bucket(span: int) -> Column:
         return F.transform(
             "keys",
-            lambda key, n: F.xxhash64(
-                n, F.lit(span), key, *[F.element_at("keys", ((n + s) % sketches + 1).cast("int")) for s in range(1, span)]
-            ),
+            lambda key, n: F.xxhash64(n, F.lit(span), key, *[following(n, s) for s in range(1, span)]),
         )
 
     members = nodes.select("node", F.explode(F.concat(*[bucket(s) for s in (1, 2, 3)])).alias("bucket"))
@@ -223,7 +224,9 @@ def near_dedup(
     heads = scratch.write(ends.where("low < high"))
     met = members.join(heads, "bucket").select("node", F.explode(F.array("low", "high")).alias("head"))
     # Either order of a pair is one pair; the smaller id is the head.
-    pairs = met.where("node != head").select(F.least("node", "head").alias("head"), F.greatest("node", "head").alias("node"))
+    pairs = met.where("node != head").select(
+        F.least("node", "head").alias("head"), F.greatest("node", "head").alias("node")
+    )
     pairs = scratch.write(pairs.distinct())
     scratch.drop(members, heads)
 
