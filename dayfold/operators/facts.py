@@ -63,7 +63,8 @@ def allocate_header_amount(
         header.where(F.col(key).isNotNull())
         .groupBy(key)
         .agg(F.max((money(amount) * 100).cast("decimal(18,0)")).alias("__amount"), F.count(F.lit(1)).alias("__heads"))
-        .select(key, F.when(F.col("__heads") > 1, repeated.cast("decimal(18,0)")).otherwise(F.col("__amount")).alias("__amount"))
+        .withColumn("__amount", F.when(F.col("__heads") > 1, repeated.cast("decimal(18,0)")).otherwise(F.col("__amount")))
+        .select(key, "__amount")
     )
     product = F.col("__amount") * F.col("__cents")
     size = F.call_function("div", F.abs(product) * 2 + F.abs("__total"), F.abs("__total") * 2)
@@ -75,8 +76,9 @@ def allocate_header_amount(
     groups = HotGroups(lines, [key], split)
 
     whole = Window.partitionBy(key)
-    place = F.struct(*order_cols, F.xxhash64(*lines.columns).alias("__hash"))
-    last_first = Window.partitionBy(key).orderBy(*[F.col(c).desc_nulls_last() for c in order_cols], F.xxhash64(*lines.columns).desc())
+    hashed = F.xxhash64(*lines.columns)
+    place = F.struct(*order_cols, hashed.alias("__hash"))
+    last_first = Window.partitionBy(key).orderBy(*[F.col(c).desc_nulls_last() for c in order_cols], hashed.desc())
     calm = (
         groups.rest(lines)
         .join(amounts, key)
