@@ -53,14 +53,15 @@ def fit_text_model(
     declared_col: str,
     id_col: str = "doc_id",
     text_col: str = "text",
-    rows_per_language: int = 1500,
+    rows_per_language: int = 1000,
     least_rows: int = 10,
 ) -> TextModel:
     """Trigram shares of the declared languages.
 
     Fitted on whole texts of at most ``rows_per_language`` rows of each declared language, those
     with the smallest hashes of their ids. A declared value with fewer than ``least_rows``
-    texts is no language. The counts are summed by Spark; what reaches the driver is at most
+    texts is no language. Up to Spark's group-limit threshold (1000), map tasks pass on no more
+    than these rows of a language, however many declare it. The counts are summed by Spark; what reaches the driver is at most
     ``BUCKETS`` numbers per language.
     """
     spread = Window.partitionBy("language").orderBy(F.xxhash64("id"), "id")
