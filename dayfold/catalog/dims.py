@@ -18,6 +18,7 @@ from dayfold.operators.dims import (
     scd2_build,
     scd2_lookup,
 )
+from dayfold.session import written
 
 # Limits low enough that the small tables have hot groups too.
 SMALL_CELLS = HotSplit(min_rows=5, rows_per_cell=3)
@@ -132,8 +133,10 @@ def _lookup(t: Tables, **more) -> DataFrame:
     lines = t.lineitem.join(t.orders, F.col("l_orderkey") == F.col("o_orderkey")).select(
         "l_orderkey", "l_linenumber", "l_partkey", "l_suppkey", "o_custkey", "l_shipdate"
     )
+    # A lookup reads a stored history, so store it first; built anew in each branch it would be planned many times.
+    history = written(priority_history(t), "priority-history")
     return scd2_lookup(
-        lines, priority_history(t), {"o_custkey": "o_custkey"}, "l_shipdate", {"priority": "o_orderpriority"}, **more
+        lines, history, {"o_custkey": "o_custkey"}, "l_shipdate", {"priority": "o_orderpriority"}, **more
     )
 
 

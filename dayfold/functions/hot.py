@@ -23,7 +23,7 @@ BEFORE, ROW, AFTER = 0, 1, 2
 
 
 # Most cuts that are looked for in one group; larger cells are cut further by equal width.
-MOST_CUTS = 1024
+MOST_CUTS = 256
 
 
 @dataclass(frozen=True)
