@@ -15,6 +15,15 @@ APART = "".join(chr(c) for c in range(128) if not chr(c).isalnum())
 LARGE, SMALL = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 
 
+# Up to this many terms, some tens of MB, a list of terms is broadcast; a longer one is joined by shuffle.
+MOST_BROADCAST = 500_000
+
+
+def _list(terms: DataFrame) -> DataFrame:
+    """``terms``, a written table, to be broadcast if it is counted to be small."""
+    return F.broadcast(terms) if terms.limit(MOST_BROADCAST + 1).count() <= MOST_BROADCAST else terms
+
+
 def words_column(text: Column) -> Column:
     """The words of a text as an array, A-Z made small; characters beyond ASCII are in words."""
     plain = F.translate(text, LARGE + APART, SMALL + " " * len(APART))
@@ -31,7 +40,8 @@ class Index:
     def build(words: DataFrame, terms: DataFrame, scratch: Scratch) -> Index:
         """Index the ``terms`` (term) in ``words`` (id, words); other words need no postings."""
         rows = words.select("id", F.posexplode("words").alias("position", "term"))
-        return Index(scratch.write(rows.join(terms, "term", "left_semi").select("term", "id", "position")))
+        found = rows.join(_list(scratch.write(terms)), "term", "left_semi")
+        return Index(scratch.write(found.select("term", "id", "position")))
 
     def starts(self, rarest: DataFrame) -> DataFrame:
         """The lists of ``rarest`` (phrase, term, offset), moved back by the offset: id, phrase, start."""
@@ -57,7 +67,7 @@ class Index:
 
 def term_counts(words: DataFrame, terms: DataFrame) -> DataFrame:
     """How often each of ``terms`` (term) occurs in ``words``; map tasks count first."""
-    rows = words.select(F.explode("words").alias("term")).join(terms, "term", "left_semi")
+    rows = words.select(F.explode("words").alias("term")).join(_list(terms), "term", "left_semi")
     counts = rows.groupBy("term").agg(F.count(F.lit(1)).alias("n"))
     return terms.join(counts, "term", "left").select("term", F.coalesce("n", F.lit(0)).alias("n"))
 
