@@ -115,6 +115,46 @@ def aligned_similarity(a: Sequence, b: Sequence, least: float) -> float:
     return found / (len(a) + len(b) - found) if found >= needed else 0.0
 
 
+def shingle_counts(shingles: np.ndarray) -> np.ndarray:
+    """How many shingles fall into each of 256 bins by their hash, at most 255 a bin."""
+    bins = (shingles * np.uint64(0x9FB21C651E98DF25)) >> np.uint64(56)
+    return np.minimum(np.bincount(bins.astype("int64"), minlength=256), 255).astype("uint8")
+
+
+def unlike_pairs(left: tuple, right: tuple | None, sketch: int, least: float) -> tuple[np.ndarray, ...]:
+    """Pairs of members of a bucket that may be similar and have different classes, by places.
+
+    A side is (class codes, shingle numbers, keys, counts by bin); without ``right``, pairs are within ``left``.
+    Pairs that share an earlier key are left to its bucket. Of two texts with m aligned shingles, a + b - 2 m are
+    not aligned, and their counts cannot differ by more. Returns the places and that difference.
+    """
+    class_a, n_a, keys_a, counts_a = left
+    class_b, n_b, keys_b, counts_b = right or left
+    needed = np.ceil(least * (n_a[:, None] + n_b[None, :]) / (1 + least) - 1e-9)
+    open_pairs = (class_a[:, None] != class_b[None, :]) & (needed <= np.minimum(n_a[:, None], n_b[None, :]))
+    if right is None:
+        open_pairs &= np.triu(np.ones(open_pairs.shape, bool), 1)
+    for s in range(sketch):
+        open_pairs &= keys_a[:, None, s] != keys_b[None, :, s]
+    a, b = np.nonzero(open_pairs)
+    most = n_a[a] + n_b[b] - 2 * needed[a, b]
+    apart = np.empty(len(a), dtype="int64")
+    for at in range(0, len(a), 8192):
+        part = slice(at, at + 8192)
+        apart[part] = np.abs(counts_a[a[part]].astype("int16") - counts_b[b[part]]).sum(axis=1)
+    good = apart <= most
+    return a[good], b[good], apart[good]
+
+
+def first_of_groups(groups: np.ndarray, order: np.ndarray, limit: int) -> np.ndarray:
+    """Places of the ``limit`` least by ``order`` of each group."""
+    by_group = np.lexsort((order, groups))
+    ordered = groups[by_group]
+    starts = np.flatnonzero(np.concatenate(([True], ordered[1:] != ordered[:-1])))
+    rank = np.arange(len(ordered)) - np.repeat(starts, np.diff(np.concatenate((starts, [len(ordered)]))))
+    return by_group[rank < limit]
+
+
 def similar(a: str, b: str, size: int, least: float) -> bool:
     """Whether the shingle sequences of two texts align to at least ``least``."""
     shingles = []
@@ -149,11 +189,15 @@ def near_dedup(
     1. Texts with the same words form one node, named by its smallest id.
     2. Each node has ``sketches`` order MinHash keys of ``sampled`` shingles. Two texts of similarity s share
        a given key with a chance near s ** sampled, so at 0.8 they miss all 14 once in a million pairs.
-    3. A bucket holds the nodes that share a key, and is never spread into pairs: each node is
-       paired with the smallest and the largest of its bucket and, in case they are unlike, with those of the
-       nodes that share the next key too, and the next two. Buckets are reduced in map tasks first.
-    4. Distinct pairs are verified by alignment, and links joined to classes by rounds of smallest
-       neighbours, which shrink the links left in each round.
+    3. A bucket holds the nodes that share a key. Each node is first paired with the smallest and the largest of
+       its bucket and with those of the nodes that share the next key too, and the next two. Buckets are
+       reduced in map tasks first. Distinct pairs are verified by alignment, and links joined to classes by rounds of
+       smallest neighbours, which shrink the links left in each round.
+    4. Buckets whose nodes are not of one class by then are cut into blocks, and all pairs of nodes of different
+       classes are looked at, block against block (see :func:`unlike_pairs`). A round verifies the most alike pairs of each
+       two classes of two blocks; while pairs are left, the next round takes more of those that
+       are still of different classes. So every pair that shares a key is aligned, ruled out by its counts or of one
+       class by other links.
 
     Returns per row the id, ``class_id`` (the smallest id of the class), ``links`` (verified links of its node)
     ``keep`` (true for one row of each class) and the columns of ``carry``, which should be narrow. NULL text counts as empty; texts without words
@@ -179,16 +223,23 @@ def near_dedup(
         import hashlib
 
         for batch in batches:
-            digests, keys = [], []
+            digests, keys, numbers, counts = [], [], [], []
             for text in batch.column(1).to_pylist():
                 words = words_of(text)
                 digests.append(hashlib.blake2b(b" ".join(words), digest_size=16).digest())
                 shingles = shingle_hashes(words, size)
                 own = order_minhash(shingles, sketches, sampled, seed) if len(shingles) else np.empty(0, "uint64")
                 keys.append(own.view("int64").tolist())
+                numbers.append(len(shingles))
+                counts.append(shingle_counts(shingles).tobytes())
+            made = [
+                pa.array(digests, pa.binary()),
+                pa.array(keys, pa.list_(pa.int64())),
+                pa.array(numbers, pa.int64()),
+                pa.array(counts, pa.binary()),
+            ]
             yield pa.RecordBatch.from_arrays(
-                [batch.column(0), pa.array(digests, pa.binary()), pa.array(keys, pa.list_(pa.int64())), *batch.columns[2:]],
-                names=["id", "same", "keys", *carried],
+                [batch.column(0), *made, *batch.columns[2:]], names=["id", "same", "keys", "n", "counts", *carried]
             )
 
     schema = T.StructType(
@@ -196,6 +247,8 @@ def near_dedup(
             T.StructField("id", id_type),
             T.StructField("same", T.BinaryType()),
             T.StructField("keys", T.ArrayType(T.LongType())),
+            T.StructField("n", T.LongType()),
+            T.StructField("counts", T.BinaryType()),
             *[f for f in given.schema if f.name in carried],
         ]
     )
@@ -204,7 +257,11 @@ def near_dedup(
     )
     nodes = scratch.write(
         sketched.groupBy("same").agg(
-            F.min("id").alias("node"), F.first("keys").alias("keys"), F.min(F.struct("id", "tag")).alias("first")
+            F.min("id").alias("node"),
+            F.first("keys").alias("keys"),
+            F.first("n").alias("n"),
+            F.first("counts").alias("counts"),
+            F.min(F.struct("id", "tag")).alias("first"),
         )
     )
 
@@ -230,12 +287,29 @@ def near_dedup(
     pairs = scratch.write(pairs.distinct())
     scratch.drop(members, heads)
 
-    wanted = pairs.select("node").unionAll(pairs.select(F.col("head").alias("node"))).distinct()
-    wanted = scratch.write(wanted.withColumnRenamed("node", "id"))
-    texts = scratch.write(given.join(wanted, "id", "left_semi").groupBy("id").agg(F.min("text").alias("text")))
-    links = scratch.write(_verified(pairs, texts, id_type, size, least))
-    scratch.drop(texts, wanted)
-    classes = components(links, scratch)
+    def verified(pairs: DataFrame) -> DataFrame:
+        wanted = pairs.select("node").unionAll(pairs.select(F.col("head").alias("node"))).distinct()
+        wanted = scratch.write(wanted.withColumnRenamed("node", "id"))
+        texts = scratch.write(given.join(wanted, "id", "left_semi").groupBy("id").agg(F.min("text").alias("text")))
+        links = scratch.write(_verified(pairs, texts, id_type, size, least))
+        scratch.drop(texts, wanted)
+        return links
+
+    links = verified(pairs)
+    classes = scratch.write(components(links, scratch))
+    rest, limit = None, FIRST_PAIRS
+    while True:
+        open_pairs, rest = _open_pairs(nodes, classes, bucket(1), rest, limit, least, id_type, scratch)
+        if open_pairs is None:
+            break
+        more = verified(open_pairs)
+        links = links.unionByName(more)
+        stars = classes.select(F.col("node").alias("a"), F.col("class_id").alias("b"))
+        classes = scratch.write(components(stars.unionByName(more), scratch))
+        if rest is None:
+            break
+        limit *= 8
+    links = scratch.write(links.distinct())
 
     counted = links.select("a").unionAll(links.select(F.col("b").alias("a"))).groupBy("a").agg(
         F.count(F.lit(1)).alias("links")
@@ -249,7 +323,7 @@ def near_dedup(
         "node",
     )
     labels = scratch.write(labels)
-    out = sketched.drop("keys").join(labels, "same")
+    out = sketched.drop("keys", "n", "counts").join(labels, "same")
     out = out.select(
         "id",
         "class_id",
@@ -263,6 +337,103 @@ def near_dedup(
     return out.unionByName(nameless).toDF(id_col, "class_id", "links", "keep", *carry)
 
 
+# Members of a block of a bucket, and pairs of two classes of two blocks in the first round.
+BLOCK = 256
+FIRST_PAIRS = 4
+
+
+def _open_pairs(
+    nodes: DataFrame,
+    classes: DataFrame,
+    buckets: Column,
+    rest: DataFrame | None,
+    limit: int,
+    least: float,
+    id_type: T.DataType,
+    scratch: Scratch,
+) -> tuple[DataFrame | None, DataFrame | None]:
+    """Pairs (head, node) of different classes in the same bucket, and the buckets (bucket) where ``limit`` left out some.
+
+    Only buckets in ``rest`` are looked at, if it is given. None stands for no pairs or no buckets.
+    """
+    known = nodes.join(classes, "node", "left").select(
+        "node", F.coalesce("class_id", "node").alias("class"), "n", "keys", "counts"
+    )
+    known = scratch.write(known)
+    members = known.select("node", "class", F.posexplode(F.transform(buckets, lambda b: b)).alias("sketch", "bucket"))
+    if rest is not None:
+        members = members.join(rest, "bucket", "left_semi")
+    mixed = members.groupBy("bucket").agg(
+        F.count(F.lit(1)).alias("size"), F.min("class").alias("low"), F.max("class").alias("high")
+    )
+    mixed = scratch.write(mixed.where("low < high").select("bucket", F.ceil(F.col("size") / BLOCK).alias("blocks")))
+    members = members.drop("class").join(mixed, "bucket")
+    # A salt for each bucket, so that no two nodes meet in one block everywhere.
+    members = scratch.write(members.withColumn("block", F.pmod(F.xxhash64("node", "bucket"), "blocks")))
+    # Blocks, not members, are repeated for every other block.
+    one = (
+        members.join(known, "node")
+        .groupBy("bucket", "sketch", "blocks", "block")
+        .agg(F.collect_list(F.struct("node", "class", "n", "keys", "counts")).alias("own"))
+        .withColumn("other", F.explode(F.sequence(F.lit(0).cast("bigint"), F.col("blocks") - 1)))
+    )
+    met = (
+        one.groupBy(
+            "bucket", "sketch", F.least("block", "other").alias("low"), F.greatest("block", "other").alias("high")
+        )
+        .agg(F.collect_list("own").alias("sides"))
+        # A block that has no members leaves its partner alone.
+        .where((F.col("low") == F.col("high")) | (F.size("sides") == 2))
+    )
+
+    def side(own: pa.StructArray, codes: np.ndarray) -> tuple:
+        numbers = own.field("n").to_numpy(zero_copy_only=False)
+        keys = own.field("keys").flatten().to_numpy(zero_copy_only=False).reshape(len(own), -1)
+        counts = np.frombuffer(b"".join(own.field("counts").to_pylist()), dtype="uint8").reshape(len(own), -1)
+        return codes, numbers, keys, counts
+
+    def compare(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for bucket, sketch, lists in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), batch.column(2)):
+                parts = [p.values for p in lists.values]
+                every = pa.concat_arrays([p.field("class") for p in parts])
+                codes = every.dictionary_encode().indices.to_numpy(zero_copy_only=False).astype("int64")
+                if codes.max() == 0:
+                    continue
+                sides = [side(parts[0], codes[: len(parts[0])])]
+                if len(parts) > 1:
+                    sides.append(side(parts[1], codes[len(parts[0]) :]))
+                a, b, apart = unlike_pairs(sides[0], sides[1] if len(sides) > 1 else None, sketch, least)
+                if not len(a):
+                    continue
+                x, y = sides[0][0][a], sides[-1][0][b]
+                taken = first_of_groups(np.minimum(x, y) * len(codes) + np.maximum(x, y), apart, limit)
+                yield pa.RecordBatch.from_arrays(
+                    [
+                        parts[0].field("node").take(pa.array(a[taken])),
+                        parts[-1].field("node").take(pa.array(b[taken])),
+                        pa.array([bucket] * len(taken), pa.int64()),
+                        pa.array([len(taken) < len(a)] * len(taken), pa.bool_()),
+                    ],
+                    names=["head", "node", "bucket", "more"],
+                )
+
+    schema = T.StructType(
+        [
+            T.StructField("head", id_type),
+            T.StructField("node", id_type),
+            T.StructField("bucket", T.LongType()),
+            T.StructField("more", T.BooleanType()),
+        ]
+    )
+    found = scratch.write(met.select("bucket", "sketch", "sides").mapInArrow(compare, schema))
+    scratch.drop(known, members, mixed)
+    rest = scratch.write(found.where("more").select("bucket").distinct())
+    pairs = found.select(F.least("head", "node").alias("head"), F.greatest("head", "node").alias("node"))
+    some, more = not found.isEmpty(), not rest.isEmpty()
+    return pairs.distinct() if some else None, rest if more else None
+
+
 def _verified(pairs: DataFrame, texts: DataFrame, id_type: T.DataType, size: int, least: float) -> DataFrame:
     """The pairs whose texts are similar, as links (a, b)."""
     left = pairs.join(texts.withColumnsRenamed({"id": "node", "text": "x"}), "node")

@@ -138,3 +138,45 @@ def test_components(spark):
         x, y = sorted((top(a), top(b)))
         parent[y] = x
     assert {n: got.get(n, n) for n in parent} == {n: top(n) for n in parent}
+
+
+def aligned_classes(rows, least=0.8):
+    """Classes by aligning all pairs of texts whose ids are less than 1000 apart."""
+    shingles = {doc_id: shingle_hashes(words_of(text), 5).tolist() for doc_id, text in rows}
+    parent = {doc_id: doc_id for doc_id in shingles}
+
+    def top(x):
+        while parent[x] != x:
+            x = parent[x]
+        return x
+
+    for a in shingles:
+        for b in range(a + 1, a + 1000):
+            if b not in shingles:
+                continue
+            x, y = sorted((top(a), top(b)))
+            if x != y and aligned_similarity(shingles[a], shingles[b], least):
+                parent[y] = x
+    return {doc_id: top(doc_id) for doc_id in shingles}
+
+
+def test_members_unlike_both_ends(spark):
+    """Buckets of a passage that unlike texts share, and a group that drifts: no link is lost."""
+    make, passage = random.Random(11), prose(200, 77)
+    rows = []
+    for n in range(0, 240, 2):
+        own = prose(60, 500 + n).split()
+        turned = list(own)
+        for k in make.sample(range(0, 60, 6), 3):
+            turned[k] += "x"
+        rows += [(n, f"{passage} {' '.join(own)}"), (n + 1, f"{passage} {' '.join(turned)}")]
+    drift = prose(150, 78).split()
+    for n in range(2000, 2120):
+        drift[make.randrange(150)] += "x"
+        if n % 2:
+            drift[make.randrange(150)] += "y"
+        rows.append((n, " ".join(drift)))
+    make.shuffle(rows)
+    got = near_dedup(spark.createDataFrame(rows, "doc_id bigint, text string")).collect()
+    expected = aligned_classes(rows)
+    assert [r for r in got if r.class_id != expected[r.doc_id]] == []
