@@ -11,6 +11,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from dayfold.llm.spdx import EXCEPTIONS, LICENSES
 from dayfold.llm.tables import known_text, need
 
 # Phrases that count as base notices, and their labels.
@@ -40,7 +41,7 @@ NOTICES = {
     "all rights reserved": "all-rights-reserved",
 }
 
-# Identifiers allowed in expressions (lower case) and their labels.
+# Identifiers (lower case) and their labels; others take those of their families below.
 IDENTIFIERS = {
     "mit": "mit",
     "mit-0": "mit",
@@ -72,6 +73,17 @@ IDENTIFIERS = {
     "bsl-1.0": "bsl",
 }
 
+# Identifiers of other versions of a family, and its label.
+FAMILIES = [
+    (re.compile(r"(gpl|lgpl|agpl|mpl|epl)-[0-9].*"), None),
+    (re.compile(r"bsd-[0-9]-clause(-[a-z]+)?"), "bsd"),
+    (re.compile(r"apache-2\.[0-9]+"), "apache-2"),
+    (re.compile(r"cc-by-(nc|nc-nd|nc-sa)-[0-9].*"), "cc-by-nc"),
+    (re.compile(r"cc-by-sa-[0-9].*"), "cc-by-sa"),
+    (re.compile(r"cc-by-nd-[0-9].*"), "cc-by-nd"),
+    (re.compile(r"cc-by-[0-9].*"), "cc-by"),
+]
+
 # Labels under which a text may be used, unless others are given.
 PERMISSIVE = frozenset({"mit", "apache-2", "bsd", "isc", "zlib", "bsl", "cc0", "cc-by", "public-domain"})
 
@@ -87,23 +99,51 @@ TO_WORDS = bytes(
 )
 
 
+def label_of(identifier: str) -> str | None:
+    """The label of an identifier, or that of its family for another version."""
+    own = identifier.removesuffix("+")
+    if own in IDENTIFIERS:
+        return IDENTIFIERS[own]
+    for pattern, label in FAMILIES:
+        if found := pattern.fullmatch(own):
+            return label or found[1]
+    return None
+
+
+def _is_exception(token: str) -> bool:
+    return token in EXCEPTIONS or "exception" in token
+
+
 def _is_operand(token: str, after_with: bool) -> bool:
-    """Known or well-formed identifiers, and exceptions behind ``with``; other words end an expression."""
+    """Listed or well-formed identifiers, and exceptions behind ``with``."""
     if after_with:
-        return "exception" in token
+        return _is_exception(token)
     own = token.removesuffix("+")
-    return own in IDENTIFIERS or own.startswith("licenseref-") or re.search(r"-[0-9]+(\.[0-9]+)*(-|$)", own) is not None
+    return (
+        own in IDENTIFIERS
+        or own in LICENSES
+        or token in LICENSES
+        or own.startswith("licenseref-")
+        or re.search(r"-[0-9]+(\.[0-9]+)*(-|$)", own) is not None
+    )
 
 
 def complete_prefix(text: str) -> list[str]:
-    """The tokens of the longest start of ``text`` that is a whole expression."""
+    """The tokens of the longest start of ``text`` that is a whole expression.
+
+    Behind an operator or a bracket any word is an operand, though an unknown one, if an operator, a
+    closing bracket or the end follows; before other words it belongs to a sentence and ends the expression.
+    """
+    found = TOKEN.findall(text)
     tokens, depth, operand, whole = [], 0, True, 0
-    for token in TOKEN.findall(text):
+    for token, behind in zip(found, [*found[1:], ")"]):
         if operand:
             if token == "(":
                 depth += 1
             elif _is_operand(token, bool(tokens) and tokens[-1] == "with"):
                 operand = False
+            elif tokens and token not in PRECEDENCE and token != ")" and (behind == ")" or behind in PRECEDENCE):
+                operand = False
             else:
                 break
         elif token == ")" and depth:
@@ -152,13 +192,14 @@ def evaluate(postfix: list[str], allowed: frozenset[str]) -> Terms:
     stack: list[Terms] = []
     for token in postfix:
         if token not in PRECEDENCE:
-            label = IDENTIFIERS.get(token.removesuffix("+"))
+            label = label_of(token)
             stack.append(Terms({label} if label else set(), label in allowed, token))
             continue
         right, left = stack.pop(), stack.pop()
         text = f"({left.text} {token} {right.text})"
         if token == "with":
-            stack.append(Terms(left.labels, left.allowed, text))
+            # What an unknown exception says is not known, so it is not usable.
+            stack.append(Terms(left.labels, left.allowed and _is_exception(right.text), text))
         elif token == "and":
             stack.append(Terms(left.labels | right.labels, left.allowed and right.allowed, text))
         else:
@@ -234,7 +275,7 @@ def scan_licenses(
     characters beyond ASCII. ``n_base`` counts all places of the ``base`` phrases, also
     overlapping ones, and ``first_word`` and ``last_word`` are their first and last start.
     ``labels`` adds those of ``notices`` and of identifier tags, whose and/or/with
-    expressions are parsed; ``expressions`` has them in brackets (several joined by
+    expressions are parsed (unknown operands and exceptions have no label and are not usable); ``expressions`` has them in brackets (several joined by
     semicolons), ``usable`` tells whether ``allowed`` satisfies all expressions (without
     any: covers all labels), and NULL where nothing was found. ``score`` grows with the number and
     kind of the finds and is 0 without any.

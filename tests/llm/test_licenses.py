@@ -59,6 +59,31 @@ def test_expressions(text, whole, usable):
     assert usable is None or found.allowed == usable
 
 
+@pytest.mark.parametrize(
+    ("text", "whole", "labels", "usable"),
+    [
+        ("((GPL-2.0 WITH Linux-syscall-note) OR MIT)", "((gpl-2.0 with linux-syscall-note) or mit)", "gpl,mit", True),
+        ("GPL-2.0 WITH Linux-syscall-note */", "(gpl-2.0 with linux-syscall-note)", "gpl", False),
+        ("(MIT OR WTFPL)", "(mit or wtfpl)", "mit", True),
+        ("(MIT AND Homegrown) OR ISC", "((mit and homegrown) or isc)", "isc,mit", True),
+        ("MIT AND Homegrown", "(mit and homegrown)", "mit", False),
+        ("MIT WITH Homegrown-note", "(mit with homegrown-note)", "mit", False),
+        ("Apache-2.0 AND OpenSSL", "(apache-2.0 and openssl)", "apache-2", False),
+        ("WTFPL", "wtfpl", "", False),
+        ("LGPL-2.1+", "lgpl-2.1+", "lgpl", False),
+        ("LGPL-3.0", "lgpl-3.0", "lgpl", False),
+        ("AGPL-3.0", "agpl-3.0", "agpl", False),
+        ("MPL-1.1", "mpl-1.1", "mpl", False),
+        ("BSD-4-Clause", "bsd-4-clause", "bsd", True),
+        ("BSD-3-Clause-No-Nuclear-License", "bsd-3-clause-no-nuclear-license", "", False),
+        ("CC-BY-NC-SA-3.0 OR CC-BY-3.0", "(cc-by-nc-sa-3.0 or cc-by-3.0)", "cc-by,cc-by-nc", True),
+    ],
+)
+def test_operands_of_the_public_lists_and_unknown_ones(text, whole, labels, usable):
+    found = Scanner(BASE, {}, PERMISSIVE).scan(f"// SPDX-License-Identifier: {text}\n")
+    assert (found[5], found[7], found[8]) == (labels, whole, usable)
+
+
 def test_tags_and_notices():
     scan = Scanner(BASE, {"gnu general public license": "gpl"}, PERMISSIVE).scan
     assert scan("// SPDX-License-Identifier: MIT OR GPL-2.0-only\nx")[5:] == ("gpl,mit", 0.95, "(mit or gpl-2.0-only)", True)
