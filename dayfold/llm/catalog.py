@@ -5,6 +5,7 @@ from dayfold.llm import (  # noqa: F401
     q_exact_dedup,
     q_html_extract,
     q_langid,
+    q_lexical,
     q_licenses,
     q_near_dedup,
     q_packing,
