@@ -2,6 +2,7 @@
 
 from dayfold.llm import (  # noqa: F401
     q_decontaminate,
+    q_embeddings,
     q_exact_dedup,
     q_html_extract,
     q_langid,
