@@ -1,6 +1,7 @@
 """The queries of this subpackage."""
 
 from dayfold.llm import (  # noqa: F401
+    q_conversations,
     q_decontaminate,
     q_embeddings,
     q_exact_dedup,

@@ -9,7 +9,7 @@ EMBEDDINGS_SQL = """
 WITH RECURSIVE v AS (SELECT row_number() OVER () AS rid, vec_id, label, embedding::DOUBLE[] AS e FROM embeddings),
 good AS (
     SELECT * FROM v WHERE label IS NOT NULL AND coalesce(len(e), 0) > 0
-    AND list_bool_and(list_transform(e, x -> x IS NOT NULL AND isfinite(x))) AND list_bool_or(list_transform(e, x -> x <> 0))
+    AND list_bool_and(list_transform(e, lambda x: x IS NOT NULL AND isfinite(x))) AND list_bool_or(list_transform(e, lambda x: x <> 0))
 ),
 p AS (
     SELECT a.rid AS a, b.rid AS b FROM good a JOIN good b ON a.label = b.label AND a.rid <> b.rid
