@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from dayfold.catalog.registry import Tables, query
 from dayfold.functions.columns import day_of, surrogate_key
-from dayfold.functions.hot import HotSplit
+from dayfold.functions.hot import NO_SPLIT, HotSplit
 from dayfold.operators.clean import latest_by_key
 from dayfold.operators.dims import (
     Lookup,
@@ -18,10 +18,10 @@ from dayfold.operators.dims import (
     scd2_build,
     scd2_lookup,
 )
-from dayfold.session import written
 
-# Limits low enough that the small tables have hot groups too.
+# Limits low enough that the small tables have hot groups too: some lanes for each, and some ranges for all.
 SMALL_CELLS = HotSplit(min_rows=5, rows_per_cell=3)
+SMALL_RANGES = HotSplit(min_rows=5, rows_per_cell=2500)
 
 # History of the order priority per customer.
 HISTORY_SQL = """
@@ -102,7 +102,7 @@ def history(t: Tables) -> DataFrame:
 
 @query("scd2_build_split", "WITH " + HISTORY_SQL + _SHOW_HISTORY)
 def history_split(t: Tables) -> DataFrame:
-    return priority_history(t, SMALL_CELLS)
+    return priority_history(t, SMALL_RANGES)
 
 
 @query("scd2_apply", "WITH " + HISTORY_SQL + _SHOW_HISTORY)
@@ -133,22 +133,20 @@ def _lookup(t: Tables, **more) -> DataFrame:
     lines = t.lineitem.join(t.orders, F.col("l_orderkey") == F.col("o_orderkey")).select(
         "l_orderkey", "l_linenumber", "l_partkey", "l_suppkey", "o_custkey", "l_shipdate"
     )
-    # A lookup reads a stored history, so store it first; built anew in each branch it would be planned many times.
-    history = written(priority_history(t), "priority-history")
     return scd2_lookup(
-        lines, history, {"o_custkey": "o_custkey"}, "l_shipdate", {"priority": "o_orderpriority"}, **more
+        lines, priority_history(t, NO_SPLIT), {"o_custkey": "o_custkey"}, "l_shipdate", {"priority": "o_orderpriority"}, **more
     )
 
 
 @query("scd2_lookup", _LOOKUP_SQL)
 def lookup(t: Tables) -> DataFrame:
-    return _lookup(t)
+    return _lookup(t, small=False)
 
 
 @query("scd2_lookup_split", _LOOKUP_SQL)
 def lookup_split(t: Tables) -> DataFrame:
-    """Customers with more than eight versions take the sorted way, in cells."""
-    return _lookup(t, max_versions=8, split=SMALL_CELLS)
+    """By levels, as with a history that is broadcast."""
+    return _lookup(t, small=True)
 
 
 @query(

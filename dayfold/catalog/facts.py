@@ -7,7 +7,7 @@ from datetime import timedelta
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from dayfold.catalog.dims import HISTORY_SQL, SMALL_CELLS, customer_lookups, priority_history
+from dayfold.catalog.dims import HISTORY_SQL, SMALL_CELLS, SMALL_RANGES, customer_lookups, priority_history
 from dayfold.catalog.registry import Tables, query
 from dayfold.functions.columns import money
 from dayfold.functions.hot import DEFAULT, HotSplit
@@ -177,7 +177,7 @@ def event_sessions(t: Tables) -> DataFrame:
 
 @query("sessionize_split", _SESSIONIZE_SQL)
 def event_sessions_split(t: Tables) -> DataFrame:
-    return sessions(t, SMALL_CELLS)
+    return sessions(t, SMALL_RANGES)
 
 
 _ASOF_SQL = """
@@ -202,4 +202,4 @@ def purchase_clicks(t: Tables) -> DataFrame:
 
 @query("asof_join_split", _ASOF_SQL)
 def purchase_clicks_split(t: Tables) -> DataFrame:
-    return last_click(t, SMALL_CELLS)
+    return last_click(t, SMALL_RANGES)

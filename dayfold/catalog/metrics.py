@@ -7,7 +7,7 @@ from datetime import timedelta
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from dayfold.catalog.dims import SMALL_CELLS
+from dayfold.catalog.dims import SMALL_CELLS, SMALL_RANGES
 from dayfold.catalog.facts import SESSION_SQL, SIX_HOURS
 from dayfold.catalog.registry import Tables, query
 from dayfold.functions.columns import money, period_start
@@ -210,7 +210,7 @@ def event_transitions(t: Tables) -> DataFrame:
 
 @query("transitions_split", _TRANSITIONS_SQL)
 def event_transitions_split(t: Tables) -> DataFrame:
-    return _transitions(t, SMALL_CELLS)
+    return _transitions(t, SMALL_RANGES)
 
 
 _CUTS = ", ".join(
@@ -243,7 +243,7 @@ def customer_segments(t: Tables) -> DataFrame:
 
 @query("rfm_segments_split", _RFM_SQL)
 def customer_segments_split(t: Tables) -> DataFrame:
-    return rfm_segments(t.orders, "o_custkey", "o_orderdate", "o_totalprice", "2001-08-01", split=SMALL_CELLS)
+    return rfm_segments(t.orders, "o_custkey", "o_orderdate", "o_totalprice", "2001-08-01", split=SMALL_RANGES)
 
 
 @query(

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from dayfold.catalog.dims import SMALL_CELLS
+from dayfold.catalog.dims import SMALL_RANGES
 from dayfold.catalog.facts import CUSTOMER_SQL, NET_SQL, net_sales
 from dayfold.catalog.registry import Tables, query
 from dayfold.functions.columns import day_of
@@ -193,7 +193,7 @@ def price_quantiles(t: Tables) -> DataFrame:
 
 @query("quantile_summary_split", _QUANTILE_SQL)
 def price_quantiles_split(t: Tables) -> DataFrame:
-    return _price_quantiles(t, split=SMALL_CELLS)
+    return _price_quantiles(t, split=SMALL_RANGES)
 
 
 @query(
@@ -205,7 +205,7 @@ def price_quantiles_split(t: Tables) -> DataFrame:
     """,
 )
 def overall_quantiles(t: Tables) -> DataFrame:
-    return quantile_summary(t.lineitem, [], "l_extendedprice", QUARTILES, "discrete", split=SMALL_CELLS)
+    return quantile_summary(t.lineitem, [], "l_extendedprice", QUARTILES, "discrete", split=SMALL_RANGES)
 
 
 @query(

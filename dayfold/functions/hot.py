@@ -1,11 +1,11 @@
-"""Split groups too large for one task into ordered cells.
+"""Split groups too large for one task into ordered ranges.
 
 A window over a key puts all rows of that key into one task. Here the few keys
-with very many rows are cut along the ordering column into cells of about equal
-row counts; all other keys stay whole. A window then runs per (key, cell), and
-what a cell has to know of the cells before or after it comes in as one extra
-*seed* row per cell, built from a small per-cell summary. No row is dropped and
-the result does not depend on where the cuts fall.
+with very many rows are dealt over tasks by range: sorted by key, position and tiebreak, and
+cut wherever a task is full, be it amid rows of one instant. A window then runs per (key, range), and
+what a range has to know of those before or after it comes in as one extra
+*seed* row, built from one summary row per range: a prefix scan in two passes. No row is
+dropped and the result does not depend on where the cuts fall.
 """
 
 from __future__ import annotations
@@ -15,29 +15,26 @@ from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame, Window, WindowSpec
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
+
+from dayfold.session import written
 
 CELL = "__cell"
 SEED = "__seed"
 BEFORE, ROW, AFTER = 0, 1, 2
 
 
-# Most cuts that are looked for in one group; larger cells are cut further by equal width.
-MOST_CUTS = 256
-
-
 @dataclass(frozen=True)
 class HotSplit:
     """When a group counts as hot, and how finely it is cut.
 
     Every group with more than ``min_rows`` rows is hot. Of n rows there are at most
-    n / min_rows such groups and n / rows_per_cell cuts in them, each a few bytes, which
-    bounds the lists that are broadcast: for 10^12 rows and the defaults some 10^6 groups and
-    10^7 cuts. ``enabled=False`` splits nothing and leaves out the pass that looks for hot groups.
+    n / min_rows such groups, each a few bytes, which bounds the list that is broadcast: for 10^12 rows and
+    the defaults some 10^6 groups. Their rows are dealt over as many ranges as hold ``rows_per_cell`` each.
+    ``enabled=False`` splits nothing and leaves out the pass that looks for hot groups.
     """
 
     min_rows: int = 1_000_000
-    rows_per_cell: int = 100_000
+    rows_per_cell: int = 1_000_000
     enabled: bool = True
 
 
@@ -45,24 +42,6 @@ DEFAULT = HotSplit()
 NO_SPLIT = HotSplit(enabled=False)
 
 
-def position(col: Column, dtype: T.DataType) -> Column:
-    """A number that never falls as ``col`` rises; NULL where ``col`` is NULL."""
-    if isinstance(dtype, T.DateType):
-        return F.unix_date(col).cast("double")
-    if isinstance(dtype, T.TimestampType):
-        return F.unix_seconds(col).cast("double")
-    if isinstance(dtype, T.TimestampNTZType):
-        seconds = F.hour(col) * 3600 + F.minute(col) * 60 + F.date_part(F.lit("SECOND"), col).cast("double")
-        return (F.unix_date(col.cast("date")) * F.lit(86400.0) + seconds).cast("double")
-    if isinstance(dtype, (T.DoubleType, T.FloatType)):
-        # NaN sorts last; the infinities would spoil the width of a cell.
-        top, bottom = F.lit(1e300), F.lit(-1e300)
-        return F.when(F.isnan(col), top).otherwise(F.greatest(F.least(col.cast("double"), top), bottom))
-    if isinstance(dtype, T.NumericType):
-        return col.cast("double")
-    raise TypeError(f"cannot order cells by {dtype.simpleString()}")
-
-
 def group_hash(keys: Sequence[str]) -> Column:
     """A hash keeps the list of hot groups small whatever the key's type.
 
@@ -102,116 +81,55 @@ class HotGroups:
         ).drop("__group")
 
 
-class Cells:
-    """The hot groups of ``df`` by ``keys``, cut along the column ``order``.
+class HotRanges:
+    """The rows of the hot groups by ``keys``, found and counted, to be dealt over ranges."""
+
+    def __init__(self, keys: Sequence[str], list_: DataFrame, rows: int, split: HotSplit):
+        self.keys = list(keys)
+        self.group = group_hash(self.keys)
+        # At most rows / min_rows longs.
+        self.list = F.broadcast(list_.select("__group"))
+        self.ranges = -(-rows // split.rows_per_cell) + 1
+
+    def only(self, df: DataFrame) -> DataFrame:
+        return df.withColumn("__group", self.group).join(self.list, "__group", "left_semi").drop("__group")
+
+    def rest(self, df: DataFrame) -> DataFrame:
+        return df.withColumn("__group", self.group).join(self.list, "__group", "left_anti").drop("__group")
+
+    def in_ranges(self, df: DataFrame, order: Sequence[str]) -> DataFrame:
+        """``df``, stored, with the number of the range each row is in; they rise along ``order`` in each group.
+
+        Rows are numbered and stored before they are dealt, so that rows equal in all of ``order`` can be dealt
+        apart and a task that runs again deals them as before.
+        """
+        numbered = written(df.withColumn("__row", F.monotonically_increasing_id()), "hot-rows")
+        dealt = numbered.repartitionByRange(self.ranges, *self.keys, *order, "__row").drop("__row")
+        return written(dealt.withColumn(CELL, F.spark_partition_id().cast("bigint")), "hot-ranges")
 
-    Cuts are approximate quantiles of the group's own positions, so one stray value or
-    a burst does not put all rows into one cell; equal positions stay together. A column
-    that has no numeric position, such as text, is not cut and its groups stay whole.
 
-    Where ``df`` is itself the outcome of an aggregation, naming its count as
-    ``counted`` keeps that column in use here too. The aggregation then has the
-    same columns wherever it is used, and Spark runs its shuffle just once.
+def find_hot(df: DataFrame, keys: Sequence[str], split: HotSplit = DEFAULT) -> HotRanges | None:
+    """The hot groups of ``df`` by ``keys``; None if there are none.
+
+    Runs a narrow pass that counts rows per key, so that where no group is hot, as is usual, the plan that
+    follows is the plain window and nothing else.
     """
+    if not split.enabled:
+        return None
+    sizes = df.select(group_hash(keys).alias("__group")).groupBy("__group").agg(F.count(F.lit(1)).alias("__n"))
+    found = written(_large(sizes, split), "hot-groups")
+    rows = found.agg(F.sum("__n")).first()[0]
+    return HotRanges(keys, found, rows, split) if rows else None
 
-    def __init__(
-        self,
-        df: DataFrame,
-        keys: Sequence[str],
-        order: str,
-        split: HotSplit = DEFAULT,
-        counted: str | None = None,
-    ):
-        self.keys = list(keys)
-        try:
-            self.place = position(F.col(order), df.schema[order].dataType)
-        except TypeError:
-            self.place, split = F.lit(0.0), NO_SPLIT
-        self.group = group_hash(self.keys)
-        rows = df.select(
-            self.group.alias("__group"),
-            self.place.alias("__at"),
-            (F.col(counted) if counted else F.lit(1).cast("bigint")).alias("__counted"),
-        )
-        sizes = rows.groupBy("__group").agg(
-            F.count(F.lit(1)).alias("__n"),
-            F.max("__counted").alias("__most"),
-            F.min("__at").alias("__low"),
-            F.max("__at").alias("__high"),
-        )
-        large = _large(sizes.where("__high > __low AND __most > 0"), split)
-        fractions = [n / MOST_CUTS for n in range(1, MOST_CUTS)]
-        pieces = F.least(F.ceil(F.col("__n") / F.lit(split.rows_per_cell)), F.lit(MOST_CUTS)).cast("int")
-        # A group cut into few pieces keeps every so-manieth of the quantiles.
-        nth = lambda i: F.element_at("__all", F.floor(i * MOST_CUTS / F.col("__pieces")).cast("int"))
-        inner = F.when(F.col("__pieces") > 1, F.transform(F.sequence(F.lit(1), F.col("__pieces") - 1), nth))
-        if self.keys:
-            in_large = rows.join(F.broadcast(large.select("__group", "__n")), "__group")
-        else:
-            in_large = rows.withColumn("__n", large.select("__n").scalar()).where("__n IS NOT NULL")
-        found = (
-            in_large.groupBy("__group")
-            .agg(
-                F.percentile_approx("__at", fractions, 10 * MOST_CUTS).alias("__all"),
-                F.max("__n").alias("__n"),
-            )
-            .withColumn("__pieces", pieces)
-            .select(
-                "__group",
-                F.coalesce(inner, F.array().cast("array<double>")).alias("__cuts"),
-                F.ceil(F.col("__n") / F.lit(split.rows_per_cell * MOST_CUTS)).cast("bigint").alias("__parts"),
-            )
-        )
-        if self.keys:
-            # At most rows / rows_per_cell cuts in all.
-            self.hot = F.broadcast(found)
-        else:
-            # A single group: its cuts are one value, and there is no key to join on.
-            self.single = found.select(F.struct("__cuts", "__parts")).scalar()
-
-    def _cell(self) -> Column:
-        at, cuts, parts = self.place, F.col("__cuts"), F.col("__parts")
-        steps = F.array(*[F.lit(1 << n) for n in range(10, -1, -1)])
-
-        def narrow(below: Column, step: Column) -> Column:
-            here = below + step
-            return F.when((here <= F.size(cuts)) & (F.get(cuts, here - 1) <= at), here).otherwise(below)
-
-        # The number of cuts at or below the position, by bisection.
-        inside = F.aggregate(steps, F.lit(0), narrow)
-        low, high = F.get(cuts, inside - 1), F.get(cuts, inside)
-        part = F.when(
-            (parts > 1) & (high > low),
-            F.least(F.floor((at - low) / (high - low) * parts).cast("bigint"), parts - 1),
-        )
-        cell = inside.cast("bigint") * parts + F.coalesce(part, F.lit(0).cast("bigint"))
-        # NULL sorts first, so NULL positions go to a cell before all others.
-        return F.when(at.isNull(), F.lit(-1).cast("bigint")).otherwise(cell)
-
-    def mark(self, df: DataFrame) -> DataFrame:
-        """All rows of ``df`` with their cell; groups that are not hot have one cell."""
-        cell = F.when(F.col("__cuts").isNull(), F.lit(0).cast("bigint")).otherwise(self._cell())
-        return self._with_cuts(df, "left").select(*[F.col(c) for c in df.columns], cell.alias(CELL))
-
-    def only_hot(self, df: DataFrame) -> DataFrame:
-        """The rows of hot groups alone, with their cell."""
-        return self._with_cuts(df, "inner").select(*[F.col(c) for c in df.columns], self._cell().alias(CELL))
-
-    def _with_cuts(self, df: DataFrame, how: str) -> DataFrame:
-        if self.keys:
-            return df.withColumn("__group", self.group).join(self.hot, "__group", how)
-        found = df.withColumn("__single", self.single).withColumns(
-            {"__cuts": F.col("__single.__cuts"), "__parts": F.col("__single.__parts")}
-        )
-        return found if how == "left" else found.where("__cuts IS NOT NULL")
-
-    def rows(self) -> WindowSpec:
-        """Window partition for rows: one cell of one group."""
-        return Window.partitionBy(*self.keys, CELL)
-
-    def along(self) -> WindowSpec:
-        """Window over the per-cell summary of each group, first cell first."""
-        return Window.partitionBy(*(self.keys or [F.lit(0)])).orderBy(CELL)
+
+def in_cells(keys: Sequence[str]) -> WindowSpec:
+    """Window partition for rows: one cell of one group."""
+    return Window.partitionBy(*keys, CELL)
+
+
+def cells_along(keys: Sequence[str]) -> WindowSpec:
+    """Window over the per-cell summary of each group, first cell first."""
+    return Window.partitionBy(*(keys or [F.lit(0)])).orderBy(CELL)
 
 
 def seeded(rows: DataFrame, *seeds: tuple[DataFrame, int]) -> DataFrame:
@@ -222,9 +140,10 @@ def seeded(rows: DataFrame, *seeds: tuple[DataFrame, int]) -> DataFrame:
     return out
 
 
-def in_one_cell(rows: DataFrame) -> DataFrame:
+def in_one_cell(rows: DataFrame, keys: Sequence[str]) -> DataFrame:
     """Rows of groups that are not split."""
-    return rows.withColumn(CELL, F.lit(0).cast("bigint"))
+    # Without keys all rows are one group, and the cell its only name.
+    return rows.withColumn(CELL, F.lit(0).cast("bigint")) if keys else in_lane_zero(rows, CELL)
 
 
 def null_lane(keys: Sequence[str], spread_by: Sequence[str] = (), lanes: int = 256) -> Column:

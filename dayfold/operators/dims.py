@@ -3,10 +3,11 @@
 from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
-from dataclasses import dataclass, field, replace
+from dataclasses import dataclass, field
+from datetime import timedelta
 from typing import Any
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -18,15 +19,16 @@ from dayfold.functions.hot import (
     DEFAULT,
     ROW,
     SEED,
-    Cells,
-    HotGroups,
     HotSplit,
+    cells_along,
+    find_hot,
+    in_cells,
     in_lane_zero,
+    in_one_cell,
     null_lane,
     seeded,
 )
 from dayfold.operators.clean import latest_by_key
-from dayfold.operators.sequence import asof_join
 
 OPEN_END = "9999-12-31"
 
@@ -115,41 +117,49 @@ def scd2_build(
     time cannot be placed in history and are left out.
     """
     columns = [*keys, ts, *attrs]
-    rows = latest_by_key(changes.where(F.col(ts).isNotNull()), [*keys, ts], tiebreak).select(*columns)
-    cells = Cells(changes, keys, ts, split)
     state = F.struct(*attrs)
+    dtype = changes.schema[ts].dataType
+
+    def placed(part: DataFrame) -> DataFrame:
+        known = part.where(F.col(ts).isNotNull())
+        return latest_by_key(known, [*keys, ts], tiebreak).select(*columns).withColumn("__state", state)
 
     def real_changes(df: DataFrame) -> DataFrame:
-        in_order = cells.rows().orderBy(SEED, ts)
-        before = F.lag("__state").over(in_order)
+        before = F.lag("__state").over(in_cells(keys).orderBy(SEED, ts))
         return df.withColumn("__before", before).where(
             (F.col(SEED) != ROW) | F.col("__before").isNull() | ~F.col("__state").eqNullSafe(F.col("__before"))
         )
 
-    # What a cell of a hot key must know: the state it starts from ...
-    hot = cells.only_hot(rows).withColumn("__state", state)
-    start = (
-        hot.groupBy(*keys, CELL)
-        .agg(F.max_by("__state", ts).alias("__state"))
-        .withColumn("__state", F.lag("__state").over(cells.along()))
-        .where("__state IS NOT NULL")
-    )
-    # ... and when the next version opens in a later cell.
-    end = (
-        real_changes(seeded(hot, (start, BEFORE)))
-        .where(F.col(SEED) == ROW)
-        .groupBy(*keys, CELL)
-        .agg(F.min(ts).alias(ts))
-        .withColumn(ts, F.lead(ts).over(cells.along()))
-        .where(F.col(ts).isNotNull())
-    )
-    marked = cells.mark(rows).withColumn("__state", state)
-    in_order = cells.rows().orderBy(SEED, ts)
-    versions = real_changes(seeded(marked, (start, BEFORE), (end, AFTER))).withColumn(
-        "__next", F.lead(ts).over(in_order)
-    )
-    dtype = changes.schema[ts].dataType
-    return versions.where(F.col(SEED) == ROW).select(
+    def versions(df: DataFrame) -> DataFrame:
+        following = F.lead(ts).over(in_cells(keys).orderBy(SEED, ts))
+        return real_changes(df).withColumn("__next", following).where(F.col(SEED) == ROW)
+
+    hot = find_hot(changes, keys, split)
+    if hot is None:
+        found = versions(seeded(in_one_cell(placed(changes), keys)))
+    else:
+        rows = hot.in_ranges(placed(hot.only(changes)), [ts])
+        along = cells_along(keys)
+        # What a range must know: the state it starts from ...
+        start = (
+            rows.groupBy(*keys, CELL)
+            .agg(F.max_by("__state", ts).alias("__state"))
+            .withColumn("__state", F.lag("__state").over(along))
+            .where("__state IS NOT NULL")
+        )
+        # ... and when the next version opens in a later range.
+        end = (
+            real_changes(seeded(rows, (start, BEFORE)))
+            .where(F.col(SEED) == ROW)
+            .groupBy(*keys, CELL)
+            .agg(F.min(ts).alias(ts))
+            .withColumn(ts, F.lead(ts).over(along))
+            .where(F.col(ts).isNotNull())
+        )
+        calm = versions(seeded(in_one_cell(placed(hot.rest(changes)), keys)))
+        busy = versions(seeded(rows, (start, BEFORE), (end, AFTER)))
+        found = calm.unionByName(busy)
+    return found.select(
         *keys,
         *attrs,
         F.col(ts).alias("valid_from"),
@@ -209,22 +219,26 @@ def scd2_lookup(
     ts: str,
     take: Mapping[str, str],
     unknown: Mapping[str, Any] | None = None,
-    max_versions: int = 1000,
-    split: HotSplit = DEFAULT,
+    bucket: timedelta = timedelta(days=1),
+    small: bool | None = None,
 ) -> DataFrame:
     """Each fact row with the version valid at ``ts``, or the unknown member.
 
     ``keys`` maps fact columns to history columns, ``take`` output names to
-    history columns. Keys with few versions use an equi-join on the key that
-    also checks the validity, so a small history is broadcast and the fact not
-    shuffled. A key with more than ``max_versions`` versions would make that
-    join compare each of its fact rows with all of them; those keys go through
-    :func:`~dayfold.operators.sequence.asof_join`, which reads each row once. So no fact
-    row is compared with more than ``max_versions`` versions, and the list of such keys has
-    at most one entry per ``max_versions`` rows of the history.
+    history columns. Both ways below are joins on the key and a bucket of time, in which a
+    fact row meets the versions of its own bucket only, however many its key has.
+
+    A history that Spark expects to broadcast (its estimated size is within the session's limit; ``small`` says so
+    by hand) is joined once per *level*: versions about equally long are put in the one or two buckets of 4096 times their
+    least length that they lie in, so a bucket has at most 4097 of them. No fact row is shuffled.
+
+    A larger history is joined once, on the key and the day (``bucket``, rounded down to a power of two of
+    microseconds, or of days for dates) in which a version begins. To each bucket that has facts comes the
+    version that was open before it, found among one row per key and bucket. Fact rows are shuffled once, and AQE
+    can split a hot key. No job runs before the result is asked for.
 
     A version that is found keeps its values, NULLs included. Without one, ``unknown`` gives
-    the value, otherwise "unknown" for text and NULL for other types.
+    the value, otherwise "unknown" for text and NULL for other types. Rows with a NULL key or time find none.
     """
     unknown = unknown or {}
     names = [f"__k{i}" for i in range(len(keys))]
@@ -237,39 +251,31 @@ def scd2_lookup(
         # One type, so that a key has one hash on both sides.
         fact_keys.append(F.col(in_fact).cast("bigint") if whole else F.col(in_fact))
         version_keys.append(F.col(in_history).cast("bigint") if whole else F.col(in_history))
-    versions = history.select(
-        *[key.alias(name) for key, name in zip(version_keys, names)],
-        F.col("valid_from").alias("__from"),
-        F.col("valid_to").alias("__to"),
-        F.struct(*[F.col(source).alias(name) for name, source in take.items()]).alias("__version"),
-    ).na.drop(subset=names)
-    busy = HotGroups(versions, names, replace(split, min_rows=max_versions))
-    fact_group = F.xxhash64(*fact_keys)
-
-    same_key = F.lit(True)
-    for key, name in zip(fact_keys, names):
-        same_key = same_key & (key == F.col(name))
-    valid = (F.col(ts) >= F.col("__from")) & (F.col(ts) < F.col("__to"))
-    calm = (
-        busy.rest(fact, fact_group)
-        .join(busy.rest(versions), same_key & valid, "left")
-        .drop(*names, "__from", "__to")
+    times = [fact.schema[ts].dataType, history.schema["valid_from"].dataType]
+    days = all(isinstance(t, T.DateType) for t in times)
+    rows = fact.withColumns(
+        {f"__f{i}": key for i, key in enumerate(fact_keys)} | {"__at": _instant(F.col(ts), times[0], days)}
     )
-
-    busy_versions = busy.only(versions).select(
-        *[F.col(name).cast(fact.schema[f].dataType).alias(f) for f, name in zip(keys, names)],
-        F.col("__from").alias(ts),
-        "__to",
-        "__version",
-    )
-    sorted_match = asof_join(
-        busy.only(fact, fact_group), busy_versions, list(keys), ts, split=split, suffix="__busy"
+    versions = (
+        history.where("valid_from < valid_to")
+        .select(
+            *[key.alias(name) for key, name in zip(version_keys, names)],
+            F.col("valid_from").alias("__from"),
+            F.col("valid_to").alias("__to"),
+            _instant(F.col("valid_from"), times[1], days).alias("__first"),
+            (_instant(F.col("valid_to"), times[1], days) - 1).alias("__last"),
+            F.struct(*[F.col(source).alias(name) for name, source in take.items()]).alias("__version"),
+        )
+        .na.drop(subset=names)
     )
-    busy_rows = sorted_match.withColumn(
-        "__version", F.when(F.col(ts) < F.col("__to"), F.col("__version"))
-    ).drop("__to", f"{ts}__busy")
-
-    out = calm.unionByName(busy_rows)
+    if small is None:
+        small = _broadcastable(history)
+    if small:
+        out = _lookup_by_level(rows, versions, names, ts)
+    else:
+        # For dates the day is the unit, and a bucket has a whole number of them.
+        unit = timedelta(days=1) if days else timedelta(microseconds=1)
+        out = _lookup_by_bucket(rows, versions, names, ts, max(bucket // unit, 1).bit_length() - 1)
     return out.select(
         *fact.columns,
         *[
@@ -281,6 +287,85 @@ def scd2_lookup(
     )
 
 
+def _instant(col: Column, dtype: T.DataType, days: bool) -> Column:
+    """A whole number that never falls as ``col`` rises: days, microseconds, or the number itself."""
+    if isinstance(dtype, T.DateType):
+        day = F.unix_date(col).cast("bigint")
+        return day if days else day * 86_400_000_000
+    if isinstance(dtype, T.TimestampType):
+        return F.unix_micros(col)
+    if isinstance(dtype, T.TimestampNTZType):
+        # Not by way of a time zone, in which hours may be missing or come twice.
+        second = (F.date_part(F.lit("SECOND"), col) * 1_000_000).cast("bigint")
+        minutes = F.unix_date(col.cast("date")).cast("bigint") * 1440 + F.hour(col) * 60 + F.minute(col)
+        return minutes * 60_000_000 + second
+    if isinstance(dtype, T.NumericType):
+        return F.floor(col).cast("bigint")
+    raise TypeError(f"no time order for {dtype.simpleString()}")
+
+
+def _broadcastable(df: DataFrame) -> bool:
+    """Whether Spark expects ``df`` to be within its limit for broadcasts; a look at the plan, not a job."""
+    text = df.sparkSession.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    limit = int(df.sparkSession._jvm.org.apache.spark.network.util.JavaUtils.byteStringAsBytes(text))
+    return int(str(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes())) <= limit
+
+
+def _same_key(names: Sequence[str]) -> Column:
+    condition = F.lit(True)
+    for i, name in enumerate(names):
+        condition = condition & (F.col(f"__f{i}") == F.col(name))
+    return condition
+
+
+LEVEL_BITS = 12
+
+
+def _lookup_by_level(rows: DataFrame, versions: DataFrame, names: Sequence[str], ts: str) -> DataFrame:
+    length = F.col("__last") - F.col("__first")
+    found = []
+    for bits in range(LEVEL_BITS, 63 + LEVEL_BITS, LEVEL_BITS):
+        least = 1 << (bits - LEVEL_BITS) if bits > LEVEL_BITS else 0
+        of_level = length >= least
+        if bits < 63:
+            of_level = of_level & (length < 1 << bits)
+        shift = min(bits, 63)
+        buckets = F.array_distinct(F.array(F.shiftright("__first", shift), F.shiftright("__last", shift)))
+        level = versions.where(of_level).select(
+            *names, "__from", "__to", F.explode(buckets).alias("__bucket"), F.col("__version").alias(f"__version{bits}")
+        )
+        valid = (F.col(ts) >= F.col("__from")) & (F.col(ts) < F.col("__to"))
+        same_bucket = F.shiftright("__at", shift) == F.col("__bucket")
+        rows = rows.join(level, _same_key(names) & same_bucket & valid, "left").drop(*names, "__from", "__to", "__bucket")
+        found.append(F.col(f"__version{bits}"))
+    return rows.withColumn("__version", F.coalesce(*found))
+
+
+def _lookup_by_bucket(rows: DataFrame, versions: DataFrame, names: Sequence[str], ts: str, bits: int) -> DataFrame:
+    begun = versions.withColumn("__bucket", F.shiftright("__first", bits)).drop("__first", "__last")
+    version = F.struct("__from", "__to", "__version")
+    latest = begun.groupBy(*names, "__bucket").agg(F.max_by(version, "__from").alias("__latest"))
+    asked = rows.select(
+        *[F.col(f"__f{i}").alias(name) for i, name in enumerate(names)], F.shiftright("__at", bits).alias("__bucket")
+    )
+    asked = asked.na.drop().distinct().withColumn("__asked", F.lit(True))
+    # One row per key and bucket, whatever the numbers of facts and versions.
+    summary = (
+        latest.unionByName(asked, allowMissingColumns=True)
+        .groupBy(*names, "__bucket")
+        .agg(F.max("__asked").alias("__asked"), F.any_value("__latest", F.lit(True)).alias("__latest"))
+    )
+    earlier = Window.partitionBy(*names).orderBy("__bucket").rowsBetween(Window.unboundedPreceding, -1)
+    carried = (
+        summary.withColumn("__carried", F.last("__latest", ignorenulls=True).over(earlier))
+        .where(F.col("__asked") & F.col("__carried").isNotNull())
+        .select(*names, "__bucket", "__carried.*")
+    )
+    valid = (F.col(ts) >= F.col("__from")) & (F.col(ts) < F.col("__to"))
+    same_bucket = F.shiftright("__at", bits) == F.col("__bucket")
+    return rows.join(begun.unionByName(carried), _same_key(names) & same_bucket & valid, "left")
+
+
 def calendar_dim(spark: SparkSession, start: Any, end: Any) -> DataFrame:
     """One row per day from ``start`` to ``end``, both included."""
     days = spark.range(1).select(

@@ -10,8 +10,8 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from dayfold.functions.columns import day_of, money, period_index, period_start
-from dayfold.functions.hot import DEFAULT, NO_SPLIT, HotGroups, HotSplit
-from dayfold.operators.sequence import next_event
+from dayfold.functions.hot import DEFAULT, HotGroups, HotSplit, find_hot, in_one_cell
+from dayfold.operators.sequence import next_in_cells
 from dayfold.operators.summaries import quantile_summary
 
 
@@ -277,9 +277,6 @@ def transitions(
     """
     columns = list(dict.fromkeys([id_col, ts, kind, *tiebreak]))
     rows = events.where(F.col(ts).isNotNull()).select(columns)
-    groups = HotGroups(rows, [id_col], split)
-    counted = groups.only(rows).groupBy(columns).agg(F.count(F.lit(1)).alias("__n"))
-
     def pairs(nexts: DataFrame, copies: Column) -> DataFrame:
         stays = F.col("next")[ts] - F.col(ts) <= F.lit(gap)
         onward = F.struct(
@@ -290,8 +287,14 @@ def transitions(
         again = F.struct(F.col(kind).alias("from_event"), F.col(kind).alias("to_event"), (copies - 1).alias("n"))
         return nexts.select(F.explode(F.array_compact(F.array(onward, F.when(copies > 1, again)))).alias("p"))
 
-    calm = next_event(groups.rest(rows), id_col, ts, [kind], tiebreak, split=NO_SPLIT)
-    busy = next_event(counted, id_col, ts, [kind], tiebreak, split=split)
+    order = [ts, *tiebreak]
+    hot = find_hot(rows, [id_col], split)
+    if hot is None:
+        both = pairs(next_in_cells(in_one_cell(rows, [id_col]), id_col, order, [kind], "next"), F.lit(1)).select("p.*")
+        return both.groupBy("from_event", "to_event").agg(F.sum("n").alias("n"))
+    counted = hot.only(rows).groupBy(columns).agg(F.count(F.lit(1)).alias("__n"))
+    calm = next_in_cells(in_one_cell(hot.rest(rows), [id_col]), id_col, order, [kind], "next")
+    busy = next_in_cells(hot.in_ranges(counted, order), id_col, order, [kind], "next", is_split=True)
     both = pairs(calm, F.lit(1)).unionByName(pairs(busy, F.col("__n"))).select("p.*")
     return both.groupBy("from_event", "to_event").agg(F.sum("n").alias("n"))
 

@@ -8,7 +8,6 @@ from datetime import timedelta
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from dayfold.functions.columns import all_null_safe_equal
 from dayfold.functions.hot import (
     AFTER,
     BEFORE,
@@ -16,13 +15,13 @@ from dayfold.functions.hot import (
     DEFAULT,
     ROW,
     SEED,
-    Cells,
-    HotGroups,
     HotSplit,
+    cells_along,
+    find_hot,
+    in_cells,
     in_one_cell,
     seeded,
 )
-from dayfold.operators.clean import latest_by_key
 
 
 def sessionize(
@@ -36,23 +35,16 @@ def sessionize(
     """Number each user's sessions; a wait *longer than* ``gap`` opens a new one.
 
     Events without a time belong to no session and get NULL.
-
-    Sessions depend on the distinct times of a user alone. For users with very
-    many events they are therefore found on those times, in cells, and joined
-    back; copies of one event are combined before they are shuffled.
     """
-    groups = HotGroups(events, [user], split)
-    calm = _number_sessions(seeded(in_one_cell(groups.rest(events))), user, ts, gap, out)
-
-    times = groups.only(events.select(user, ts).where(F.col(ts).isNotNull())).distinct()
-    numbered = _sessions_in_cells(times, user, ts, gap, split)
-    same = all_null_safe_equal([(F.col(user), F.col("__user")), (F.col(ts), F.col("__ts"))])
-    busy = groups.only(events).join(
-        numbered.select(F.col(user).alias("__user"), F.col(ts).alias("__ts"), F.col("session_no").alias(out)),
-        same,
-        "left",
-    )
-    return calm.select(*events.columns, out).unionByName(busy.select(*events.columns, out))
+    hot = find_hot(events, [user], split)
+    if hot is None:
+        numbered = _number_sessions(seeded(in_one_cell(events, [user])), user, ts, gap, out)
+    else:
+        calm = _number_sessions(seeded(in_one_cell(hot.rest(events), [user])), user, ts, gap, out)
+        rows = hot.in_ranges(hot.only(events), [ts])
+        busy = _number_sessions(seeded(rows, (_sessions_before(rows, user, ts, gap), BEFORE)), user, ts, gap, out)
+        numbered = calm.select(*events.columns, out).unionByName(busy.select(*events.columns, out))
+    return numbered.select(*events.columns, out)
 
 
 def _opens(previous: Column, now: Column, gap: timedelta) -> Column:
@@ -61,7 +53,7 @@ def _opens(previous: Column, now: Column, gap: timedelta) -> Column:
 
 def _number_sessions(rows: DataFrame, user: str, ts: str, gap: timedelta, out: str) -> DataFrame:
     """A seed has the last time before its cell and, as ``__opened``, the sessions before it."""
-    in_order = Window.partitionBy(user, CELL).orderBy(SEED, ts)
+    in_order = in_cells([user]).orderBy(SEED, ts)
     so_far = in_order.rowsBetween(Window.unboundedPreceding, 0)
     step = _opens(F.col("__prev"), F.col(ts), gap)
     if "__opened" in rows.columns:
@@ -75,23 +67,22 @@ def _number_sessions(rows: DataFrame, user: str, ts: str, gap: timedelta, out: s
     )
 
 
-def _sessions_in_cells(times: DataFrame, user: str, ts: str, gap: timedelta, split: HotSplit) -> DataFrame:
-    cells = Cells(times, [user], ts, split)
-    # Per cell: sessions opened inside it, first and last time.
-    inside = cells.only_hot(times).withColumn("__prev", F.lag(ts).over(cells.rows().orderBy(ts)))
+def _sessions_before(rows: DataFrame, user: str, ts: str, gap: timedelta) -> DataFrame:
+    """Per range: the last time before it, and the sessions opened until then."""
+    inside = rows.select(user, CELL, ts).withColumn("__prev", F.lag(ts).over(in_cells([user]).orderBy(ts)))
     per_cell = inside.groupBy(user, CELL).agg(
         F.sum(F.when(F.col("__prev").isNull(), 0).otherwise(_opens(F.col("__prev"), F.col(ts), gap))).alias("__inner"),
         F.min(ts).alias("__first"),
         F.max(ts).alias("__last"),
     )
-    linked = per_cell.withColumn("__prev", F.lag("__last").over(cells.along())).withColumn(
+    along = cells_along([user])
+    linked = per_cell.withColumn("__prev", F.lag("__last").over(along)).withColumn(
         "__opened", F.col("__inner") + _opens(F.col("__prev"), F.col("__first"), gap)
     )
-    earlier = cells.along().rowsBetween(Window.unboundedPreceding, -1)
-    seeds = linked.select(
+    earlier = along.rowsBetween(Window.unboundedPreceding, -1)
+    return linked.select(
         user, CELL, F.col("__prev").alias(ts), F.sum("__opened").over(earlier).alias("__opened")
     ).where("__opened IS NOT NULL")
-    return _number_sessions(seeded(cells.mark(times), (seeds, BEFORE)), user, ts, gap, "session_no")
 
 
 def next_event(
@@ -105,25 +96,31 @@ def next_event(
 ) -> DataFrame:
     """Each event with a struct of the user's next event (its time and ``values``).
 
-    Events of one user at one identical time stay in one cell.
+    Events of one user at one identical time follow each other by ``tiebreak``; of those equal in that too,
+    any may come first.
     """
-    cells = Cells(events, [user], ts, split)
-    here = F.struct(ts, *values)
     order = [ts, *tiebreak]
-    hot = cells.only_hot(events.select(*dict.fromkeys([user, *order, *values])))
-    seeds = (
-        hot.groupBy(user, CELL)
-        .agg(F.min_by(here, F.struct(*order)).alias("__here"))
-        .withColumn("__here", F.lead("__here").over(cells.along()))
-        .where("__here IS NOT NULL")
-    )
-    rows = seeded(cells.mark(events).withColumn("__here", here), (seeds, AFTER))
-    in_order = cells.rows().orderBy(SEED, *order)
-    return (
-        rows.withColumn(out, F.lead("__here").over(in_order))
-        .where(F.col(SEED) == ROW)
-        .select(*events.columns, out)
-    )
+    hot = find_hot(events, [user], split)
+    if hot is None:
+        return next_in_cells(in_one_cell(events, [user]), user, order, values, out).select(*events.columns, out)
+    calm = next_in_cells(in_one_cell(hot.rest(events), [user]), user, order, values, out)
+    busy = next_in_cells(hot.in_ranges(hot.only(events), order), user, order, values, out, is_split=True)
+    return calm.select(*events.columns, out).unionByName(busy.select(*events.columns, out))
+
+
+def next_in_cells(
+    rows: DataFrame, user: str, order: Sequence[str], values: Sequence[str], out: str, is_split: bool = False
+) -> DataFrame:
+    """The next event of each row, of its own cell or, where groups are split, of the first row of the next."""
+    here = F.struct(order[0], *values)
+    seeds = []
+    if is_split:
+        first = rows.groupBy(user, CELL).agg(F.min_by(here, F.struct(*order)).alias("__here"))
+        following = first.withColumn("__here", F.lead("__here").over(cells_along([user])))
+        seeds = [(following.where("__here IS NOT NULL"), AFTER)]
+    in_order = in_cells([user]).orderBy(SEED, *order)
+    marked = seeded(rows.withColumn("__here", here), *seeds)
+    return marked.withColumn(out, F.lead("__here").over(in_order)).where(F.col(SEED) == ROW)
 
 
 def asof_join(
@@ -143,8 +140,8 @@ def asof_join(
     ``suffix``.
 
     Both sides are stacked and sorted, so every row is read once and no pairs
-    are formed. For keys with very many rows the match is found for the distinct
-    left times, in cells, and joined back.
+    are formed. Rows of keys with very many are dealt over ranges, each of which starts from
+    the last right row before it.
     """
     taken = [c for c in right.columns if c not in by]
     names = {c: c + suffix if c in left.columns else c for c in taken}
@@ -161,17 +158,23 @@ def asof_join(
         *[F.col(c).alias(name) for c, name in zip(tiebreak, order)],
         match.alias("__match"),
     )
-    groups = HotGroups(left.select(*by).unionAll(right.select(*by)), by, split)
-    calm = _last_before(in_one_cell(_stacked(groups.rest(lefts), groups.rest(rights))), by, order)
-
-    times = groups.only(lefts.select(*by, "__ts").where(has_key & F.col("__ts").isNotNull())).distinct()
-    newest = latest_by_key(groups.only(rights), [*by, "__ts"], order or ["__ts"])
-    found = _last_before_in_cells(_stacked(times, newest), by, order, split)
-    pairs = [(F.col(c), F.col(f"__f{i}")) for i, c in enumerate([*by, "__ts"])]
-    found = found.select(*[F.col(c).alias(f"__f{i}") for i, c in enumerate([*by, "__ts"])], "__found")
-    busy = groups.only(lefts).join(found, all_null_safe_equal(pairs), "left")
-
-    out = calm.select(*by, "__ts", "__left", "__found").unionByName(busy.select(*by, "__ts", "__left", "__found"))
+    hot = find_hot(left.select(*by).unionAll(right.select(*by)), by, split)
+    if hot is None:
+        out = _last_before(in_one_cell(_stacked(lefts, rights), by), by, order)
+    else:
+        calm = _last_before(in_one_cell(_stacked(hot.rest(lefts), hot.rest(rights)), by), by, order)
+        rows = hot.in_ranges(_stacked(hot.only(lefts), hot.only(rights)), ["__ts", "__side", *order])
+        # The last right row of a range, carried to those behind it.
+        place = F.when(F.col("__side") == 0, F.struct("__ts", *order))
+        earlier = cells_along(by).rowsBetween(Window.unboundedPreceding, -1)
+        seeds = (
+            rows.groupBy(*by, CELL)
+            .agg(F.max_by("__match", place).alias("__match"))
+            .withColumn("__match", F.last("__match", ignorenulls=True).over(earlier))
+            .where("__match IS NOT NULL")
+        )
+        busy = _last_before(rows, by, order, (seeds, BEFORE))
+        out = calm.select(*by, "__ts", "__left", "__found").unionByName(busy.select(*by, "__ts", "__left", "__found"))
     return out.withColumn("__found", F.when(has_key & F.col("__ts").isNotNull(), F.col("__found"))).select(
         "__left.*", *[F.col("__found")[name].alias(name) for name in names.values()]
     )
@@ -185,25 +188,10 @@ def _stacked(lefts: DataFrame, rights: DataFrame) -> DataFrame:
 
 
 def _last_before(rows: DataFrame, by: Sequence[str], order: Sequence[str], *seeds: tuple[DataFrame, int]) -> DataFrame:
-    in_order = Window.partitionBy(*by, CELL).orderBy(SEED, "__ts", "__side", *order)
+    in_order = in_cells(by).orderBy(SEED, "__ts", "__side", *order)
     so_far = in_order.rowsBetween(Window.unboundedPreceding, 0)
     return (
         seeded(rows, *seeds)
         .withColumn("__found", F.last("__match", ignorenulls=True).over(so_far))
         .where((F.col(SEED) == ROW) & (F.col("__side") == 1))
     )
-
-
-def _last_before_in_cells(rows: DataFrame, by: Sequence[str], order: Sequence[str], split: HotSplit) -> DataFrame:
-    cells = Cells(rows, by, "__ts", split)
-    earlier = cells.along().rowsBetween(Window.unboundedPreceding, -1)
-    # Times are distinct on the right by now, so they alone tell the last row of a cell.
-    right_time = F.when(F.col("__side") == 0, F.col("__ts"))
-    seeds = (
-        cells.only_hot(rows)
-        .groupBy(*by, CELL)
-        .agg(F.max_by("__match", right_time).alias("__match"))
-        .withColumn("__match", F.last("__match", ignorenulls=True).over(earlier))
-        .where("__match IS NOT NULL")
-    )
-    return _last_before(cells.mark(rows), by, order, (seeds, BEFORE))

@@ -10,7 +10,19 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from dayfold.functions.columns import all_null_safe_equal, day_of, period_start
-from dayfold.functions.hot import BEFORE, CELL, DEFAULT, ROW, SEED, Cells, HotSplit, seeded
+from dayfold.functions.hot import (
+    BEFORE,
+    CELL,
+    DEFAULT,
+    ROW,
+    SEED,
+    HotSplit,
+    cells_along,
+    find_hot,
+    in_cells,
+    in_one_cell,
+    seeded,
+)
 
 # How a measure is taken from rows, and how partial results of it are merged.
 TAKE = {"sum": F.sum, "count": F.count, "min": F.min, "max": F.max}
@@ -225,26 +237,34 @@ def quantile_summary(
         raise ValueError(f"unknown kind of quantile: {how!r}")
     # Without dims everything is one group, and a group needs a name.
     keys = [f"__d{i}" for i in range(len(dims))]
-    values = (
-        df.where(F.col(col).isNotNull())
-        .groupBy(*[F.col(d).alias(k) for d, k in zip(dims, keys)], F.col(col).alias("__value"))
-        .agg(F.count(F.lit(1)).alias("__n"))
-    )
-    cells = Cells(values, keys, "__value", split, counted="__n")
-    earlier = cells.along().rowsBetween(Window.unboundedPreceding, -1)
-    seeds = (
-        cells.only_hot(values)
-        .groupBy(*keys, CELL)
-        .agg(F.sum("__n").alias("__n"))
-        .withColumn("__n", F.sum("__n").over(earlier))
-        .where("__n IS NOT NULL")
-    )
-    so_far = cells.rows().orderBy(SEED, "__value").rowsBetween(Window.unboundedPreceding, 0)
-    placed = (
-        seeded(cells.mark(values), (seeds, BEFORE))
-        .withColumn("__upto", F.sum("__n").over(so_far))
-        .where(F.col(SEED) == ROW)
+    known = df.where(F.col(col).isNotNull()).select(
+        *[F.col(d).alias(k) for d, k in zip(dims, keys)], F.col(col).alias("__value")
     )
+
+    def counted(part: DataFrame) -> DataFrame:
+        return part.groupBy(*keys, "__value").agg(F.count(F.lit(1)).alias("__n"))
+
+    so_far = in_cells(keys).orderBy(SEED, "__value").rowsBetween(Window.unboundedPreceding, 0)
+
+    def running(rows: DataFrame) -> DataFrame:
+        return rows.withColumn("__upto", F.sum("__n").over(so_far)).where(F.col(SEED) == ROW)
+
+    hot = find_hot(known, keys, split)
+    if hot is None:
+        values = counted(known)
+        placed = running(seeded(in_one_cell(values, keys)))
+    else:
+        ranges = hot.in_ranges(counted(hot.only(known)), ["__value"])
+        earlier = cells_along(keys).rowsBetween(Window.unboundedPreceding, -1)
+        seeds = (
+            ranges.groupBy(*keys, CELL)
+            .agg(F.sum("__n").alias("__n"))
+            .withColumn("__n", F.sum("__n").over(earlier))
+            .where("__n IS NOT NULL")
+        )
+        calm = counted(hot.rest(known))
+        values = calm.unionByName(ranges.drop(CELL))
+        placed = running(seeded(in_one_cell(calm, keys))).unionByName(running(seeded(ranges, (seeds, BEFORE))))
     # Where to look, worked out once per group: the two neighbours of each
     # quantile's position and how far it lies between them.
     size = F.col("__size")

@@ -2,6 +2,7 @@ import random
 from datetime import date, datetime, timedelta
 
 import pytest
+from pyspark.sql import functions as F
 
 from dayfold.functions.hot import HotSplit
 from dayfold.operators.clean import latest_by_key
@@ -106,17 +107,79 @@ FACTS = [
 ]
 
 
-@pytest.mark.parametrize("max_versions", [64, 1, 0])
-@pytest.mark.parametrize("split", [HotSplit(), TINY])
-def test_scd2_lookup(spark, max_versions, split):
+@pytest.mark.parametrize("small", [True, False, None])
+@pytest.mark.parametrize("kind", ["timestamp_ntz", "timestamp", "date"])
+@pytest.mark.parametrize("bucket", [timedelta(days=1), timedelta(seconds=1), timedelta(days=10_000)])
+def test_scd2_lookup(spark, small, kind, bucket):
     history = spark.createDataFrame(
         HISTORY, "k bigint, attr string, valid_from timestamp_ntz, valid_to timestamp_ntz, is_current boolean"
     )
     facts = spark.createDataFrame([f[:3] for f in FACTS], "id int, key bigint, at timestamp_ntz")
-    out = scd2_lookup(facts, history, {"key": "k"}, "at", {"attr": "attr"}, max_versions=max_versions, split=split)
+    history = history.withColumns({c: F.col(c).cast(kind) for c in ("valid_from", "valid_to")})
+    out = scd2_lookup(
+        facts.withColumn("at", F.col("at").cast(kind)), history, {"key": "k"}, "at", {"attr": "attr"}, bucket=bucket, small=small
+    )
+    out = out.withColumn("at", F.col("at").cast("timestamp_ntz"))
     assert rows(out) == sorted(((f[0], *f[1:]) for f in FACTS), key=str)
 
 
+@pytest.mark.parametrize("small", [True, False])
+def test_lookup_at_all_lengths(spark, small):
+    """Versions from a microsecond to centuries, with gaps, before and after 1970, against a plain search."""
+    make, history, facts = random.Random(9), [], []
+    for key in range(12):
+        at = datetime(1900 + 6 * key, 1, 1)
+        for n in range(40):
+            until = at + timedelta(microseconds=int(10 ** make.uniform(0, 14 if key % 2 else 9)))
+            history.append((key, n, at, until))
+            at = until + timedelta(microseconds=make.choice([0, 0, 1, 10**6]))
+        history.append((key, 40, at, datetime(9999, 12, 31)))
+        history.append((key, 41, at, at))
+    for n in range(600):
+        key, _, since, until = make.choice(history)
+        at = make.choice([since, until, since - timedelta(microseconds=1), since + (until - since) * make.random()])
+        facts.append((n, key if make.random() < 0.95 else 99, at))
+    table = spark.createDataFrame(history, "k int, v int, valid_from timestamp_ntz, valid_to timestamp_ntz")
+    df = spark.createDataFrame(facts, "id int, key bigint, at timestamp_ntz")
+    found = {r.id: r.v for r in scd2_lookup(df, table, {"key": "k"}, "at", {"v": "v"}, small=small).collect()}
+    assert len(found) == 600
+    for n, key, at in facts:
+        assert found[n] == next((v for k, v, since, until in history if k == key and since <= at < until), None), (n, key, at)
+
+
+def test_lookup_of_numbers_and_days(spark):
+    history = spark.sql("SELECT 1 AS k, id AS v, id * 3 - 9 AS valid_from, id * 3 - 6 AS valid_to FROM range(10)")
+    facts = spark.sql("SELECT 1 AS k, id - 12 AS at FROM range(40)")
+    for small in (True, False):
+        out = scd2_lookup(facts, history, {"k": "k"}, "at", {"v": "v"}, small=small)
+        assert {r.at: r.v for r in out.collect()} == {at: (at + 9) // 3 if -9 <= at < 21 else None for at in range(-12, 28)}
+    with pytest.raises(TypeError, match="no time order"):
+        scd2_lookup(facts.withColumn("at", F.lit("x")), history, {"k": "k"}, "at", {"v": "v"}, small=True)
+
+
+def test_lookup_meets_the_versions_of_one_bucket(spark):
+    """A key with 10,000 versions and 100,000 keys with 65 each; no job runs until rows are asked for."""
+    many = spark.range(100_000).select("id", F.explode(F.sequence(F.lit(0), F.lit(64))).alias("n"))
+    many = many.union(spark.range(10_000).select(F.lit(-1).cast("bigint"), F.col("id").cast("int")))
+    since = (F.timestamp_seconds(F.col("n") * 86_400)).cast("timestamp_ntz")
+    until = (F.timestamp_seconds((F.col("n") + 1) * 86_400)).cast("timestamp_ntz")
+    history = many.select("id", F.col("n").alias("v"), since.alias("valid_from"), until.alias("valid_to"))
+    facts = spark.range(200_000).select(
+        F.when(F.col("id") % 3 == 0, -1).otherwise(F.col("id") % 100_000).alias("key"),
+        F.timestamp_seconds((F.col("id") % 64) * 86_400 + 5).cast("timestamp_ntz").alias("at"),
+        (F.col("id") % 64).alias("expected"),
+    )
+    store = spark.sparkContext._jsc.sc().statusStore()
+    before = store.jobsList(None).size()
+    out = scd2_lookup(facts, history, {"key": "id"}, "at", {"v": "v"}, small=False)
+    plan = out._jdf.queryExecution().executedPlan().toString()
+    assert store.jobsList(None).size() == before
+    joins = [line for line in plan.splitlines() if "Join" in line]
+    assert len(joins) == 1 and "shiftright" in joins[0]
+    right = out.select((F.col("v") == F.col("expected")).alias("ok")).groupBy("ok").count().collect()
+    assert [(r.ok, r["count"]) for r in right] == [(True, 200_000)]
+
+
 def test_found_nulls_stay_and_defaults_follow_the_type(spark):
     base = spark.createDataFrame([(1,), (2,), (None,)], "k int")
     side = spark.createDataFrame([(1, None, None, None)], "n int, name string, size int, since date")
@@ -126,8 +189,8 @@ def test_found_nulls_stay_and_defaults_follow_the_type(spark):
     assert rows(out) == sorted([(1, None, None, None), (2, *missing), (None, *missing)], key=str)
     history = side.selectExpr("n", "name", "size", "since", "timestamp_ntz'2024-01-01' valid_from", "timestamp_ntz'2025-01-01' valid_to")
     facts = base.selectExpr("k", "timestamp_ntz'2024-06-01' at")
-    for most in (1000, 0):
-        found = scd2_lookup(facts, history, {"k": "n"}, "at", take, max_versions=most).drop("at")
+    for small in (True, False):
+        found = scd2_lookup(facts, history, {"k": "n"}, "at", take, small=small).drop("at")
         assert rows(found) == sorted([(1, None, None, None), (2, *missing), (None, *missing)], key=str)
 
 

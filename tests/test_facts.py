@@ -139,38 +139,61 @@ def test_allocation_adds_up(spark, split):
     assert [r.h for r in without.collect()] == [4]
 
 
-def test_cells_really_split(spark):
-    from dayfold.functions.hot import CELL, Cells
+def ranges_of(df, keys, order, split):
+    from dayfold.functions.hot import CELL, find_hot
 
+    hot = find_hot(df, keys, split)
+    return hot, hot.in_ranges(hot.only(df), order).withColumnRenamed(CELL, "cell")
+
+
+def test_hot_rows_are_dealt_over_ranges(spark):
     df = spark.createDataFrame([(i % 5 != 0, i) for i in range(1000)], "k boolean, x int")
-    cells = Cells(df, ["k"], "x", HotSplit(min_rows=500, rows_per_cell=100))
-    per_cell = cells.mark(df).groupBy("k", CELL).agg(F.count("*").alias("n")).collect()
-    assert max(r.n for r in per_cell if r.k) <= 101 and len([r for r in per_cell if r.k]) >= 8
-    assert [r.n for r in per_cell if not r.k] == [200]
-    assert cells.only_hot(df).count() == 800
+    hot, ranges = ranges_of(df, ["k"], ["x"], HotSplit(min_rows=500, rows_per_cell=100))
+    per_cell = ranges.groupBy("cell").agg(F.count("*").alias("n"), F.min("x").alias("a"), F.max("x").alias("b"))
+    found = per_cell.orderBy("cell").collect()
+    assert sum(r.n for r in found) == 800 and hot.rest(df).count() == 200
+    assert max(r.n for r in found) <= 200 and len(found) >= 7
+    assert all(x.b < y.a for x, y in zip(found, found[1:]))
 
 
 @pytest.mark.parametrize("stray", ["1e12", "-1e12", "CAST('Infinity' AS DOUBLE)", "CAST(NULL AS DOUBLE)"])
-def test_one_stray_value_does_not_undo_the_split(spark, stray):
-    from dayfold.functions.hot import CELL, Cells
-
-    df = spark.range(20_000).selectExpr("1 AS k", "pow(id, 3) AS x").unionAll(spark.sql(f"SELECT 1 AS k, {stray} AS x"))
+def test_bursts_strays_and_piles_do_not_undo_the_split(spark, stray):
+    """Nearly all rows lie within one of 256 parts of the span, and a third of them at one instant."""
+    x = "CASE WHEN id % 3 = 0 THEN 77.5 ELSE pow(id % 1000, 2) / 1e6 END"
+    df = spark.range(20_000).selectExpr("1 AS k", f"{x} AS x", "id").unionAll(spark.sql(f"SELECT 1, {stray}, -1"))
     for keys in (["k"], []):
-        cells = Cells(df, keys, "x", HotSplit(min_rows=500, rows_per_cell=200))
-        per_cell = cells.mark(df).groupBy(CELL).agg(F.count("*").alias("n"), F.min("x").alias("a"), F.max("x").alias("b"))
-        found = per_cell.orderBy(CELL).collect()
-        assert max(r.n for r in found) <= 400
+        _, ranges = ranges_of(df, keys, ["x"], HotSplit(min_rows=500, rows_per_cell=200))
+        found = ranges.groupBy("cell").agg(F.count("*").alias("n"), F.min("x").alias("a"), F.max("x").alias("b"))
+        found = found.orderBy("cell").collect()
+        assert sum(r.n for r in found) == 20_001 and max(r.n for r in found) <= 1000
         known = [r for r in found if r.a is not None]
-        assert all(x.b < y.a for x, y in zip(known, known[1:]))
+        assert all(x.b <= y.a for x, y in zip(known, known[1:]))
 
 
-def test_every_hot_key_is_split_and_text_is_left_whole(spark):
-    from dayfold.functions.hot import CELL, Cells
+def test_text_is_split_and_no_hot_group_gives_the_plain_plan(spark):
+    from dayfold.functions.hot import NO_SPLIT, find_hot
 
     df = spark.range(30_000).selectExpr("id % 1000 AS k", "id AS x", "CAST(id AS string) AS t")
-    split = HotSplit(min_rows=20, rows_per_cell=10)
-    assert Cells(df, ["k"], "x", split).mark(df).groupBy("k", CELL).count().agg(F.max("count")).first()[0] <= 20
-    assert Cells(df, ["k"], "t", split).mark(df).select(CELL).distinct().count() == 1
+    _, ranges = ranges_of(df, ["k"], ["t"], HotSplit(min_rows=20, rows_per_cell=1000))
+    assert ranges.groupBy("cell").count().agg(F.max("count")).first()[0] <= 5000
+    assert find_hot(df, ["k"], HotSplit(min_rows=30)) is None and find_hot(df, [], NO_SPLIT) is None
+
+
+def test_a_pile_at_one_instant(spark):
+    """Most rows of one user have one time; numbers, next events and matches are as without a split."""
+    rows = spark.range(3000).selectExpr(
+        "id", "id % 50 = 0 AS user", "timestamp_ntz'2024-01-01' + make_interval(0,0,0,0,0,0, CASE WHEN id % 4 = 0 THEN id ELSE 700 END) AS ts"
+    )
+    some = rows.where("id % 40 = 3").withColumnRenamed("id", "mark")
+    split = HotSplit(min_rows=50, rows_per_cell=40)
+    gap = timedelta(seconds=6)
+    for of in (
+        lambda s: sessionize(rows, "user", "ts", gap, split=s),
+        lambda s: next_event(rows, "user", "ts", ["id"], ["id"], split=s),
+        lambda s: asof_join(rows, some, ["user"], "ts", ["mark"], split=s),
+        lambda s: asof_join(some, rows, ["user"], "ts", ["id"], split=s),
+    ):
+        assert sorted(map(str, of(split).collect())) == sorted(map(str, of(HotSplit()).collect()))
 
 
 @pytest.mark.parametrize("split", SPLITS)
