@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from datetime import timedelta
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -18,6 +20,10 @@ from dayfold.operators.dims import (
     scd2_build,
     scd2_lookup,
 )
+from dayfold.operators.stored import scd2_apply_stored, stored_history, upsert_stored
+from dayfold.session import tidy, work_folder, written
+from dayfold.sources.buckets import BucketStore
+from dayfold.sources.load import write_day
 
 # Limits low enough that the small tables have hot groups too: some lanes for each, and some ranges for all.
 SMALL_CELLS = HotSplit(min_rows=5, rows_per_cell=3)
@@ -71,9 +77,7 @@ def customer_dim(t: Tables) -> DataFrame:
     return dim.select(surrogate_key("c_custkey").alias("customer_sk"), "c_custkey", "c_mktsegment", "nation", "region")
 
 
-@query(
-    "scd1_upsert",
-    """
+_UPSERT_SQL = """
     WITH ranked AS (
         SELECT *, o_orderdate < TIMESTAMP '1998-01-01' AS is_old,
                row_number() OVER (PARTITION BY o_custkey, o_orderdate < TIMESTAMP '1998-01-01'
@@ -83,16 +87,32 @@ def customer_dim(t: Tables) -> DataFrame:
     SELECT o_custkey, o_orderkey, o_orderpriority FROM chg
     UNION ALL
     SELECT o_custkey, o_orderkey, o_orderpriority FROM cur WHERE o_custkey NOT IN (SELECT o_custkey FROM chg)
-    """,
-)
-def upserted_orders(t: Tables) -> DataFrame:
+"""
+
+
+def _orders_before_and_after(t: Tables) -> tuple[DataFrame, DataFrame]:
     """The latest order per customer: as of 1997 as the table, of later years as its changes."""
     keep = ["o_custkey", "o_orderkey", "o_orderpriority"]
     old = F.col("o_orderdate") < F.lit("1998-01-01").cast("timestamp_ntz")
     order = ["o_orderdate", "o_orderkey"]
     current = latest_by_key(t.orders.where(old), ["o_custkey"], order).select(keep)
     changes = latest_by_key(t.orders.where(~old), ["o_custkey"], order).select(keep)
-    return scd1_upsert(current, changes, ["o_custkey"])
+    return current, changes
+
+
+@query("scd1_upsert", _UPSERT_SQL)
+def upserted_orders(t: Tables) -> DataFrame:
+    return scd1_upsert(*_orders_before_and_after(t), ["o_custkey"])
+
+
+@query("scd1_upsert_stored", _UPSERT_SQL)
+def upserted_store(t: Tables) -> DataFrame:
+    """The same with the table kept in buckets of the customer."""
+    current, changes = _orders_before_and_after(t)
+    store = BucketStore(t.spark, work_folder(t.spark, "latest-orders"), current.schema, ["o_custkey"], 32)
+    store.replace(current)
+    upsert_stored(store, changes)
+    return store.read()
 
 
 @query("scd2_build", "WITH " + HISTORY_SQL + _SHOW_HISTORY)
@@ -116,6 +136,23 @@ def history_by_days(t: Tables) -> DataFrame:
     return scd2_apply(before, changes, day, ["o_custkey"], ["o_orderpriority"])
 
 
+@query("scd2_apply_stored", "WITH " + HISTORY_SQL + _SHOW_HISTORY)
+def stored_history_by_days(t: Tables) -> DataFrame:
+    """History up to the last order day in buckets of the customer, then that day applied to those it touches."""
+    day = t.orders.agg(day_of(F.max("o_orderdate"))).first()[0]
+    of_day = day_of("o_orderdate") == F.lit(day)
+    keys, attrs = ["o_custkey"], ["o_orderpriority"]
+    before = scd2_build(t.orders.where(~of_day), keys, "o_orderdate", attrs, ["o_orderkey"])
+    store = BucketStore(t.spark, work_folder(t.spark, "open-versions"), before.schema, keys, 32)
+    closed = work_folder(t.spark, "closed-versions")
+    with tidy():
+        before = written(before, "history-before")
+        store.replace(before.where("is_current"))
+        write_day(before.where("NOT is_current"), closed, day - timedelta(days=1))
+    scd2_apply_stored(store, closed, latest_by_key(t.orders.where(of_day), keys, ["o_orderkey"]), day, attrs)
+    return stored_history(store, closed)
+
+
 _LOOKUP_SQL = (
     "WITH "
     + HISTORY_SQL

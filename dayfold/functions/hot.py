@@ -82,7 +82,10 @@ class HotGroups:
 
 
 class HotRanges:
-    """The rows of the hot groups by ``keys``, found and counted, to be dealt over ranges."""
+    """The rows of the hot groups by ``keys``, found and counted, to be dealt over ranges.
+
+    Without keys all rows are one group.
+    """
 
     def __init__(self, keys: Sequence[str], list_: DataFrame, rows: int, split: HotSplit):
         self.keys = list(keys)
@@ -92,9 +95,13 @@ class HotRanges:
         self.ranges = -(-rows // split.rows_per_cell) + 1
 
     def only(self, df: DataFrame) -> DataFrame:
+        if not self.keys:
+            return df
         return df.withColumn("__group", self.group).join(self.list, "__group", "left_semi").drop("__group")
 
     def rest(self, df: DataFrame) -> DataFrame:
+        if not self.keys:
+            return df.where("false")
         return df.withColumn("__group", self.group).join(self.list, "__group", "left_anti").drop("__group")
 
     def in_ranges(self, df: DataFrame, order: Sequence[str]) -> DataFrame:

@@ -49,6 +49,7 @@ from dayfold.operators.quality import (
     volume_drift,
 )
 from dayfold.operators.sequence import asof_join, next_event, sessionize
+from dayfold.operators.stored import scd2_apply_stored, stored_history, upsert_stored
 from dayfold.operators.summaries import (
     active_ids,
     daily_summary,
@@ -103,10 +104,12 @@ __all__ = [
     "rule_audit",
     "scd1_upsert",
     "scd2_apply",
+    "scd2_apply_stored",
     "scd2_build",
     "scd2_lookup",
     "sessionize",
     "split_valid",
+    "stored_history",
     "streaks",
     "tag_rejects",
     "to_date_merge",
@@ -115,5 +118,6 @@ __all__ = [
     "transitions",
     "trailing_summary",
     "unpivot_summary",
+    "upsert_stored",
     "volume_drift",
 ]

@@ -306,8 +306,7 @@ def _instant(col: Column, dtype: T.DataType, days: bool) -> Column:
 
 def _broadcastable(df: DataFrame) -> bool:
     """Whether Spark expects ``df`` to be within its limit for broadcasts; a look at the plan, not a job."""
-    text = df.sparkSession.conf.get("spark.sql.autoBroadcastJoinThreshold")
-    limit = int(df.sparkSession._jvm.org.apache.spark.network.util.JavaUtils.byteStringAsBytes(text))
+    limit = df.sparkSession._jsparkSession.sessionState().conf().autoBroadcastJoinThreshold()
     return int(str(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes())) <= limit
 
 

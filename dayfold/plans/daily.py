@@ -15,7 +15,7 @@ Tables below the warehouse folder, all by ``dt``:
 
 With ``keep_late`` also:
 
-- ``headers``: key, customer and date of the day's orders
+- ``headers``: key, customer and date of the day's orders, in buckets of the key
 - ``pending``: lines that have landed and whose order has not
 """
 
@@ -27,15 +27,18 @@ from datetime import date, timedelta
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from dayfold.functions.columns import money
 from dayfold.operators.clean import latest_by_key, split_valid
 from dayfold.operators.dims import Lookup, scd2_apply
 from dayfold.operators.facts import transaction_fact
 from dayfold.operators.summaries import daily_summary, to_date_merge
-from dayfold.session import written
+from dayfold.session import tidy, written
+from dayfold.sources.buckets import BUCKET, bucket_of
 from dayfold.sources.load import load_increment, read_days, write_day
 
+HEADER_BUCKETS = 256
 TO_DATE = "o_custkey bigint, first_day date, last_day date, lines bigint, net_sales decimal(28,4)"
 VERSION = (
     "o_custkey bigint, o_orderpriority string, valid_from timestamp_ntz, valid_to timestamp_ntz, is_current boolean"
@@ -85,28 +88,50 @@ def customer_chain(wh: Warehouse, day: date) -> list[Lookup]:
 def _with_late(
     wh: Warehouse, landed: DataFrame, orders: DataFrame, day: date, previous: date | None
 ) -> tuple[DataFrame, DataFrame]:
-    """Lines and orders to process: those of the day, and those that waited or came late."""
+    """Lines and orders to process: those of the day, and those that waited or came late.
+
+    Headers are kept by day and bucket of the order. Lines of the day's own orders need none of them; the
+    others are looked up in the buckets of their orders only. Of an order that landed more than once the last header counts.
+    """
     columns = landed.columns
     landed = written(landed.unionByName(wh.state("pending", landed.schema, previous)), "landed-lines")
-    todays = orders.select("o_orderkey", "o_custkey", "o_orderdate")
-    write_day(todays, wh.table("headers"), day)
-    if previous is None:
-        known = todays
-    else:
-        before = read_days(wh.spark, wh.table("headers"), todays.schema).where(F.col("dt") < F.lit(day)).drop("dt")
-        known = todays.unionByName(before)
+    todays = written(orders.select("o_orderkey", "o_custkey", "o_orderdate"), "todays-orders")
+    marked = todays.withColumn(BUCKET, bucket_of(["o_orderkey"], HEADER_BUCKETS))
+    write_day(marked, wh.table("headers"), day, within=[BUCKET])
     same = F.col("l_orderkey") == F.col("o_orderkey")
-    keys = known.select("o_orderkey").distinct()
-    write_day(landed.join(keys, same, "left_anti"), wh.table("pending"), day)
-    lines = written(landed.join(keys, same, "left_semi").select(columns), "lines-with-orders")
+    own = landed.join(todays.select("o_orderkey"), same, "left_semi")
+    others = written(landed.join(todays.select("o_orderkey"), same, "left_anti"), "other-lines")
+    before = written(_headers_of(wh, others, todays, day), "headers-before")
+    write_day(others.join(before.select("o_orderkey"), same, "left_anti"), wh.table("pending"), day)
+    late = others.join(before.select("o_orderkey"), same, "left_semi")
+    lines = written(own.select(columns).unionByName(late.select(columns)), "lines-with-orders")
+    known = todays.unionByName(before)
     return lines, known.join(lines.select("l_orderkey").distinct(), same, "left_semi")
 
 
+def _headers_of(wh: Warehouse, lines: DataFrame, like: DataFrame, day: date) -> DataFrame:
+    """The last header before ``day`` of each order of ``lines``, from the buckets of these orders alone."""
+    keys = lines.select(F.col("l_orderkey").alias("o_orderkey")).distinct()
+    # At most HEADER_BUCKETS numbers.
+    touched = [r[0] for r in keys.select(bucket_of(["o_orderkey"], HEADER_BUCKETS)).distinct().collect()]
+    schema = T.StructType([*like.schema.fields, T.StructField(BUCKET, T.IntegerType())])
+    stored = read_days(wh.spark, wh.table("headers"), schema)
+    stored = stored.where((F.col("dt") < F.lit(day)) & F.col(BUCKET).isin(touched)).drop(BUCKET)
+    return latest_by_key(stored.join(keys, "o_orderkey", "left_semi"), ["o_orderkey"], ["dt"]).select(*like.columns)
+
+
 def run_day(wh: Warehouse, day: date, previous: date | None) -> None:
     """Process ``day`` on top of the state after ``previous`` (None for the first run)."""
     if previous is not None and previous >= day:
         raise ValueError(f"{day} must come after {previous}")
-    orders = load_increment(wh.source("orders", day), "o_orderdate", day, day + timedelta(days=1))
+    with tidy():
+        _run_day(wh, day, previous)
+
+
+def _run_day(wh: Warehouse, day: date, previous: date | None) -> None:
+    landed = load_increment(wh.source("orders", day), "o_orderdate", day, day + timedelta(days=1))
+    # An order that landed twice on the day is one order still.
+    orders = latest_by_key(landed, ["o_orderkey"], ["o_orderdate", "o_custkey", "o_orderpriority"])
     lines, of_lines = wh.source("lineitem", day), orders
     if wh.keep_late:
         lines, of_lines = _with_late(wh, lines, orders, day, previous)

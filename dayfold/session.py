@@ -4,6 +4,8 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+from collections.abc import Iterator
+from contextlib import contextmanager
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -46,4 +48,24 @@ def written(df: DataFrame, name: str) -> DataFrame:
     """
     path = work_folder(df.sparkSession, name)
     df.write.parquet(path)
+    for made in _made:
+        made.append((df.sparkSession, path))
     return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
+# What `written` has made within each open `tidy`.
+_made: list[list[tuple[SparkSession, str]]] = []
+
+
+@contextmanager
+def tidy() -> Iterator[None]:
+    """Delete, at the end of a step that leaves its results elsewhere, the tables that :func:`written` made in mid-way."""
+    made: list[tuple[SparkSession, str]] = []
+    _made.append(made)
+    try:
+        yield
+    finally:
+        _made.pop()
+        for spark, path in made:
+            place = spark._jvm.org.apache.hadoop.fs.Path(path)
+            place.getFileSystem(spark._jsc.hadoopConfiguration()).delete(place, True)

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from collections.abc import Sequence
 from datetime import date
 from typing import Any
 
@@ -36,9 +37,16 @@ def write_daily_partition(df: DataFrame, path: str, dt_col: str = "dt") -> None:
     )
 
 
-def write_day(df: DataFrame, path: str, day: date, dt_col: str = "dt") -> None:
-    """Replace one day, also when ``df`` has no rows; ``df`` holds that day alone."""
-    df.drop(dt_col).write.mode("overwrite").parquet(f"{path}/{dt_col}={day.isoformat()}")
+def write_day(df: DataFrame, path: str, day: date, dt_col: str = "dt", within: Sequence[str] = ()) -> None:
+    """Replace one day, also when ``df`` has no rows; ``df`` holds that day alone.
+
+    With ``within`` the day has a folder for each value of these columns.
+    """
+    rows = df.drop(dt_col)
+    if within:
+        rows = rows.hint("rebalance", *[F.col(c) for c in within])
+    writer = rows.write.mode("overwrite").option("partitionOverwriteMode", "static")
+    (writer.partitionBy(*within) if within else writer).parquet(f"{path}/{dt_col}={day.isoformat()}")
 
 
 def read_days(spark: SparkSession, path: str, schema: T.StructType | str, dt_col: str = "dt") -> DataFrame:
