@@ -88,7 +88,11 @@ FAMILIES = [
 PERMISSIVE = frozenset({"mit", "apache-2", "bsd", "isc", "zlib", "bsl", "cc0", "cc-by", "public-domain"})
 
 TAG = "spdx license identifier"
-TAG_TEXT = re.compile(r"spdx[- ]license[- ]identifier\s*:[ \t]*([^\r\n]*)")
+TAG_TEXT = re.compile(r"spdx[- ]license[- ]identifier\s*:[ \t]*")
+LINE = re.compile(r"[^\r\n]*")
+# A line of an expression whose brackets are open: marks of comments, then words, brackets and signs of identifiers.
+GOES_ON = re.compile(r"(?:\r\n|\r|\n)[ \t#*/;!%-]*([a-z0-9.+() \t/*-]+)(?=[\r\n]|\Z)")
+SLASH = re.compile(r"(?<=[a-z0-9.+)])/(?=[a-z0-9(])")
 TOKEN = re.compile(r"[()]|[a-z0-9][a-z0-9.+-]*")
 PRECEDENCE = {"with": 3, "and": 2, "or": 1}
 
@@ -128,13 +132,15 @@ def _is_operand(token: str, after_with: bool) -> bool:
     )
 
 
-def complete_prefix(text: str) -> list[str]:
-    """The tokens of the longest start of ``text`` that is a whole expression.
+def complete_prefix(text: str) -> tuple[list[str], bool]:
+    """The tokens of the longest start of ``text`` that is a whole expression, and whether it binds to more.
 
     Behind an operator or a bracket any word is an operand, though an unknown one, if an operator, a
-    closing bracket or the end follows; before other words it belongs to a sentence and ends the expression.
+    closing bracket or the end follows; before other words it belongs to a sentence and ends the expression. A
+    start that ``and`` or ``with`` ties to something left out binds to more, and so does what stands in a bracket
+    that is not a whole expression. A slash between words is ``or``.
     """
-    found = TOKEN.findall(text)
+    found = TOKEN.findall(SLASH.sub(" or ", text))
     tokens, depth, operand, whole = [], 0, True, 0
     for token, behind in zip(found, [*found[1:], ")"]):
         if operand:
@@ -155,7 +161,24 @@ def complete_prefix(text: str) -> list[str]:
         tokens.append(token)
         if not operand and not depth:
             whole = len(tokens)
-    return tokens[:whole]
+    if not whole and tokens and tokens[0] == "(":
+        return complete_prefix(" ".join(found[1:]))[0], True
+    return tokens[:whole], found[whole : whole + 1] in (["and"], ["with"])
+
+
+def tag_texts(text: str) -> Iterator[str]:
+    """What stands behind each identifier tag to the end of its line, or to the line in which its brackets close."""
+    for found in TAG_TEXT.finditer(text):
+        start = end = found.end()
+        while True:
+            line = LINE.match(text, end)
+            end = line.end()
+            depth = text.count("(", start, end) - text.count(")", start, end)
+            following = GOES_ON.match(text, end) if depth > 0 else None
+            if not following:
+                break
+            end = following.start(1)
+        yield text[start:end]
 
 
 def to_postfix(tokens: list[str]) -> list[str]:
@@ -238,12 +261,15 @@ class Scanner:
                 labels.add(self.notices[phrase])
                 certain *= 0.3
         if any(phrase == TAG for _, phrase in hits):
-            for found in TAG_TEXT.finditer(text.lower()):
-                terms = evaluate(to_postfix(complete_prefix(found[1])), self.allowed)
+            for found in tag_texts(text.lower()):
+                tokens, binds = complete_prefix(found)
+                terms = evaluate(to_postfix(tokens), self.allowed)
                 if terms.text:
                     expressions.append(terms.text)
                     labels |= terms.labels
-                    usable = terms.allowed if usable is None else usable and terms.allowed
+                    # What an expression is tied to and is not read may forbid anything.
+                    own = terms.allowed and not binds
+                    usable = own if usable is None else usable and own
                     certain *= 0.05 if terms.labels else 0.5
         labels |= base_labels
         if usable is None and labels:
@@ -275,7 +301,8 @@ def scan_licenses(
     characters beyond ASCII. ``n_base`` counts all places of the ``base`` phrases, also
     overlapping ones, and ``first_word`` and ``last_word`` are their first and last start.
     ``labels`` adds those of ``notices`` and of identifier tags, whose and/or/with
-    expressions are parsed (unknown operands and exceptions have no label and are not usable); ``expressions`` has them in brackets (several joined by
+    expressions are parsed (unknown operands and exceptions have no label and are not usable; nor is an expression that
+    is tied to words beyond it); ``expressions`` has them in brackets (several joined by
     semicolons), ``usable`` tells whether ``allowed`` satisfies all expressions (without
     any: covers all labels), and NULL where nothing was found. ``score`` grows with the number and
     kind of the finds and is 0 without any.

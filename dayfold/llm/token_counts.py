@@ -15,7 +15,8 @@ from dayfold.llm.tables import known_text, need
 
 SPACE = "▁"  # stands for a blank in vocabulary files of this kind
 UNKNOWN_PENALTY = 10.0  # fixed value: an unknown character scores this much below the worst piece
-SEGMENTS_IN_MEMORY = 400_000  # entries of a worker's table; beyond it the table starts anew
+# Entries of a worker's table, beyond which it starts anew, and the longest one kept: at most 26 million characters.
+SEGMENTS_IN_MEMORY, LONGEST_IN_MEMORY = 400_000, 64
 
 
 @dataclass
@@ -117,9 +118,11 @@ class Counter:
         for part in parts:
             found = known.get(part)
             if found is None:
-                if len(known) >= SEGMENTS_IN_MEMORY:
-                    known.clear()
-                found = known[part] = self.segment(part)
+                found = self.segment(part)
+                if len(part) <= LONGEST_IN_MEMORY:
+                    if len(known) >= SEGMENTS_IN_MEMORY:
+                        known.clear()
+                    known[part] = found
             pieces += found[0]
             total += found[1]
         return pieces, total

@@ -46,17 +46,26 @@ def test_base_labels_stay_among_labels(documents):
         ("mit or gpl-3.0-only and isc", "(mit or (gpl-3.0-only and isc))", True),
         ("(mit or gpl-3.0-only) and gpl-2.0", "((mit or gpl-3.0-only) and gpl-2.0)", False),
         ("gpl-2.0-or-later with classpath-exception-2.0 or apache-2.0", "((gpl-2.0-or-later with classpath-exception-2.0) or apache-2.0)", True),
-        ("mit and then some words", "mit", True),
+        ("mit and then some words", "mit", False),
+        ("mit and commercial use license", "mit", False),
+        ("mit or commercial use license", "mit", True),
+        ("(mit and commercial use license) or isc", "mit", False),
+        ("mit/apache-2.0", "(mit or apache-2.0)", True),
+        ("(mit/x11) and isc", "((mit or x11) and isc)", True),
+        ("gpl-2.0 with some of my words", "gpl-2.0", False),
         ("mit or", "mit", True),
-        ("(mit", "", None),
+        ("(mit", "mit", False),
+        ("((mit", "mit", False),
+        ("(", "", None),
         ("or mit", "", None),
         ("", "", None),
     ],
 )
 def test_expressions(text, whole, usable):
-    found = evaluate(to_postfix(complete_prefix(text)), PERMISSIVE)
+    tokens, binds = complete_prefix(text)
+    found = evaluate(to_postfix(tokens), PERMISSIVE)
     assert found.text == whole
-    assert usable is None or found.allowed == usable
+    assert usable is None or (found.allowed and not binds) == usable
 
 
 @pytest.mark.parametrize(
@@ -67,6 +76,12 @@ def test_expressions(text, whole, usable):
         ("(MIT OR WTFPL)", "(mit or wtfpl)", "mit", True),
         ("(MIT AND Homegrown) OR ISC", "((mit and homegrown) or isc)", "isc,mit", True),
         ("MIT AND Homegrown", "(mit and homegrown)", "mit", False),
+        ("MIT AND Commercial Use License", "mit", "mit", False),
+        ("MIT/Apache-2.0", "(mit or apache-2.0)", "apache-2,mit", True),
+        ("(MIT OR\n//   GPL-2.0-only)\nint x = (1);", "(mit or gpl-2.0-only)", "gpl,mit", True),
+        ("(MIT AND (ISC\r\n * OR Zlib\r\n * )) */", "(mit and (isc or zlib))", "isc,mit,zlib", True),
+        ("(MIT\n\nThis text (is prose): and more", "mit", "mit", False),
+        ("MIT // and so on", "mit", "mit", False),
         ("MIT WITH Homegrown-note", "(mit with homegrown-note)", "mit", False),
         ("Apache-2.0 AND OpenSSL", "(apache-2.0 and openssl)", "apache-2", False),
         ("WTFPL", "wtfpl", "", False),

@@ -50,3 +50,12 @@ def test_ties_and_unknown_characters(text, bytes_fallback, inner):
     vocabulary = Vocabulary(scores, bytes_fallback)
     assert vocabulary.breaks_at_spaces is not inner
     assert Counter(vocabulary).count(text)[0] == reference(vocabulary)(text)
+
+
+def test_texts_without_blanks_are_not_remembered():
+    vocabulary = read_vocabulary(PATH)
+    counter, count = Counter(vocabulary), reference(vocabulary)
+    texts = ["".join(chr(97 + (n * k) % 23) for k in range(2000)) for n in range(1, 30)]
+    for text in texts:
+        assert counter.count(f"{text} of words")[0] == count(f"{text} of words")
+    assert sum(map(len, counter.known)) < 100
