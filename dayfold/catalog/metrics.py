@@ -7,7 +7,7 @@ from datetime import timedelta
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from dayfold.catalog.dims import SMALL_CELLS, SMALL_RANGES
+from dayfold.catalog.dims import SMALL_RANGES
 from dayfold.catalog.facts import SESSION_SQL, SIX_HOURS
 from dayfold.catalog.registry import Tables, query
 from dayfold.functions.columns import money, period_start
@@ -117,7 +117,7 @@ def purchase_funnel(t: Tables) -> DataFrame:
 
 @query("funnel_split", _FUNNEL_SQL)
 def purchase_funnel_split(t: Tables) -> DataFrame:
-    return _funnel(t, SMALL_CELLS)
+    return _funnel(t, SMALL_RANGES)
 
 
 _TOP_SQL = """

@@ -14,6 +14,7 @@ from dayfold.operators.quality import (
     Unique,
     profile_columns,
     reconcile,
+    reconcile_digests,
     rule_audit,
     volume_drift,
 )
@@ -96,8 +97,7 @@ _STATES_SQL = """
 """
 
 
-@query(
-    "reconcile",
+_BY_KEY_SQL = (
     _STATES_SQL.format(cols="o_orderkey, o_custkey, o_orderpriority")
     + """,
     j AS (SELECT CASE WHEN b.o_orderkey IS NULL THEN 'only_left' WHEN a.o_orderkey IS NULL THEN 'only_right'
@@ -107,23 +107,41 @@ _STATES_SQL = """
           FROM a FULL JOIN b ON a.o_orderkey = b.o_orderkey)
     SELECT k AS status, count(*) FILTER (status = k) AS keys
     FROM (SELECT unnest(['only_left', 'only_right', 'different', 'same', 'repeated']) AS k), j GROUP BY k
-    """,
+    """
 )
+
+
+@query("reconcile", _BY_KEY_SQL)
 def order_states(t: Tables) -> DataFrame:
     a, b = _two_states(t)
     return reconcile(a, b, ["o_orderkey"])
 
 
-@query(
-    "reconcile_rows",
+@query("reconcile_digests", _BY_KEY_SQL)
+def order_digests(t: Tables) -> DataFrame:
+    """The same with rows shuffled only where digests differ."""
+    a, b = _two_states(t)
+    return reconcile_digests(a, b, ["o_orderkey"])
+
+
+_ROWS_SQL = (
     _STATES_SQL.format(cols="o_custkey, o_orderpriority")
     + """
     SELECT 'only_left' AS status, (SELECT count(*) FROM (FROM a EXCEPT ALL FROM b)) AS keys
     UNION ALL SELECT 'only_right', (SELECT count(*) FROM (FROM b EXCEPT ALL FROM a))
     UNION ALL SELECT 'same', (SELECT count(*) FROM (FROM a INTERSECT ALL FROM b))
-    """,
+    """
 )
+
+
+@query("reconcile_rows", _ROWS_SQL)
 def order_rows(t: Tables) -> DataFrame:
     """Without a key: whole rows with their multiplicity."""
     a, b = _two_states(t)
     return reconcile(a.drop("o_orderkey"), b.drop("o_orderkey"), [])
+
+
+@query("reconcile_rows_digests", _ROWS_SQL)
+def order_row_digests(t: Tables) -> DataFrame:
+    a, b = _two_states(t)
+    return reconcile_digests(a.drop("o_orderkey"), b.drop("o_orderkey"), [])

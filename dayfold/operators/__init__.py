@@ -45,6 +45,7 @@ from dayfold.operators.quality import (
     Unique,
     profile_columns,
     reconcile,
+    reconcile_digests,
     rule_audit,
     volume_drift,
 )
@@ -98,6 +99,7 @@ __all__ = [
     "profile_columns",
     "quantile_summary",
     "reconcile",
+    "reconcile_digests",
     "repeat_rate",
     "retention_matrix",
     "rfm_segments",

@@ -10,9 +10,10 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from dayfold.functions.columns import day_of, money, period_index, period_start
-from dayfold.functions.hot import DEFAULT, HotGroups, HotSplit, find_hot, in_one_cell
+from dayfold.functions.hot import DEFAULT, HotSplit, find_hot, in_one_cell
 from dayfold.operators.sequence import next_in_cells
 from dayfold.operators.summaries import quantile_summary
+from dayfold.session import written
 
 
 def shift_period(start: Column, period: str, by: int) -> Column:
@@ -117,34 +118,37 @@ def funnel(
     A run starts at the id's first event of step one; each further step is the
     earliest strictly later event of its kind, at most ``within`` after the start.
 
-    The events of an id with very many are spread over as many lanes as they fill cells, to
-    each of which the id's one row of progress is copied. Copies of one event share a lane.
+    Ids with very many events keep one row of progress each, at most one per ``split.min_rows`` events, which goes to the
+    events where they are; these are reduced there and never gathered by id. All others are joined by id.
     """
     used = events.where(F.col(kind).isin(list(steps)) & F.col(id_col).isNotNull()).select(id_col, ts, kind)
-    groups = HotGroups(used, [id_col], split)
+    hot = find_hot(used, [id_col], split)
+    reached = [f"__at{i}" for i in range(len(steps))]
 
-    def of(step: str) -> DataFrame:
-        return used.where(F.col(kind) == step).select(id_col, F.col(ts).alias("__ts"))
+    def of(part: DataFrame, step: str) -> DataFrame:
+        return part.where(F.col(kind) == step).select(F.col(id_col).alias("__id"), F.col(ts).alias("__ts"))
 
-    state = of(steps[0]).groupBy(id_col).agg(F.min("__ts").alias("__at0"))
+    def first(part: DataFrame) -> DataFrame:
+        return of(part, steps[0]).groupBy(F.col("__id").alias(id_col)).agg(F.min("__ts").alias("__at0"))
+
+    def later(i: int) -> Column:
+        within_time = F.col("__ts") <= F.col("__at0") + F.lit(within)
+        return (F.col(id_col) == F.col("__id")) & (F.col("__ts") > F.col(f"__at{i - 1}")) & within_time
+
+    calm = used if hot is None else hot.rest(used)
+    state = first(calm)
     for i, step in enumerate(steps[1:], start=1):
-        done = [f"__at{n}" for n in range(i)]
-        lane = F.pmod(F.xxhash64("__ts"), F.col("__lanes").cast("bigint")).cast("int")
-        candidates = groups.lanes(of(step), "__lanes").select(
-            F.col(id_col).alias("__id"), "__ts", F.coalesce(lane, F.lit(0)).alias("__event_lane")
-        )
-        copies = F.when(F.col("__lanes").isNotNull(), F.sequence(F.lit(0), F.col("__lanes") - 1)).otherwise(
-            F.array(F.lit(0))
-        )
-        spread = groups.lanes(state, "__lanes").select(id_col, *done, F.explode(copies).alias("__lane"))
-        later = (F.col("__ts") > F.col(done[-1])) & (F.col("__ts") <= F.col("__at0") + F.lit(within))
-        same = (F.col(id_col) == F.col("__id")) & (F.col("__lane") == F.col("__event_lane"))
-        state = (
-            spread.join(candidates, same & later, "left")
-            .groupBy(id_col)
-            .agg(*[F.min(c).alias(c) for c in done], F.min("__ts").alias(f"__at{i}"))
-        )
-    counts = state.agg(*[F.count(f"__at{i}").alias(f"__at{i}") for i in range(len(steps))])
+        joined = state.join(of(calm, step), later(i), "left").groupBy(id_col)
+        state = joined.agg(*[F.min(c).alias(c) for c in reached[:i]], F.min("__ts").alias(f"__at{i}"))
+    counts = state.agg(*[F.count(c).alias(c) for c in reached])
+    if hot is not None:
+        busy = hot.only(used)
+        state = written(first(busy), "funnel-progress")
+        for i, step in enumerate(steps[1:], start=1):
+            found = of(busy, step).join(F.broadcast(state), later(i)).groupBy("__id").agg(F.min("__ts").alias(f"__at{i}"))
+            state = written(state.join(found, F.col(id_col) == F.col("__id"), "left").drop("__id"), "funnel-progress")
+        both = counts.unionByName(state.agg(*[F.count(c).alias(c) for c in reached]))
+        counts = both.agg(*[F.sum(c).alias(c) for c in reached])
     rows = F.array(
         *[
             F.struct(F.lit(i + 1).alias("step"), F.lit(s).alias("kind"), F.col(f"__at{i}").alias("ids"))

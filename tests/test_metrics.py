@@ -84,6 +84,21 @@ def test_funnel(spark, split):
     assert out == [(1, "a", 3), (2, "b", 2), (3, "c", 1)]
 
 
+def test_funnel_with_piles_at_one_instant(spark):
+    """An id with thousands of copies of each event, and many ids with few; no join gathers the pile."""
+    few = spark.range(300).selectExpr("id % 60 + 2 AS id", "timestamp_ntz'2024-01-01' + make_dt_interval(0, CAST(id * 7 % 30 AS int)) AS ts", "CASE id % 3 WHEN 0 THEN 'a' WHEN 1 THEN 'b' ELSE 'c' END AS kind")
+    pile = spark.range(6000).selectExpr("1L AS id", "timestamp_ntz'2024-01-01' + make_dt_interval(0, CAST(id % 3 AS int)) AS ts", "CASE id % 3 WHEN 0 THEN 'a' WHEN 1 THEN 'b' ELSE 'c' END AS kind")
+    df = few.unionByName(pile)
+    found = [
+        rows(funnel(df, "id", "ts", "kind", ["a", "b", "c"], timedelta(hours=24), HotSplit(min_rows=n)))
+        for n in (1, 100, 10**6)
+    ]
+    assert found[0] == found[1] == found[2] and found[0][0][2] > 20 and found[0][2][2] >= 1
+    assert rows(funnel(pile, "id", "ts", "kind", ["a", "b", "c"], timedelta(hours=24), HotSplit(min_rows=10))) == [
+        (1, "a", 1), (2, "b", 1), (3, "c", 1),
+    ]
+
+
 @pytest.mark.parametrize("ties", ["row", "rank", "dense_rank"])
 def test_topk(spark, ties):
     rnd = random.Random(3)

@@ -28,7 +28,9 @@ ONE_ROW = {
     "funnel_split",
     "profile_columns",
     "reconcile",
+    "reconcile_digests",
     "reconcile_rows",
+    "reconcile_rows_digests",
     "rule_audit",
 }
 

@@ -1,6 +1,7 @@
 from datetime import date, timedelta
 
 import pytest
+from pyspark.sql import functions as F
 
 from dayfold.operators.quality import (
     InRange,
@@ -10,9 +11,11 @@ from dayfold.operators.quality import (
     Unique,
     profile_columns,
     reconcile,
+    reconcile_digests,
     rule_audit,
     volume_drift,
 )
+from dayfold.session import work_folder
 
 
 def status(df):
@@ -75,3 +78,35 @@ def test_reconcile_rows_with_multiplicity(spark):
     b = spark.createDataFrame([(1,), (None,), (None,), (3,)], "k int")
     assert status(reconcile(a, b, [])) == {"only_left": 3, "only_right": 2, "same": 2}
     assert status(reconcile(a.limit(0), b.limit(0), [])) == {"only_left": 0, "only_right": 0, "same": 0}
+
+
+@pytest.mark.parametrize("changed", [0, 1, 40, 3000])
+def test_digests_find_what_differs(spark, changed):
+    a = spark.range(3000).selectExpr("IF(id = 5, NULL, id) AS k", "id % 7 AS x", "IF(id % 3 = 0, NULL, 't') AS y")
+    new = a.where(f"x IS NOT NULL AND coalesce(k, 5) < {changed}")
+    b = a.where(f"coalesce(k, 5) >= {changed}").unionByName(new.selectExpr("k + (k % 2) * 5000 AS k", "x + 1 AS x", "y"))
+    b = b.repartition(5).withColumn("x", F.col("x").cast("int"))
+    for keys in (["k"], []):
+        expected = sorted(map(tuple, reconcile(a, b, keys).collect()))
+        for sizes in ((4096, 1024), (16, 4), (1, 1)):
+            assert sorted(map(tuple, reconcile_digests(a, b, keys, *sizes).collect())) == expected
+    twice = a.unionByName(a)
+    assert dict(map(tuple, reconcile_digests(twice, a, []).collect())) == {"same": 3000, "only_left": 3000, "only_right": 0}
+    empty = a.where("false")
+    assert dict(map(tuple, reconcile_digests(empty, empty, ["k"]).collect()))["same"] == 0
+
+
+def test_equal_tables_shuffle_digests_alone(spark):
+    a = spark.range(200_000).selectExpr("id AS k", "id % 7 AS x")
+    path = work_folder(spark, "equal")
+    a.write.parquet(path)
+    df = reconcile_digests(a, spark.read.parquet(path), ["k"], buckets=64)
+    store, gateway = spark.sparkContext._jsc.sc().statusStore(), spark.sparkContext._gateway
+
+    def stages():
+        found = store.stageList(None, False, False, gateway.new_array(gateway.jvm.double, 0), gateway.jvm.java.util.ArrayList())
+        return {found.apply(n).stageId(): found.apply(n).shuffleWriteRecords() for n in range(found.size())}
+
+    before = stages()
+    assert dict(map(tuple, df.collect()))["same"] == 200_000
+    assert 0 < sum(n for stage, n in stages().items() if stage not in before) < 5000
