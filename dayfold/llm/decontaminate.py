@@ -183,13 +183,15 @@ def without_contamination(
 ) -> DataFrame:
     """The rows of ``docs``, with their columns, that have no word in a passage of the benchmark.
 
-    As :func:`find_contamination`, with the same rules for NULL, empty and repeated rows.
+    As :func:`find_contamination`, with the same rules for NULL, empty and repeated rows; a NULL text stays NULL.
     """
     scratch = Scratch(docs.sparkSession, "contamination")
     names = (id_col, text_col, item_col, item_text_col)
     others = [c for c in docs.columns if c not in (id_col, text_col)]
-    checked, _ = _checked(docs, benchmark, size, lists, names, others, scratch)
-    kept = {id_col: F.col("id"), text_col: F.col("text")} | {c: F.col(f"c{n}") for n, c in enumerate(others)}
+    marked = docs.withColumn("__no_text", F.col(text_col).isNull())
+    checked, _ = _checked(marked, benchmark, size, lists, names, [*others, "__no_text"], scratch)
+    text = F.when(~F.col(f"c{len(others)}"), F.col("text"))
+    kept = {id_col: F.col("id"), text_col: text} | {c: F.col(f"c{n}") for n, c in enumerate(others)}
     return checked.where("n_hit = 0").select([kept[c].alias(c) for c in docs.columns])
 
 

@@ -53,23 +53,33 @@ def fit_text_model(
     declared_col: str,
     id_col: str = "doc_id",
     text_col: str = "text",
-    rows_per_language: int = 1000,
+    rows_per_language: int = 1500,
     least_rows: int = 10,
+    most_languages: int = 1000,
 ) -> TextModel:
     """Trigram shares of the declared languages.
 
     Fitted on whole texts of at most ``rows_per_language`` rows of each declared language, those
-    with the smallest hashes of their ids. A declared value with fewer than ``least_rows``
-    texts is no language. Up to Spark's group-limit threshold (1000), map tasks pass on no more
-    than these rows of a language, however many declare it. The counts are summed by Spark; what reaches the driver is at most
-    ``BUCKETS`` numbers per language.
+    with the smallest hashes of their ids. Declared values are counted first: one with fewer than ``least_rows``
+    rows is no language, and of more than ``most_languages`` (a table of ``BUCKETS`` numbers each) the most frequent are. Rows whose
+    hash is too large for the sample are left out where they are read, so that of a language with any number of rows
+    about twice the sample is shuffled. The counts of trigrams are summed by Spark; what reaches the driver is at most
+    ``BUCKETS`` numbers per language. Rows with a NULL id or an empty declared value tell nothing here; an empty table
+    gives a model without languages.
     """
-    spread = Window.partitionBy("language").orderBy(F.xxhash64("id"), "id")
     named = docs.select(F.col(id_col).alias("id"), F.lower(F.trim(declared_col)).alias("language")).where(
         (F.col("language") != "") & F.col("id").isNotNull()
     )
-    chosen = named.withColumn("n", F.row_number().over(spread)).where(F.col("n") <= rows_per_language)
-    chosen = Scratch(docs.sparkSession, "language-sample").write(chosen.select("id", "language").distinct())
+    scratch = Scratch(docs.sparkSession, "language-sample")
+    sizes = named.groupBy("language").agg(F.count(F.lit(1)).alias("size")).where(F.col("size") >= least_rows)
+    # At most most_languages rows.
+    sizes = F.broadcast(scratch.write(sizes.orderBy(F.desc("size"), "language").limit(most_languages)))
+    # A number from 0 to 1 that is spread evenly over ids.
+    at = F.shiftrightunsigned(F.xxhash64("id"), 11).cast("double") / F.lit(float(1 << 53))
+    near = named.join(sizes, "language").where(at * F.col("size") <= 2 * rows_per_language)
+    by_hash = Window.partitionBy("language").orderBy(at, "id")
+    chosen = near.withColumn("n", F.row_number().over(by_hash)).where(F.col("n") <= rows_per_language)
+    chosen = scratch.write(chosen.select("id", "language").distinct())
     texts = docs.select(F.col(id_col).alias("id"), known_text(text_col).alias("text")).join(F.broadcast(chosen), "id")
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -94,7 +104,7 @@ def fit_text_model(
     names, buckets = np.array(found["language"].to_pylist(), dtype=object), found["bucket"].to_numpy()
     numbers = found["n"].to_numpy()
     rows = {name: n for name, b, n in zip(names, buckets, numbers) if b < 0}
-    languages = sorted(name for name, n in rows.items() if n >= least_rows)
+    languages = sorted(rows)
     table = np.zeros((BUCKETS, len(languages)))
     for at, language in enumerate(languages):
         own = (names == language) & (buckets >= 0)

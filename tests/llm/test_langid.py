@@ -74,3 +74,16 @@ def test_odd_rows(spark, odd, odd_rows, none):
     # No declared value has enough texts to be a language.
     assert {r.language for r in identify_languages(odd).collect()} == {"und"}
     assert identify_languages(none, model=model).collect() == identify_languages(none).collect() == []
+
+
+def test_many_declared_values_stay_on_the_executors(spark):
+    """Values that few rows declare are counted and left; of the others a bounded sample is read."""
+    rare = spark.range(100_000).selectExpr("id AS doc_id", "concat('x', id) AS lang", "'abc def' AS text")
+    common = spark.range(40_000).selectExpr("id + 200000 AS doc_id", "IF(id % 2 = 0, 'aa', 'bb') AS lang", "IF(id % 2 = 0, 'aba', 'bcb') AS text")
+    model = fit_text_model(rare.unionByName(common), "lang")
+    assert model.languages == ["aa", "bb"]
+    names = [f"l{n:02}" for n in range(12)]
+    few = spark.range(1200).selectExpr("id AS doc_id", "concat('l', lpad(id % 12, 2, '0')) AS lang", "'abc' AS text")
+    assert fit_text_model(few, "lang").languages == names
+    assert fit_text_model(few.unionByName(few), "lang", most_languages=5).languages == names[:5]
+    assert fit_text_model(few.where("false"), "lang").languages == []
