@@ -10,13 +10,17 @@ from dayfold.catalog.facts import CUSTOMER_SQL, NET_SQL, net_sales
 from dayfold.catalog.registry import Tables, query
 from dayfold.functions.columns import day_of
 from dayfold.operators.summaries import (
+    active_bitmaps,
     active_ids,
     daily_summary,
     distinct_sketch,
     grouping_summary,
+    merge_bitmaps,
+    merge_quantiles,
     merge_sketch,
     period_to_date,
     pivot_summary,
+    quantile_sketch,
     quantile_summary,
     to_date_merge,
     trailing_summary,
@@ -124,9 +128,7 @@ def grouping_sets(t: Tables) -> DataFrame:
     return _grouping(t, "sets", [["o_orderstatus"], ["o_orderpriority"], []])
 
 
-@query(
-    "active_ids",
-    """
+_ACTIVE_SQL = """
     WITH a AS (SELECT DISTINCT user_id, CAST(ts AS DATE) AS dt FROM events),
     days AS (SELECT CAST(unnest(generate_series((SELECT min(dt) FROM a), (SELECT max(dt) FROM a), INTERVAL 1 DAY))
                          AS DATE) AS day),
@@ -134,14 +136,24 @@ def grouping_sets(t: Tables) -> DataFrame:
     SELECT CAST(span AS BIGINT) AS span_days, CAST(day AS VARCHAR) AS dt, count(DISTINCT user_id) AS active_ids
     FROM days CROSS JOIN n LEFT JOIN a ON dt <= day AND dt > day - span
     GROUP BY span, day
-    """,
-)
+"""
+
+
+@query("active_ids", _ACTIVE_SQL)
 def active_users(t: Tables) -> DataFrame:
     first = t.events.agg(day_of(F.min("ts"))).scalar()
     last = t.events.agg(day_of(F.max("ts"))).scalar()
     return active_ids(t.events, "user_id", "ts", first, last)
 
 
+@query("active_bitmaps", _ACTIVE_SQL)
+def active_users_from_bitmaps(t: Tables) -> DataFrame:
+    """The same from one stored bitmap per day and 32,768 users."""
+    first = t.events.agg(day_of(F.min("ts"))).scalar()
+    last = t.events.agg(day_of(F.max("ts"))).scalar()
+    return merge_bitmaps(active_bitmaps(t.events, "user_id", "ts"), first, last)
+
+
 @query(
     "active_customers",
     """
@@ -231,6 +243,31 @@ def approx_quantiles(t: Tables) -> DataFrame:
     return both.select("l_returnflag", "n", *within)
 
 
+@query(
+    "quantile_sketch",
+    """
+    SELECT l_returnflag, year(l_shipdate)::BIGINT AS year, count(l_extendedprice) AS n, TRUE AS p25, TRUE AS p50, TRUE AS p99
+    FROM lineitem GROUP BY 1, 2
+    """,
+)
+def yearly_quantiles(t: Tables) -> DataFrame:
+    """Whether the rank of each quantile per year, merged from daily sketches, is within 2 % of the rows."""
+    group = ["l_returnflag", "year"]
+    daily = quantile_sketch(t.lineitem, "l_extendedprice", "l_shipdate", ["l_returnflag"])
+    merged = merge_quantiles(daily, ["l_returnflag", F.year("dt").cast("bigint").alias("year")], QUARTILES)
+    price, n = F.col("l_extendedprice"), F.col("n")
+    lines = t.lineitem.withColumn("year", F.year("l_shipdate").cast("bigint"))
+    both = lines.join(merged, group).groupBy(*group, "n").agg(
+        *[F.count_if(price < F.col(c)).alias(f"{c}_below") for c in QUARTILES],
+        *[F.count_if(price <= F.col(c)).alias(f"{c}_upto") for c in QUARTILES],
+    )
+    within = [
+        ((F.col(f"{c}_below") <= (q + 0.02) * n + 1) & (F.col(f"{c}_upto") >= (q - 0.02) * n - 1)).alias(c)
+        for c, q in QUARTILES.items()
+    ]
+    return both.select(*group, "n", *within)
+
+
 _PIVOT_SQL = """
     SELECT o_orderpriority, CAST(sum(CASE WHEN o_orderstatus = 'F' THEN p END) AS DOUBLE) AS "F",
            CAST(sum(CASE WHEN o_orderstatus = 'O' THEN p END) AS DOUBLE) AS "O",

@@ -52,13 +52,17 @@ from dayfold.operators.quality import (
 from dayfold.operators.sequence import asof_join, next_event, sessionize
 from dayfold.operators.stored import scd2_apply_stored, stored_history, upsert_stored
 from dayfold.operators.summaries import (
+    active_bitmaps,
     active_ids,
     daily_summary,
     distinct_sketch,
     grouping_summary,
+    merge_bitmaps,
+    merge_quantiles,
     merge_sketch,
     period_to_date,
     pivot_summary,
+    quantile_sketch,
     quantile_summary,
     to_date_merge,
     trailing_summary,
@@ -73,6 +77,7 @@ __all__ = [
     "References",
     "Unique",
     "accumulating_snapshot",
+    "active_bitmaps",
     "active_ids",
     "allocate_header_amount",
     "asof_join",
@@ -87,6 +92,8 @@ __all__ = [
     "latest_by_key",
     "lifecycle",
     "mask_columns",
+    "merge_bitmaps",
+    "merge_quantiles",
     "merge_sketch",
     "new_ids",
     "next_event",
@@ -97,6 +104,7 @@ __all__ = [
     "periodic_snapshot",
     "pivot_summary",
     "profile_columns",
+    "quantile_sketch",
     "quantile_summary",
     "reconcile",
     "reconcile_digests",

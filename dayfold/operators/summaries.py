@@ -8,6 +8,7 @@ from typing import Any
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from dayfold.functions.columns import all_null_safe_equal, day_of, period_start
 from dayfold.functions.hot import (
@@ -210,6 +211,74 @@ def merge_sketch(sketches: DataFrame, by: Sequence[str | Column]) -> DataFrame:
     return merged.withColumn("approx_ids", F.hll_sketch_estimate("sketch"))
 
 
+def active_bitmaps(events: DataFrame, id_col: str, ts: str) -> DataFrame:
+    """The ids of each day as bitmaps (``dt``, ``bucket``, ``bitmap``), 32,768 ids of a whole-number column in each.
+
+    Stored by day, they answer for any span of days without the events. A bitmap takes 4 KB however few
+    ids are in it, so ids should be numbered densely. Rows without an id or a time are left out.
+    """
+    if not isinstance(events.schema[id_col].dataType, T.IntegralType):
+        raise TypeError(f"bitmaps need whole numbers, not {events.schema[id_col].dataType.simpleString()}")
+    number = F.col(id_col).cast("bigint")
+    known = events.where(F.col(id_col).isNotNull() & F.col(ts).isNotNull())
+    return known.groupBy(day_of(ts).alias("dt"), F.bitmap_bucket_number(number).alias("bucket")).agg(
+        F.bitmap_construct_agg(F.bitmap_bit_position(number)).alias("bitmap")
+    )
+
+
+def merge_bitmaps(bitmaps: DataFrame, start: Any, end: Any, spans: Sequence[int] = (1, 7, 30)) -> DataFrame:
+    """As :func:`active_ids`, from stored bitmaps.
+
+    A day's bitmaps are copied to the days they count for and combined in map tasks: what is read and copied are
+    bitmaps of the days in question, not events or ids.
+    """
+    first, last = F.lit(start).cast("date"), F.lit(end).cast("date")
+
+    def days_for(n: int) -> Column:
+        on = lambda later: F.struct(F.lit(n).alias("span_days"), F.date_add("__on", later).alias("dt"))
+        return F.transform(F.sequence(F.lit(0), F.lit(n - 1)), on)
+
+    wanted = bitmaps.where((F.col("dt") > F.date_sub(first, max(spans))) & (F.col("dt") <= last))
+    copies = (
+        wanted.withColumnRenamed("dt", "__on")
+        .select("bucket", "bitmap", F.explode(F.concat(*map(days_for, spans))).alias("__for"))
+        .select("bucket", "bitmap", "__for.*")
+        .where((F.col("dt") >= first) & (F.col("dt") <= last))
+    )
+    merged = copies.groupBy("span_days", "dt", "bucket").agg(F.bitmap_count(F.bitmap_or_agg("bitmap")).alias("n"))
+    # Days without any id still have a row.
+    days = bitmaps.sparkSession.range(1).select(
+        F.explode(F.array(*[F.lit(n) for n in spans])).alias("span_days"),
+        F.explode(F.sequence(first, last)).alias("dt"),
+        F.lit(0).cast("bigint").alias("n"),
+    )
+    both = merged.select("span_days", "dt", "n").unionByName(days)
+    return both.groupBy("span_days", "dt").agg(F.sum("n").alias("active_ids"))
+
+
+def quantile_sketch(
+    events: DataFrame, col: str, ts: str, dims: Sequence[str] = (), k: int = 800
+) -> DataFrame:
+    """One KLL sketch of ``col`` per dims and day, to be merged to any span.
+
+    A quantile's rank is off by about 2.3 / k of the rows at most, 99 times in a hundred (0.3 % for 800). NULLs and
+    NaN are left out; a group with nothing else has no row.
+    """
+    value = F.col(col).cast("double")
+    known = events.where(value.isNotNull() & ~F.isnan(value) & F.col(ts).isNotNull())
+    return known.groupBy(*dims, day_of(ts).alias("dt")).agg(F.kll_sketch_agg_double(value, k).alias("sketch"))
+
+
+def merge_quantiles(
+    sketches: DataFrame, by: Sequence[str | Column], quantiles: Mapping[str, float]
+) -> DataFrame:
+    """Merge daily sketches to any span, without the events: the number of values ``n`` and a column per quantile."""
+    merged = sketches.groupBy(*by).agg(F.kll_merge_agg_double("sketch").alias("__sketch"))
+    found = [F.kll_sketch_get_quantile_double("__sketch", F.lit(float(q))).alias(name) for name, q in quantiles.items()]
+    names = [c for c in merged.columns if c != "__sketch"]
+    return merged.select(*names, F.kll_sketch_get_n_double("__sketch").alias("n"), *found)
+
+
 def quantile_summary(
     df: DataFrame,
     dims: Sequence[str],

@@ -157,3 +157,42 @@ def test_pivot_and_back(spark):
     assert rows(wide) == sorted([("r1", 3, 5), ("r2", None, None), ("r3", None, None), (None, 3, None)], key=str)
     back = unpivot_summary(wide, ["r"], ["a", "b"], "c", "v")
     assert rows(back) == sorted([("r1", "a", 3), ("r1", "b", 5), (None, "a", 3)], key=str)
+
+
+def test_bitmaps_give_the_active_ids(spark):
+    from dayfold.operators import active_bitmaps, active_ids, merge_bitmaps
+
+    events = spark.range(4000).selectExpr(
+        "CASE WHEN id % 97 = 0 THEN NULL WHEN id % 5 = 0 THEN -id * 99991 ELSE id % 300 * 40000 END AS user",
+        "timestamp_ntz'2024-02-20' + make_dt_interval(CAST(id * id % 23 AS int), CAST(id % 24 AS int)) AS ts",
+    ).where("to_date(ts) NOT IN ('2024-02-26', '2024-02-27')")
+    days = date(2024, 2, 18), date(2024, 3, 20)
+    stored = active_bitmaps(events, "user", "ts")
+    assert stored.columns == ["dt", "bucket", "bitmap"]
+    found = rows(merge_bitmaps(stored, *days, (1, 3, 30)).select("span_days", "dt", "active_ids"))
+    assert found == rows(active_ids(events, "user", "ts", *days, (1, 3, 30)).select("span_days", "dt", "active_ids"))
+    assert len(found) == 3 * 32 and max(r[2] for r in found) > 500
+    none = merge_bitmaps(active_bitmaps(events.where("false"), "user", "ts"), *days, (2,))
+    assert {r.active_ids for r in none.collect()} == {0}
+    with pytest.raises(TypeError, match="whole numbers"):
+        active_bitmaps(events.withColumn("user", F.lit("x")), "user", "ts")
+
+
+def test_merged_quantile_sketches_are_within_their_bound(spark):
+    from dayfold.operators import merge_quantiles, quantile_sketch
+
+    df = spark.range(60_000).selectExpr(
+        "id % 2 AS g",
+        "CASE WHEN id % 50 = 0 THEN NULL WHEN id % 51 = 0 THEN double('NaN') ELSE pow(id * 7919 % 60000, 2) END AS x",
+        "timestamp_ntz'2024-01-01' + make_dt_interval(CAST(id % 40 AS int)) AS ts",
+    )
+    wanted = {"low": 0.0, "p10": 0.1, "p50": 0.5, "p99": 0.99, "high": 1.0}
+    daily = quantile_sketch(df, "x", "ts", ["g"])
+    assert daily.count() == 40
+    for r in merge_quantiles(daily, ["g"], wanted).collect():
+        values = sorted(v.x for v in df.where(f"g = {r.g} AND x IS NOT NULL AND NOT isnan(x)").collect())
+        assert r.n == len(values)
+        for name, q in wanted.items():
+            rank = sum(v <= r[name] for v in values) / len(values)
+            assert abs(rank - q) < 0.02, (name, rank)
+    assert merge_quantiles(daily.where("false"), ["g"], wanted).collect() == []
