@@ -171,8 +171,8 @@ def topk_per_group(
     """The ``k`` highest per group, with ``row``, ``rank`` or ``dense_rank`` ties.
 
     For ``row`` each map task keeps at most ``k`` rows per group before the
-    shuffle. Spark does that on its own up to its group-limit threshold; for a
-    larger ``k`` a first cut is made in ``lanes`` parts per group. The other two
+    shuffle. Spark does that on its own up to its group-limit threshold (100,000 after
+    :func:`~dayfold.session.configure`); for a larger ``k`` a first cut is made in ``lanes`` parts per group. The other two
     may keep any number of tied rows, so places are found from the distinct
     metric values, cut likewise, and joined back.
     """
