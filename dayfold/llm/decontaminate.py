@@ -49,21 +49,32 @@ class Index:
         start = F.col("position") - F.col("offset")
         return moved.select("id", "phrase", start.alias("start")).where("start >= 0")
 
-    def meeting(self, starts: DataFrame, others: DataFrame, slop: int = 0) -> DataFrame:
+    def meeting(self, starts: DataFrame, others: DataFrame) -> DataFrame:
         """The ``starts`` at which every term of ``others`` (phrase, term, offset) is in its place.
 
-        With ``slop`` a term may be so many words off. The candidates look their terms up, so
-        a frequent term's list is met by the few candidates and not multiplied by phrases.
+        The candidates look their terms up, so a frequent term's list is met by the few candidates
+        and not multiplied by phrases.
         """
         wanted = starts.join(others, "phrase").withColumn("position", F.col("start") + F.col("offset"))
-        if slop:
-            wanted = wanted.withColumn("position", F.explode(F.sequence(F.col("position") - slop, F.col("position") + slop)))
         found = wanted.join(self.postings, ["id", "term", "position"], "left_semi")
         met = found.groupBy("id", "phrase", "start").agg(F.count_distinct("offset").alias("met"))
         needed = others.groupBy("phrase").agg(F.count(F.lit(1)).alias("needed"))
         checked = starts.join(needed, "phrase", "left").join(met, ["id", "phrase", "start"], "left")
         return checked.where(F.coalesce("met", F.lit(0)) >= F.coalesce("needed", F.lit(0))).select(*starts.columns)
 
+    def near(self, listed: DataFrame, slop: int) -> DataFrame:
+        """Starts (id, phrase, start) where ``needed`` of the lists of ``listed`` are at most ``slop`` words off.
+
+        ``listed`` has (phrase, term, offset, rank, needed). A posting stands for the starts around it; those of
+        one start are merged in map tasks, as bits of the ranks that are met.
+        """
+        moved = self.postings.join(listed, "term")
+        start = F.col("position") - F.col("offset")
+        around = moved.select("id", "phrase", "rank", "needed", F.explode(F.sequence(start - slop, start + slop)).alias("start"))
+        bit = F.expr("shiftleft(1L, rank - 1)")
+        met = around.groupBy("id", "phrase", "start").agg(F.bit_or(bit).alias("met"), F.max("needed").alias("needed"))
+        return met.where(F.bit_count("met") >= F.col("needed")).select("id", "phrase", "start")
+
 
 def term_counts(words: DataFrame, terms: DataFrame) -> DataFrame:
     """How often each of ``terms`` (term) occurs in ``words``; map tasks count first."""
@@ -100,10 +111,9 @@ class Phrases:
         ranked = placed.join(counts, "term").withColumns(
             {"rank": F.row_number().over(by_count), "least": F.min("n").over(Window.partitionBy("phrase"))}
         )
+        self.ranked = scratch.write(ranked.select("phrase", "term", "offset", "rank", "least"))
         # A phrase with a term that no text has occurs nowhere.
-        self.rarest = scratch.write(
-            ranked.where((F.col("least") > 0) & (F.col("rank") <= lists)).select("phrase", "term", "offset", "rank")
-        )
+        self.rarest = self.ranked.where((F.col("least") > 0) & (F.col("rank") <= lists)).drop("least")
 
     def terms(self) -> DataFrame:
         return self.rarest.select("term").distinct()
@@ -249,22 +259,88 @@ def find_near_passages(
     docs: DataFrame,
     benchmark: DataFrame,
     size: int = 10,
-    lists: int = 3,
-    slop: int = 3,
+    share: float = 0.8,
+    slop: int = 2,
+    lists: int = 5,
     id_col: str = "doc_id",
     text_col: str = "text",
     item_col: str = "item_id",
     item_text_col: str = "text",
 ) -> DataFrame:
-    """Proximity matches: where the ``lists`` rarest terms of a window stand near their places.
-
-    From the place of the rarest term, each of the others may be up to ``slop`` words off. Returns
-    distinct (id, item, start), with the start the window would have. Rows with a NULL id are left out.
+    """Proximity matches: passages of the benchmark in which words were changed, put in or left out.
+
+    A window (as in :func:`find_contamination`) is near a start if at least ``share`` of its words stand in the text at most
+    ``slop`` words off their places, counted from that start. Each place of the window counts once; the words
+    may be in another order within the slop, and the start may lie before the text, where the first words are missing.
+
+    Terms that no document has are the rarest ones and cannot be met. If a window of n words may lack
+    n - m of them, any ``lists`` of its terms (more if n - m is not smaller) have at least lists - (n - m) that are met. So the postings of
+    the rarest ``lists`` terms alone give the candidates, and no match is lost; all words of a candidate are then looked
+    up in the text. Candidates grow with the postings of terms that are rare in their window.
+
+    Returns one row per different (id, text) of the documents and item with matches: the id, the item, ``window_words``
+    (of one window), ``n_windows`` (its different windows that are near), ``most_met`` (the most words met in one of them) and
+    ``first_start`` (the smallest start of a match in the text, from 0). NULL and empty texts have no words and no matches. Rows and
+    items with a NULL id are matched like others and returned with it; repeated rows and items count once; other columns are
+    ignored; empty tables give no rows. A window has at most 63 words.
     """
-    _, items, words = _prepared(docs, benchmark, id_col, text_col, item_col, item_text_col)
+    if not (1 <= size <= 63 and 0 < share <= 1 and slop >= 0 and lists >= 1):
+        raise ValueError("size must be 1 to 63, share above 0 and at most 1, slop at least 0, lists at least 1")
+    texts, items, _ = _prepared(docs, benchmark, id_col, text_col, item_col, item_text_col)
     scratch = Scratch(docs.sparkSession, "near-passages")
+    texts = texts.withColumn("row", F.xxhash64("id", "text"))
+    words = texts.select(F.col("row").alias("id"), words_column(F.col("text")).alias("words"))
     phrases = Phrases(items, words, size, lists, scratch)
-    index = Index.build(words, phrases.terms(), scratch)
-    starts = scratch.write(index.starts(phrases.rarest.where("rank = 1")))
-    met = index.meeting(starts, phrases.rarest.where("rank > 1"), slop)
-    return met.join(phrases.items, "phrase").select(F.col("id").alias(id_col), F.col("item").alias(item_col), "start").distinct()
+    lengths = phrases.windows.select("phrase", F.size("window").alias("n")).groupBy("phrase").agg(F.max("n").alias("n"))
+    least = F.ceil(F.round(F.col("n") * share, 6)).cast("int")
+    taken = F.least(F.greatest(F.lit(lists), F.col("n") - least + 1), F.col("n"))
+    listed = phrases.ranked.join(lengths.withColumns({"least_met": least, "taken": taken}), "phrase")
+    listed = listed.where("rank <= taken").select(
+        "phrase", "term", "offset", "rank", (F.col("taken") - F.col("n") + F.col("least_met")).alias("needed")
+    )
+    listed = scratch.write(listed)
+    index = Index.build(words, listed.select("term").distinct(), scratch)
+    starts = index.near(listed, slop).groupBy(F.col("id").alias("row"), "phrase").agg(F.collect_list("start").alias("starts"))
+    candidates = scratch.write(
+        starts.join(phrases.windows, "phrase")
+        .groupBy("row")
+        .agg(F.collect_list(F.struct("phrase", "window", "starts")).alias("candidates"))
+    )
+    scratch.drop(index.postings)
+
+    def met_at(window: Column, start: Column) -> Column:
+        """How many words of ``window`` are near their places from ``start`` on."""
+
+        def is_near(term: Column, offset: Column) -> Column:
+            first = F.greatest(start + offset - slop, F.lit(0)).cast("int")
+            length = F.greatest((start + offset + slop + 1).cast("int") - first, F.lit(0))
+            return F.array_contains(F.slice("words", first + 1, length), term)
+
+        return F.size(F.filter(window, is_near))
+
+    def looked_up(c: Column) -> Column:
+        met = F.transform(c["starts"], lambda s: F.struct(met_at(c["window"], s).alias("met"), s.alias("start")))
+        enough = F.filter(met, lambda m: m["met"] >= F.ceil(F.round(F.size(c["window"]) * F.lit(share), 6)))
+        return F.struct(c["phrase"].alias("phrase"), c["window"].alias("window"), enough.alias("met"))
+
+    # The number of words keeps the array a column of its own, made once for all the lookups.
+    found = (
+        texts.join(candidates, "row")
+        .select("id", "row", words_column(F.col("text")).alias("words"), "candidates")
+        .select("id", "row", F.size("words").alias("n_words"), F.transform("candidates", looked_up).alias("found"))
+        .where("n_words > 0")
+        .select("id", "row", F.explode("found").alias("f"))
+        .where(F.size("f.met") > 0)
+        .select("id", "row", "f.phrase", "f.window", F.array_max("f.met.met").alias("met"), F.array_min("f.met.start").alias("start"))
+    )
+    named = scratch.write(found).join(phrases.items, ["phrase", "window"])
+    return (
+        named.groupBy("row", "id", "item")
+        .agg(
+            F.max(F.size("window")).alias("window_words"),
+            F.count_distinct("window").alias("n_windows"),
+            F.max("met").alias("most_met"),
+            F.min("start").cast("bigint").alias("first_start"),
+        )
+        .select(F.col("id").alias(id_col), F.col("item").alias(item_col), "window_words", "n_windows", "most_met", "first_start")
+    )

@@ -64,14 +64,68 @@ def test_empty_tables(tables, none):
     assert all(r.n_hit == 0 for r in find_contamination(docs, bench.where("false")).collect())
 
 
-def test_proximity(spark):
+def brute_near(text, items, size=10, share=0.8, slop=2):
+    """Rows of one text: (item, window words, windows, most words met, first start)."""
+    own, out = words(text), {}
+    places = {}
+    for n, w in enumerate(own):
+        places.setdefault(w, set()).add(n)
+    for item, item_text in items:
+        wanted = words(item_text)
+        length = min(size, len(wanted))
+        for window in {tuple(wanted[n : n + length]) for n in range(len(wanted) - length + 1)} if wanted else ():
+            met = {}
+            for o, w in enumerate(window):
+                for p in places.get(w, ()):
+                    for start in range(p - o - slop, p - o + slop + 1):
+                        met.setdefault(start, set()).add(o)
+            for start, offsets in met.items():
+                if len(offsets) >= share * length - 1e-9:
+                    found = out.setdefault(item, [length, set(), 0, start])
+                    found[1].add(window)
+                    found[2:] = [max(found[2], len(offsets)), min(found[3], start)]
+    return {(item, length, len(windows), most, first) for item, (length, windows, most, first) in out.items()}
+
+
+def near_rows(found):
+    return sorted((tuple(r) for r in found.collect()), key=str)
+
+
+def test_proximity_against_plain_search(tables):
+    """Windows with changed, added and missing words, NULL and repeated rows, frequent words, at the defaults."""
+    docs, bench, rows, items = tables
+    make = random.Random(3)
+    texts = [r for r in rows if len(r[1] or "") < 20_000]
+    for n in range(60):
+        own = prose(60, 2000 + n).split()
+        other = words(items[make.randrange(30)][1])[:25]
+        for _ in range(make.randint(1, 4)):
+            at = make.randrange(len(other))
+            other[at : at + 1] = make.choice([["changed"], [], [other[at], "added"]]) or ["x"]
+        at = make.choice([0, 30, 60])
+        own[at:at] = other
+        texts.append((500 + n, " ".join(own)))
+    kept = docs.sparkSession.createDataFrame([(*r, "x", "y") for r in texts], "doc_id bigint, text string, row string, start string")
+    expected = [(doc_id, *found) for doc_id, text in set(texts) for found in brute_near(text, items)]
+    assert len({e[0] for e in expected if e[0] and e[0] >= 500}) > 20
+    assert near_rows(find_near_passages(kept, bench)) == sorted(expected, key=str)
+    expected = [(doc_id, *found) for doc_id, text in set(texts) for found in brute_near(text, items, 6, 0.7, 0)]
+    assert near_rows(find_near_passages(kept, bench, 6, 0.7, 0, lists=1)) == sorted(expected, key=str)
+
+
+def test_proximity_of_changed_words(spark, none):
+    """Words of the benchmark that no document has do not hide a match."""
     item = prose(10, 1)
     own = item.split()
-    docs = spark.createDataFrame(
-        [(1, item), (2, " ".join([*own[:5], "new", "words", *own[5:]])), (3, " ".join(own[::-1])), (4, prose(30, 9))],
-        "doc_id bigint, text string",
-    )
+    one, two, three = list(own), list(own), list(own)
+    one[4] = two[4] = two[7] = three[0] = three[4] = three[7] = "other"
+    kinds = [own, one, two, three, [*own[:5], "new", "words", *own[5:]], own[::-1]]
+    docs = spark.createDataFrame([(n, " ".join(k)) for n, k in enumerate(kinds)], "doc_id bigint, text string")
     bench = spark.createDataFrame([(7, item)], "item_id bigint, text string")
-    near = {r.doc_id for r in find_near_passages(docs, bench, lists=10, slop=2).collect()}
-    assert near == {1, 2}
-    assert {r.doc_id for r in find_near_passages(docs, bench, lists=10, slop=0).collect()} == {1}
+    near = {r.doc_id: r.most_met for r in find_near_passages(docs, bench).collect()}
+    assert near == {0: 10, 1: 9, 2: 8, 4: 10}
+    # The only document with the item has it with a changed word.
+    assert [r.most_met for r in find_near_passages(docs.where("doc_id = 1"), bench).collect()] == [9]
+    assert find_near_passages(none, bench).collect() == find_near_passages(docs, bench.where("false")).collect() == []
+    with pytest.raises(ValueError):
+        find_near_passages(docs, bench, share=0)
