@@ -261,7 +261,7 @@ def find_near_passages(
     size: int = 10,
     share: float = 0.8,
     slop: int = 2,
-    lists: int = 5,
+    lists: int = 4,
     id_col: str = "doc_id",
     text_col: str = "text",
     item_col: str = "item_id",

@@ -186,7 +186,7 @@ def near_dedup(
     Texts are near duplicates if their sequences of ``size``-word shingles align to a similarity of
     at least ``least`` (see :func:`aligned_similarity`); classes are the connected components.
 
-    1. Texts with the same words form one node, named by its smallest id.
+    1. Texts with the same words form one node, named by the number of its first row (the one with the smallest id), as an id may repeat.
     2. Each node has ``sketches`` order MinHash keys of ``sampled`` shingles. Two texts of similarity s share
        a given key with a chance near s ** sampled, so at 0.8 they miss all 14 once in a million pairs.
     3. A bucket holds the nodes that share a key. Each node is first paired with the smallest and the largest of
@@ -202,7 +202,8 @@ def near_dedup(
     Returns per row the id, ``class_id`` (the smallest id of the class), ``links`` (verified links of its node)
     ``keep`` (true for one row of each class) and the columns of ``carry``, which should be narrow. NULL text counts as empty; texts without words
     are one class. Rows with a NULL id are classes of their own with ``class_id`` NULL, and kept. Of rows that
-    repeat an id and its words one is kept; texts that differ but share an id are each looked at, under that one name.
+    repeat an id and its words one is kept; texts that differ but share an id are nodes of their own, so that two classes may
+    have the same ``class_id``.
     Other columns are ignored; an empty table gives no rows.
     """
     need(docs, [id_col, text_col, *carry])
@@ -217,6 +218,7 @@ def near_dedup(
         F.col(id_col).alias("id"),
         known_text(text_col).alias("text"),
         *[F.col(c).alias(own) for c, own in zip(carry, carried)],
+        F.xxhash64(known_text(text_col)).alias("mark"),
     )
 
     def sketch(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -239,7 +241,7 @@ def near_dedup(
                 pa.array(counts, pa.binary()),
             ]
             yield pa.RecordBatch.from_arrays(
-                [batch.column(0), *made, *batch.columns[2:]], names=["id", "same", "keys", "n", "counts", *carried]
+                [batch.column(0), *made, *batch.columns[2:]], names=["id", "same", "keys", "n", "counts", *carried, "mark"]
             )
 
     schema = T.StructType(
@@ -249,7 +251,7 @@ def near_dedup(
             T.StructField("keys", T.ArrayType(T.LongType())),
             T.StructField("n", T.LongType()),
             T.StructField("counts", T.BinaryType()),
-            *[f for f in given.schema if f.name in carried],
+            *[f for f in given.schema if f.name in (*carried, "mark")],
         ]
     )
     sketched = scratch.write(
@@ -257,12 +259,12 @@ def near_dedup(
     )
     nodes = scratch.write(
         sketched.groupBy("same").agg(
-            F.min("id").alias("node"),
             F.first("keys").alias("keys"),
             F.first("n").alias("n"),
             F.first("counts").alias("counts"),
-            F.min(F.struct("id", "tag")).alias("first"),
+            F.min(F.struct("id", "tag", "mark")).alias("first"),
         )
+        .select("same", F.col("first.tag").alias("node"), "first.id", "first.mark", "keys", "n", "counts")
     )
 
     def following(n: Column, s: int) -> Column:
@@ -280,7 +282,7 @@ def near_dedup(
     ends = members.groupBy("bucket").agg(F.min("node").alias("low"), F.max("node").alias("high"))
     heads = scratch.write(ends.where("low < high"))
     met = members.join(heads, "bucket").select("node", F.explode(F.array("low", "high")).alias("head"))
-    # Either order of a pair is one pair; the smaller id is the head.
+    # Either order of a pair is one pair; the smaller number is the head.
     pairs = met.where("node != head").select(
         F.least("node", "head").alias("head"), F.greatest("node", "head").alias("node")
     )
@@ -289,9 +291,10 @@ def near_dedup(
 
     def verified(pairs: DataFrame) -> DataFrame:
         wanted = pairs.select("node").unionAll(pairs.select(F.col("head").alias("node"))).distinct()
-        wanted = scratch.write(wanted.withColumnRenamed("node", "id"))
-        texts = scratch.write(given.join(wanted, "id", "left_semi").groupBy("id").agg(F.min("text").alias("text")))
-        links = scratch.write(_verified(pairs, texts, id_type, size, least))
+        wanted = scratch.write(wanted.join(nodes, "node").select("node", "id", "mark"))
+        found = given.select("id", "mark", "text").join(wanted, ["id", "mark"])
+        texts = scratch.write(found.groupBy("node").agg(F.min("text").alias("text")))
+        links = scratch.write(_verified(pairs, texts, size, least))
         scratch.drop(texts, wanted)
         return links
 
@@ -299,7 +302,7 @@ def near_dedup(
     classes = scratch.write(components(links, scratch))
     rest, limit = None, FIRST_PAIRS
     while True:
-        open_pairs, rest = _open_pairs(nodes, classes, bucket(1), rest, limit, least, id_type, scratch)
+        open_pairs, rest = _open_pairs(nodes, classes, bucket(1), rest, limit, least, scratch)
         if open_pairs is None:
             break
         more = verified(open_pairs)
@@ -317,20 +320,20 @@ def near_dedup(
     labels = nodes.join(counted.withColumnRenamed("a", "node"), "node", "left")
     labels = labels.join(classes, "node", "left").select(
         "same",
-        F.coalesce("class_id", "node").alias("class_id"),
-        F.coalesce("links", F.lit(0)).cast("bigint").alias("links"),
-        F.col("first.tag").alias("kept_tag"),
         "node",
+        "id",
+        F.coalesce("class_id", "node").alias("class"),
+        F.coalesce("links", F.lit(0)).cast("bigint").alias("links"),
     )
     labels = scratch.write(labels)
-    out = sketched.drop("keys", "n", "counts").join(labels, "same")
-    out = out.select(
-        "id",
-        "class_id",
-        "links",
-        ((F.col("node") == F.col("class_id")) & (F.col("tag") == F.col("kept_tag"))).alias("keep"),
-        *carried,
+    firsts = scratch.write(labels.groupBy("class").agg(F.min(F.struct("id", "node")).alias("first")))
+    labels = scratch.write(
+        labels.join(firsts, "class").select(
+            "same", F.col("first.id").alias("class_id"), "links", F.col("first.node").alias("kept_tag")
+        )
     )
+    out = sketched.drop("keys", "n", "counts").join(labels, "same")
+    out = out.select("id", "class_id", "links", (F.col("tag") == F.col("kept_tag")).alias("keep"), *carried)
     nameless = given.where("id IS NULL").select(
         "id", F.col("id").alias("class_id"), F.lit(0).cast("bigint").alias("links"), F.lit(True).alias("keep"), *carried
     )
@@ -349,7 +352,6 @@ def _open_pairs(
     rest: DataFrame | None,
     limit: int,
     least: float,
-    id_type: T.DataType,
     scratch: Scratch,
 ) -> tuple[DataFrame | None, DataFrame | None]:
     """Pairs (head, node) of different classes in the same bucket, and the buckets (bucket) where ``limit`` left out some.
@@ -420,8 +422,8 @@ def _open_pairs(
 
     schema = T.StructType(
         [
-            T.StructField("head", id_type),
-            T.StructField("node", id_type),
+            T.StructField("head", T.LongType()),
+            T.StructField("node", T.LongType()),
             T.StructField("bucket", T.LongType()),
             T.StructField("more", T.BooleanType()),
         ]
@@ -434,10 +436,10 @@ def _open_pairs(
     return pairs.distinct() if some else None, rest if more else None
 
 
-def _verified(pairs: DataFrame, texts: DataFrame, id_type: T.DataType, size: int, least: float) -> DataFrame:
+def _verified(pairs: DataFrame, texts: DataFrame, size: int, least: float) -> DataFrame:
     """The pairs whose texts are similar, as links (a, b)."""
-    left = pairs.join(texts.withColumnsRenamed({"id": "node", "text": "x"}), "node")
-    both = left.join(texts.withColumnsRenamed({"id": "head", "text": "y"}), "head")
+    left = pairs.join(texts.withColumnRenamed("text", "x"), "node")
+    both = left.join(texts.withColumnsRenamed({"node": "head", "text": "y"}), "head")
 
     def verify(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -445,8 +447,7 @@ def _verified(pairs: DataFrame, texts: DataFrame, id_type: T.DataType, size: int
             good = pa.array([similar(x, y, size, least) for x, y in texts], pa.bool_())
             yield pa.RecordBatch.from_arrays(batch.columns[:2], names=["a", "b"]).filter(good)
 
-    schema = T.StructType([T.StructField("a", id_type), T.StructField("b", id_type)])
-    return both.select("head", "node", "x", "y").mapInArrow(verify, schema)
+    return both.select("head", "node", "x", "y").mapInArrow(verify, "a bigint, b bigint")
 
 
 def components(links: DataFrame, scratch: Scratch) -> DataFrame:
