@@ -1,6 +1,7 @@
 import numpy as np
 import pytest
 
+from dayfold.llm.catalog import QUERIES
 from dayfold.llm.langid import TextModel, fit_text_model, identify_languages, page_evidence
 
 
@@ -54,9 +55,8 @@ def test_posterior_of_short_texts_against_the_formula(spark):
 
 def test_pages(spark):
     """Menus and footers of these pages are often in another language than the article."""
-    pages = page_evidence(spark.read.parquet("/root/testdata/sf0.01/pages.parquet"))
-    got = identify_languages(pages, "page_id", "plain", "declared", "suffix", "host", carry=["declared"]).collect()
-    assert len(got) == 250
+    got = QUERIES["page_languages"](spark, "/root/testdata/sf0.01").collect()
+    assert len(got) == 250 and all(r.host and r.host.endswith(r.suffix or "") for r in got)
     assert sum(r.language == r.declared for r in got) > 0.9 * 250
     odd = [("http://A.Example.DE:80/x", '<HTML dir=ltr LANG="De-ch"><style>x</style><p>y'), (None, None), ("x", "<p lang=en>")]
     found = page_evidence(spark.createDataFrame(odd, "url string, html string")).collect()

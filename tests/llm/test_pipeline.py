@@ -55,4 +55,4 @@ def test_odd_rows_through_all_stages(spark, folder, odd_rows, tmp_path):
 def test_queries_are_registered():
     assert set(QUERIES) | {"pipeline"} <= set(entries.queries())
     assert set(SQL) <= set(entries.oracle_sql())
-    assert len([name for name in QUERIES if name.startswith("op")]) == 10
+    assert len([name for name in QUERIES if name.startswith("op")]) == 13
