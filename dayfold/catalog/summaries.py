@@ -231,7 +231,8 @@ def approx_quantiles(t: Tables) -> DataFrame:
     """Whether the rank of each approximate quantile is within its bound, a ten-thousandth of the rows."""
     approx = quantile_summary(t.lineitem, ["l_returnflag"], "l_extendedprice", QUARTILES, "approx")
     price, n = F.col("l_extendedprice"), F.col("n")
-    both = t.lineitem.join(approx, "l_returnflag").groupBy("l_returnflag").agg(
+    # One row per flag: joined by a shuffle, all lines of a flag would be one task's.
+    both = t.lineitem.join(F.broadcast(approx), "l_returnflag").groupBy("l_returnflag").agg(
         F.count(price).alias("n"),
         *[F.count_if(price < F.col(c)).alias(f"{c}_below") for c in QUARTILES],
         *[F.count_if(price <= F.col(c)).alias(f"{c}_upto") for c in QUARTILES],
@@ -257,7 +258,7 @@ def yearly_quantiles(t: Tables) -> DataFrame:
     merged = merge_quantiles(daily, ["l_returnflag", F.year("dt").cast("bigint").alias("year")], QUARTILES)
     price, n = F.col("l_extendedprice"), F.col("n")
     lines = t.lineitem.withColumn("year", F.year("l_shipdate").cast("bigint"))
-    both = lines.join(merged, group).groupBy(*group, "n").agg(
+    both = lines.join(F.broadcast(merged), group).groupBy(*group, "n").agg(
         *[F.count_if(price < F.col(c)).alias(f"{c}_below") for c in QUARTILES],
         *[F.count_if(price <= F.col(c)).alias(f"{c}_upto") for c in QUARTILES],
     )

@@ -38,6 +38,13 @@ class HotSplit:
     enabled: bool = True
 
 
+# Groups of so many rows are few in any table. Of smaller ones the list is counted, and joined by a shuffle
+# where it is longer than the second figure.
+FEW_FROM = 100_000
+MOST_BROADCAST = 100_000
+# Rows are dealt over at most so many tasks, as the driver gets a sample of the rows for each.
+MOST_PARTS = 1000
+
 DEFAULT = HotSplit()
 NO_SPLIT = HotSplit(enabled=False)
 
@@ -62,7 +69,12 @@ class HotGroups:
         self.split = split
         sizes = df.select(self.group.alias("__group")).groupBy("__group").agg(F.count(F.lit(1)).alias("__n"))
         # At most rows / min_rows pairs of longs.
-        self.hot = F.broadcast(_large(sizes, split))
+        large = _large(sizes, split)
+        self.few = not split.enabled or split.min_rows >= FEW_FROM
+        if not self.few:
+            large = written(large, "hot-groups")
+            self.few = large.limit(MOST_BROADCAST + 1).count() <= MOST_BROADCAST
+        self.hot = F.broadcast(large) if self.few else large
 
     def only(self, df: DataFrame, group: Column | None = None) -> DataFrame:
         """The rows of hot groups; ``group`` is their hash where the keys have other names."""
@@ -73,11 +85,19 @@ class HotGroups:
         marked = df.withColumn("__group", self.group if group is None else group)
         return marked.join(self.hot, "__group", "left_anti").drop("__group")
 
+    def with_totals(self, rows: DataFrame, totals: DataFrame, key: str) -> DataFrame:
+        """``rows``, each with the row of ``totals`` of its key; ``totals`` has one row per hot group."""
+        if self.few:
+            return rows.join(F.broadcast(totals), key)
+        laned = rows.where(F.col(key).isNotNull()).withColumn("__lane", F.lit(0))
+        return laned.join(in_lane_zero(totals, "__lane"), [key, "__lane"]).drop("__lane")
+
     def lanes(self, df: DataFrame, name: str) -> DataFrame:
         """All rows, with the number of lanes their group's rows fill; NULL where it is not hot."""
         lanes = F.ceil(F.col("__n") / F.lit(self.split.rows_per_cell)).cast("int").alias(name)
+        hot = self.hot.select("__group", lanes)
         return df.withColumn("__group", self.group).join(
-            F.broadcast(self.hot.select("__group", lanes)), "__group", "left"
+            F.broadcast(hot) if self.few else hot, "__group", "left"
         ).drop("__group")
 
 
@@ -92,6 +112,7 @@ class HotRanges:
         self.group = group_hash(self.keys)
         # At most rows / min_rows longs.
         self.list = F.broadcast(list_.select("__group"))
+        self.split = split
         self.ranges = -(-rows // split.rows_per_cell) + 1
 
     def only(self, df: DataFrame) -> DataFrame:
@@ -108,11 +129,20 @@ class HotRanges:
         """``df``, stored, with the number of the range each row is in; they rise along ``order`` in each group.
 
         Rows are numbered and stored before they are dealt, so that rows equal in all of ``order`` can be dealt
-        apart and a task that runs again deals them as before.
+        apart and a task that runs again deals them as before. Where there are more ranges than ``MOST_PARTS``, a task
+        gets several: it sorts its rows and begins a range where the last one is full.
         """
         numbered = written(df.withColumn("__row", F.monotonically_increasing_id()), "hot-rows")
-        dealt = numbered.repartitionByRange(self.ranges, *self.keys, *order, "__row").drop("__row")
-        return written(dealt.withColumn(CELL, F.spark_partition_id().cast("bigint")), "hot-ranges")
+        along = [*self.keys, *order, "__row"]
+        if self.ranges <= MOST_PARTS:
+            dealt = numbered.repartitionByRange(self.ranges, *along).withColumn(CELL, F.spark_partition_id().cast("bigint"))
+        else:
+            dealt = numbered.repartitionByRange(MOST_PARTS, *along).sortWithinPartitions(*along)
+            # The task's number and, in the lower 33 bits, the row's place in it.
+            dealt = dealt.withColumn(CELL, F.monotonically_increasing_id())
+            place = F.col(CELL).bitwiseAND(F.lit((1 << 33) - 1))
+            dealt = dealt.withColumn(CELL, F.col(CELL) - place + F.floor(place / F.lit(self.split.rows_per_cell)))
+        return written(dealt.drop("__row"), "hot-ranges")
 
 
 def find_hot(df: DataFrame, keys: Sequence[str], split: HotSplit = DEFAULT) -> HotRanges | None:

@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 from dayfold.functions.columns import day_of, money
 from dayfold.functions.hot import DEFAULT, HotGroups, HotSplit
 from dayfold.operators.dims import Lookup, denormalize_dim
+from dayfold.session import written
 
 
 def transaction_fact(
@@ -55,7 +56,8 @@ def allocate_header_amount(
 
     Lines and headers meet in one shuffle, and windows over the header then
     need no other; they sort a short key. Headers with very many lines would not fit a window; their
-    totals, one row per hot header, are aggregated and broadcast to their lines instead.
+    totals, one row per hot header, are aggregated and broadcast to their lines instead, or joined by a shuffle
+    where so many headers count as hot that the totals would not fit.
     """
     cents = F.coalesce((F.col(weight).cast("decimal(16,2)") * 100).cast("decimal(18,0)"), F.lit(0))
     repeated = F.raise_error(F.concat(F.lit("header key occurs twice: "), F.col(key).cast("string")))
@@ -93,12 +95,15 @@ def allocate_header_amount(
     # Rows that are equal in every column may still tie; their own number settles that.
     last = F.struct(place.alias("place"), F.monotonically_increasing_id().alias("row"))
     hot = groups.only(lines).withColumns({"__cents": cents, "__place": last})
+    if not groups.few:
+        # Behind a shuffle rows would not be numbered alike each time.
+        hot = written(hot, "hot-lines")
     # One row per hot header, of which there are at most rows / split.min_rows.
     totals = hot.groupBy(key).agg(F.sum("__cents").alias("__total"), F.max("__place").alias("__last"))
-    heads = amounts.join(F.broadcast(totals), key)
-    shared = hot.join(F.broadcast(heads), key).withColumn("__share", share)
+    heads = groups.with_totals(amounts, totals, key)
+    shared = groups.with_totals(hot, heads, key).withColumn("__share", share)
     sums = shared.groupBy(key).agg(F.sum("__share").alias("__shares"))
-    busy = shared.join(F.broadcast(sums), key).withColumn("__is_last", F.col("__place") == F.col("__last"))
+    busy = groups.with_totals(shared, sums, key).withColumn("__is_last", F.col("__place") == F.col("__last"))
 
     without = header.join(lines.select(key).distinct(), key, "left_anti")
     orphans = lines.join(header.select(key).where(F.col(key).isNotNull()).distinct(), key, "left_anti")
