@@ -74,7 +74,8 @@ class HotGroups:
         if not self.few:
             large = written(large, "hot-groups")
             self.few = large.limit(MOST_BROADCAST + 1).count() <= MOST_BROADCAST
-        self.hot = F.broadcast(large) if self.few else large
+        # By its compressed size Spark might still broadcast a list that is too long for it.
+        self.hot = F.broadcast(large) if self.few else large.hint("merge")
 
     def only(self, df: DataFrame, group: Column | None = None) -> DataFrame:
         """The rows of hot groups; ``group`` is their hash where the keys have other names."""
@@ -90,7 +91,7 @@ class HotGroups:
         if self.few:
             return rows.join(F.broadcast(totals), key)
         laned = rows.where(F.col(key).isNotNull()).withColumn("__lane", F.lit(0))
-        return laned.join(in_lane_zero(totals, "__lane"), [key, "__lane"]).drop("__lane")
+        return laned.join(in_lane_zero(totals, "__lane").hint("merge"), [key, "__lane"]).drop("__lane")
 
     def lanes(self, df: DataFrame, name: str) -> DataFrame:
         """All rows, with the number of lanes their group's rows fill; NULL where it is not hot."""

@@ -237,3 +237,16 @@ def test_no_split_needs_no_first_pass(spark):
     df = copies(spark, 5)
     plan = sessionize(df, "user", "ts", GAP, split=NO_SPLIT)._jdf.queryExecution().executedPlan().toString()
     assert plan.count("Exchange") == 1
+
+
+def test_long_lists_of_hot_groups_are_not_broadcast(spark, monkeypatch):
+    from dayfold.functions import hot
+
+    monkeypatch.setattr(hot, "MOST_BROADCAST", 10)
+    df = spark.range(600).selectExpr("id % 100 AS k", "id")
+    groups = hot.HotGroups(df, ["k"], HotSplit(min_rows=3, rows_per_cell=2))
+    totals = df.groupBy("k").agg(F.count("*").alias("n"))
+    for out in (groups.only(df), groups.rest(df), groups.lanes(df, "lane"), groups.with_totals(df, totals, "k")):
+        out.collect()
+        assert "Broadcast" not in out._jdf.queryExecution().executedPlan().toString()
+    assert groups.only(df).count() == 600 and groups.rest(df).isEmpty()
