@@ -66,13 +66,24 @@ class Index:
         """Starts (id, phrase, start) where ``needed`` of the lists of ``listed`` are at most ``slop`` words off.
 
         ``listed`` has (phrase, term, offset, rank, needed). A posting stands for the starts around it; those of
-        one start are merged in map tasks, as bits of the ranks that are met.
+        one start are merged as bits of the ranks that are met.
         """
-        moved = self.postings.join(listed, "term")
-        start = F.col("position") - F.col("offset")
-        around = moved.select("id", "phrase", "rank", "needed", F.explode(F.sequence(start - slop, start + slop)).alias("start"))
-        bit = F.expr("shiftleft(1L, rank - 1)")
-        met = around.groupBy("id", "phrase", "start").agg(F.bit_or(bit).alias("met"), F.max("needed").alias("needed"))
+        bit = F.expr("shiftleft(1L, rank - 1)").alias("bit")
+        moved = self.postings.join(listed, "term").select(
+            "id", "phrase", "needed", (F.col("position") - F.col("offset")).alias("start"), bit
+        )
+        # Most texts have too few of a phrase's terms anywhere; their starts need not be multiplied.
+        anywhere = moved.groupBy("id", "phrase").agg(
+            F.bit_or("bit").alias("met"), F.max("needed").alias("needed"), F.collect_list(F.struct("start", "bit")).alias("own")
+        )
+        around = (
+            anywhere.where(F.bit_count("met") >= F.col("needed"))
+            .select("id", "phrase", "needed", F.explode("own").alias("own"))
+            .select(
+                "id", "phrase", "needed", "own.bit", F.explode(F.sequence(F.col("own.start") - slop, F.col("own.start") + slop)).alias("start")
+            )
+        )
+        met = around.groupBy("id", "phrase", "start").agg(F.bit_or("bit").alias("met"), F.max("needed").alias("needed"))
         return met.where(F.bit_count("met") >= F.col("needed")).select("id", "phrase", "start")
 
 
@@ -323,17 +334,19 @@ def find_near_passages(
         enough = F.filter(met, lambda m: m["met"] >= F.ceil(F.round(F.size(c["window"]) * F.lit(share), 6)))
         return F.struct(c["phrase"].alias("phrase"), c["window"].alias("window"), enough.alias("met"))
 
-    # The number of words keeps the array a column of its own, made once for all the lookups.
-    found = (
-        texts.join(candidates, "row")
-        .select("id", "row", words_column(F.col("text")).alias("words"), "candidates")
-        .select("id", "row", F.size("words").alias("n_words"), F.transform("candidates", looked_up).alias("found"))
-        .where("n_words > 0")
-        .select("id", "row", F.explode("found").alias("f"))
-        .where(F.size("f.met") > 0)
-        .select("id", "row", "f.phrase", "f.window", F.array_max("f.met.met").alias("met"), F.array_min("f.met.start").alias("start"))
+    # Written, as Spark would else put the splitting of the text into the lambdas, and do it anew for every word looked up.
+    texts = scratch.write(
+        texts.join(candidates, "row").select("id", "row", words_column(F.col("text")).alias("words"), "candidates")
+    )
+    scratch.drop(candidates)
+    met = F.filter(F.transform("candidates", looked_up), lambda f: F.size(f["met"]) > 0)
+    # And so is what was found, as the array would be made again to leave out empty ones.
+    found = scratch.write(texts.select("id", "row", met.alias("found")))
+    scratch.drop(texts)
+    found = found.select("id", "row", F.explode("found").alias("f")).select(
+        "id", "row", "f.phrase", "f.window", F.array_max("f.met.met").alias("met"), F.array_min("f.met.start").alias("start")
     )
-    named = scratch.write(found).join(phrases.items, ["phrase", "window"])
+    named = found.join(phrases.items, ["phrase", "window"])
     return (
         named.groupBy("row", "id", "item")
         .agg(

@@ -129,3 +129,23 @@ def test_proximity_of_changed_words(spark, none):
     assert find_near_passages(none, bench).collect() == find_near_passages(docs, bench.where("false")).collect() == []
     with pytest.raises(ValueError):
         find_near_passages(docs, bench, share=0)
+
+
+def test_near_passages_split_each_text_once(spark, monkeypatch):
+    """Not in the lambdas that look words up, where it would be done for every word."""
+    from dayfold.llm.tables import Scratch
+
+    plans, write = [], Scratch.write
+
+    def watched(self, df):
+        plans.append(df._jdf.queryExecution().optimizedPlan().toString())
+        return write(self, df)
+
+    monkeypatch.setattr(Scratch, "write", watched)
+    docs = spark.createDataFrame([(1, "x " * 30 + " ".join(f"w{n}" for n in range(12)))], "doc_id bigint, text string")
+    items = spark.createDataFrame([(7, " ".join(f"w{n}" for n in range(10)))], "item_id bigint, text string")
+    out = find_near_passages(docs, items)
+    plans.append(out._jdf.queryExecution().optimizedPlan().toString())
+    assert [tuple(r) for r in out.collect()] == [(1, 7, 10, 1, 10, 28)]
+    lookups = [p for p in plans if "array_contains" in p]
+    assert lookups and not any("split(" in p for p in lookups)
