@@ -4,12 +4,11 @@ from __future__ import annotations
 
 import html as entities
 import re
-from bisect import bisect_left
-from collections import Counter
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 from dataclasses import dataclass, field
 from functools import lru_cache
 
+import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
@@ -242,44 +241,98 @@ def read_skeleton(text: str) -> Skeleton:
     return stack[0][1][0] if stack[0][1] else ("", ())
 
 
-# Steps of one alignment of siblings.
+# Steps of one alignment of siblings that keeps its whole table; longer rows are halved.
 MOST_CELLS = 250_000
 
 
-def anchors(xs: tuple, ys: tuple) -> list[tuple[int, int]]:
-    """Places of the children that occur once on each side, in their longest common order."""
-    once = [{x: n for n, x in enumerate(side) if counts[x] == 1} for side in (xs, ys) for counts in [Counter(side)]]
-    both = [(once[0][x], once[1][x]) for x in once[0] if x in once[1]]
-    # The longest rising run of the second places, by patience.
-    tops: list[int] = []
-    piles: list[tuple[tuple[int, int], int]] = []
-    heads: list[int] = []
-    for m, n in both:
-        pile = bisect_left(tops, n)
-        before = heads[pile - 1] if pile else -1
-        piles.append(((m, n), before))
-        if pile == len(tops):
-            tops.append(n)
-            heads.append(len(piles) - 1)
-        else:
-            tops[pile], heads[pile] = n, len(piles) - 1
-    out, at = [], heads[-1] if heads else -1
-    while at >= 0:
-        place, at = piles[at]
-        out.append(place)
-    return out[::-1]
+def align_rows(xs: tuple, ys: tuple, size: Callable[[Skeleton, Skeleton], int]) -> tuple[int, tuple[tuple[int, int], ...]]:
+    """The best match of two long rows of siblings, and the pairs of places in it, in memory for a few rows only.
+
+    Equal ends are matched at once, which is never worse. What is left is halved (Hirschberg): the one row in its middle, the
+    other at the best place, by the sums of the best matches before and after; and each half likewise.
+    """
+    by_label: dict[str, dict[Skeleton, list[int]]] = {}
+    for n, y in enumerate(ys):
+        by_label.setdefault(y[0], {}).setdefault(y, []).append(n)
+    labelled = {label: [(y, np.array(own)) for y, own in kinds.items()] for label, kinds in by_label.items()}
+    # Only siblings of a label that both rows have can match.
+    kept = [n for n, x in enumerate(xs) if x[0] in labelled]
+
+    ids: dict[Skeleton, int] = {}
+    kinds = [ids.setdefault(x, len(ids)) for x in xs]
+    known: dict[int, tuple[np.ndarray, np.ndarray]] = {}
+    held = 0
+
+    def sizes(row: int) -> tuple[np.ndarray, np.ndarray]:
+        """Places of the second row that match one of the first, rising, and the sizes of the matches."""
+        nonlocal held
+        if kinds[row] in known:
+            return known[kinds[row]]
+        x = xs[row]
+        places = np.concatenate([own for _, own in labelled[x[0]]])
+        values = np.concatenate([np.full(len(own), size(x, y), dtype="int64") for y, own in labelled[x[0]]])
+        order = np.argsort(places)
+        found = places[order], values[order]
+        # Kept within some memory, and else made again.
+        if held + len(places) <= 16 * MOST_CELLS:
+            held += len(places)
+            known[kinds[row]] = found
+        return found
+
+    def totals(rows: list[int], first: int, last: int, backwards: bool) -> np.ndarray:
+        """Best matches of ``rows`` with each number of siblings from one end of first..last of the second row."""
+        best = np.zeros(last - first + 1, dtype="int64")
+        for row in reversed(rows) if backwards else rows:
+            places, values = sizes(row)
+            some = slice(*places.searchsorted((first, last)))
+            places, values = places[some] - first, values[some]
+            if backwards:
+                places, values = last - first - 1 - places[::-1], values[::-1]
+            if len(places) > 4:
+                best[places + 1] = np.maximum(best[places + 1], best[places] + values)
+                np.maximum.accumulate(best, out=best)
+                continue
+            # The last place first, as each raises what is behind it.
+            for place, value in zip(places[::-1].tolist(), values[::-1].tolist()):
+                total = best[place] + value
+                best[place + 1 : max(best.searchsorted(total), place + 1)] = total
+        return best
+
+    pairs: list[tuple[int, int]] = []
+    todo = [(0, len(kept), 0, len(ys))]
+    while todo:
+        top, bottom, first, last = todo.pop()
+        while top < bottom and first < last and xs[kept[top]] == ys[first]:
+            pairs.append((kept[top], first))
+            top, first = top + 1, first + 1
+        while top < bottom and first < last and xs[kept[bottom - 1]] == ys[last - 1]:
+            bottom, last = bottom - 1, last - 1
+            pairs.append((kept[bottom], last))
+        if top == bottom or first == last:
+            continue
+        if bottom - top == 1:
+            places, values = sizes(kept[top])
+            some = slice(*places.searchsorted((first, last)))
+            if len(places[some]):
+                pairs.append((kept[top], int(places[some][np.argmax(values[some])])))
+            continue
+        middle = (top + bottom) // 2
+        before = totals(kept[top:middle], first, last, False)
+        after = totals(kept[middle:bottom], first, last, True)[::-1]
+        cut = first + int(np.argmax(before + after))
+        todo += [(top, middle, first, cut), (middle, bottom, cut, last)]
+    return sum(size(xs[m], ys[n]) for m, n in pairs), tuple(sorted(pairs))
 
 
 def tree_match(a: Skeleton, b: Skeleton) -> tuple[int, list[tuple[tuple[int, ...], tuple[int, ...]]]]:
     """Simple tree matching: the size of the largest order-keeping match and its pairs of paths.
 
     Roots match if their labels are equal; the children of matched nodes are aligned by
-    dynamic programming over the sizes of their own matches. Where both have so many children that this
-    would take more than ``MOST_CELLS`` steps, those that occur once on each side and are equal are matched in their
-    longest common order first, and the gaps between them after; a gap as large stays unmatched.
+    dynamic programming over the sizes of their own matches. Where both have so many children that its table
+    would have more than ``MOST_CELLS`` cells, the same is done by halves (:func:`align_rows`).
     """
 
-    @lru_cache(maxsize=None)
+    @lru_cache(maxsize=1_000_000)
     def size(x: Skeleton, y: Skeleton) -> int:
         return 0 if x[0] != y[0] else 1 + aligned(x[1], y[1])[0]
 
@@ -287,17 +340,7 @@ def tree_match(a: Skeleton, b: Skeleton) -> tuple[int, list[tuple[tuple[int, ...
     def aligned(xs: tuple, ys: tuple) -> tuple[int, tuple[tuple[int, int], ...]]:
         """The best match of two rows of siblings, and the pairs of places in it."""
         if len(xs) * len(ys) > MOST_CELLS:
-            total, places, i, j = 0, [], 0, 0
-            for m, n in [*anchors(xs, ys), (len(xs), len(ys))]:
-                if (m - i) * (n - j) <= MOST_CELLS:
-                    own, inner = aligned(xs[i:m], ys[j:n])
-                    total += own
-                    places += [(i + p, j + q) for p, q in inner]
-                if m < len(xs):
-                    total += size(xs[m], ys[n])
-                    places.append((m, n))
-                i, j = m + 1, n + 1
-            return total, tuple(places)
+            return align_rows(xs, ys, size)
         rows = [[0] * (len(ys) + 1)]
         for x in xs:
             above, row = rows[-1], [0]

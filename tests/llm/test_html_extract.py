@@ -189,3 +189,22 @@ def test_odd_rows(spark):
         key=str,
     )
     assert extract_pages(pages.where("false")).collect() == []
+
+
+@given(trees, trees)
+def test_long_rows_of_siblings_are_matched_whole(a, b):
+    """By halves as by the whole table."""
+    with pytest.MonkeyPatch.context() as patch:
+        patch.setattr("dayfold.llm.html_extract.MOST_CELLS", 0)
+        size, pairs = tree_match(a, b)
+    assert size == plain_match(a, b) == len(pairs) == len(set(pairs))
+    assert len({p for p, _ in pairs}) == len({q for _, q in pairs}) == size
+
+
+def test_long_rows_without_single_siblings_are_matched():
+    """No sibling occurs once, so nothing cuts the rows into shorter ones."""
+    kinds = ["div", "ul", "table", "dl"]
+    a = leaf("body", *[leaf(kinds[n * n % 7 % 4]) for n in range(700)], leaf("p"))
+    b = leaf("body", leaf("ul"), *[leaf(kinds[n * n % 7 % 4]) for n in range(700)])
+    size, pairs = tree_match(a, b)
+    assert size == len(pairs) == 701
