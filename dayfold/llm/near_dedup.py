@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import math
 from collections.abc import Iterator, Sequence
 
 import numpy as np
@@ -193,8 +194,8 @@ def near_dedup(
        its bucket and with those of the nodes that share the next key too, and the next two. Buckets are
        reduced in map tasks first. Distinct pairs are verified by alignment, and links joined to classes by rounds of
        smallest neighbours, which shrink the links left in each round.
-    4. Buckets whose nodes are not of one class by then are cut into blocks, and all pairs of nodes of different
-       classes are looked at, block against block (see :func:`unlike_pairs`). A round verifies the most alike pairs of each
+    4. Buckets whose nodes are not of one class by then are cut into bands of length and these into blocks, and all pairs of nodes
+       of different classes in the same or neighbouring bands are looked at, block against block (see :func:`unlike_pairs`). A round verifies the most alike pairs of each
        two classes of two blocks; while pairs are left, the next round takes more of those that
        are still of different classes. So every pair that shares a key is aligned, ruled out by its counts or of one
        class by other links.
@@ -341,10 +342,19 @@ def near_dedup(
 
 
 # Members of a block of a bucket, and pairs of two classes of two blocks in the first round.
-BLOCK = 256
+BLOCK = 1024
 FIRST_PAIRS = 4
 
 
+def length_band(n: Column, least: float) -> Column:
+    """A band of shingle numbers; texts similar to at least ``least`` are in the same band or in neighbouring ones.
+
+    Of two such texts the shorter has at least ``least`` times the shingles of the longer. Bands are a little wider
+    than that, so that rounding cannot move a text two bands on.
+    """
+    return F.floor(F.log(n.cast("double")) / F.lit(math.log((1 + 1e-6) / max(least, 1e-9))))
+
+
 def _open_pairs(
     nodes: DataFrame,
     classes: DataFrame,
@@ -354,34 +364,59 @@ def _open_pairs(
     least: float,
     scratch: Scratch,
 ) -> tuple[DataFrame | None, DataFrame | None]:
-    """Pairs (head, node) of different classes in the same bucket, and the buckets (bucket) where ``limit`` left out some.
+    """Pairs (head, node) of different classes in the same bucket, and the slots (bucket, slot) where ``limit`` left out some.
 
-    Only buckets in ``rest`` are looked at, if it is given. None stands for no pairs or no buckets.
+    Slot s of a bucket is for the pairs within length band s and those of band s and the next; no others can be
+    similar. Only slots in ``rest`` are looked at, if it is given. None stands for no pairs or no slots.
     """
     known = nodes.join(classes, "node", "left").select(
         "node", F.coalesce("class_id", "node").alias("class"), "n", "keys", "counts"
     )
     known = scratch.write(known)
-    members = known.select("node", "class", F.posexplode(F.transform(buckets, lambda b: b)).alias("sketch", "bucket"))
-    if rest is not None:
-        members = members.join(rest, "bucket", "left_semi")
-    mixed = members.groupBy("bucket").agg(
-        F.count(F.lit(1)).alias("size"), F.min("class").alias("low"), F.max("class").alias("high")
+    members = known.select(
+        "node",
+        "class",
+        length_band(F.col("n"), least).alias("band"),
+        F.posexplode(F.transform(buckets, lambda b: b)).alias("sketch", "bucket"),
+    )
+    # Most buckets are of one class and left out before their members are given slots.
+    several = members.groupBy("bucket").agg(F.min("class").alias("low"), F.max("class").alias("high"))
+    several = scratch.write(several.where("low < high").select("bucket"))
+    members = scratch.write(
+        members.join(several, "bucket").withColumn("slot", F.explode(F.array(F.col("band"), F.col("band") - 1)))
+    )
+    looked_at = members if rest is None else members.join(rest, ["bucket", "slot"], "left_semi")
+    own = F.col("band") == F.col("slot")
+    mixed = looked_at.groupBy("bucket", "slot").agg(
+        F.ceil(F.count_if(own) / BLOCK).alias("blocks"),
+        F.ceil(F.count_if(~own) / BLOCK).alias("upper"),
+        F.min("class").alias("low"),
+        F.max("class").alias("high"),
+    )
+    mixed = scratch.write(mixed.where("blocks > 0 AND low < high").drop("low", "high"))
+    placed = members.drop("class").join(mixed, ["bucket", "slot"])
+    # A salt for each bucket, so that no two nodes meet in one block everywhere. Blocks of the upper band are numbered
+    # behind the others, and meet only those.
+    salted = F.xxhash64("node", "bucket")
+    block = F.when(own, F.pmod(salted, "blocks")).otherwise(F.col("blocks") + F.pmod(salted, "upper"))
+    last = F.when(own, F.col("blocks") + F.col("upper") - 1).otherwise(F.col("blocks") - 1)
+    placed = placed.withColumn("block", block).withColumn("last", last)
+    # A node's sketches are fetched once for all its places.
+    places = scratch.write(
+        placed.groupBy("node").agg(F.collect_list(F.struct("bucket", "slot", "sketch", "block", "last")).alias("places"))
     )
-    mixed = scratch.write(mixed.where("low < high").select("bucket", F.ceil(F.col("size") / BLOCK).alias("blocks")))
-    members = members.drop("class").join(mixed, "bucket")
-    # A salt for each bucket, so that no two nodes meet in one block everywhere.
-    members = scratch.write(members.withColumn("block", F.pmod(F.xxhash64("node", "bucket"), "blocks")))
     # Blocks, not members, are repeated for every other block.
     one = (
-        members.join(known, "node")
-        .groupBy("bucket", "sketch", "blocks", "block")
-        .agg(F.collect_list(F.struct("node", "class", "n", "keys", "counts")).alias("own"))
-        .withColumn("other", F.explode(F.sequence(F.lit(0).cast("bigint"), F.col("blocks") - 1)))
+        places.join(known, "node")
+        .select(F.explode("places").alias("place"), F.struct("node", "class", "n", "keys", "counts").alias("own"))
+        .groupBy("place")
+        .agg(F.collect_list("own").alias("own"))
+        .select("place.*", "own")
+        .withColumn("other", F.explode(F.sequence(F.lit(0).cast("bigint"), "last")))
     )
     met = (
         one.groupBy(
-            "bucket", "sketch", F.least("block", "other").alias("low"), F.greatest("block", "other").alias("high")
+            "bucket", "slot", "sketch", F.least("block", "other").alias("low"), F.greatest("block", "other").alias("high")
         )
         .agg(F.collect_list("own").alias("sides"))
         # A block that has no members leaves its partner alone.
@@ -396,7 +431,8 @@ def _open_pairs(
 
     def compare(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for bucket, sketch, lists in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), batch.column(2)):
+            slots = zip(*[batch.column(i).to_pylist() for i in range(3)], batch.column(3))
+            for bucket, slot, sketch, lists in slots:
                 parts = [p.values for p in lists.values]
                 every = pa.concat_arrays([p.field("class") for p in parts])
                 codes = every.dictionary_encode().indices.to_numpy(zero_copy_only=False).astype("int64")
@@ -415,9 +451,10 @@ def _open_pairs(
                         parts[0].field("node").take(pa.array(a[taken])),
                         parts[-1].field("node").take(pa.array(b[taken])),
                         pa.array([bucket] * len(taken), pa.int64()),
+                        pa.array([slot] * len(taken), pa.int64()),
                         pa.array([len(taken) < len(a)] * len(taken), pa.bool_()),
                     ],
-                    names=["head", "node", "bucket", "more"],
+                    names=["head", "node", "bucket", "slot", "more"],
                 )
 
     schema = T.StructType(
@@ -425,12 +462,13 @@ def _open_pairs(
             T.StructField("head", T.LongType()),
             T.StructField("node", T.LongType()),
             T.StructField("bucket", T.LongType()),
+            T.StructField("slot", T.LongType()),
             T.StructField("more", T.BooleanType()),
         ]
     )
-    found = scratch.write(met.select("bucket", "sketch", "sides").mapInArrow(compare, schema))
-    scratch.drop(known, members, mixed)
-    rest = scratch.write(found.where("more").select("bucket").distinct())
+    found = scratch.write(met.select("bucket", "slot", "sketch", "sides").mapInArrow(compare, schema))
+    scratch.drop(known, several, members, places, mixed)
+    rest = scratch.write(found.where("more").select("bucket", "slot").distinct())
     pairs = found.select(F.least("head", "node").alias("head"), F.greatest("head", "node").alias("node"))
     some, more = not found.isEmpty(), not rest.isEmpty()
     return pairs.distinct() if some else None, rest if more else None

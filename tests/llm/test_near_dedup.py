@@ -4,13 +4,17 @@ from collections import defaultdict
 import numpy as np
 from hypothesis import given
 from hypothesis import strategies as st
+from pyspark.sql import functions as F
 
+from dayfold.llm import near_dedup as near_dedup_module
 from dayfold.llm.near_dedup import (
     aligned_similarity,
     components,
     near_dedup,
     order_minhash,
+    shingle_counts,
     shingle_hashes,
+    unlike_pairs,
     words_of,
 )
 from dayfold.llm.tables import Scratch
@@ -192,3 +196,50 @@ def test_members_unlike_both_ends(spark):
     got = near_dedup(spark.createDataFrame(rows, "doc_id bigint, text string")).collect()
     expected = aligned_classes(rows)
     assert [r for r in got if r.class_id != expected[r.doc_id]] == []
+
+
+def open_nodes(spark, texts):
+    """Nodes as the operator makes them, all in the same 14 buckets."""
+    shingles = [shingle_hashes(words_of(text), 5) for text in texts]
+    rows = [(n, list(range(14)), len(s), shingle_counts(s).tobytes()) for n, s in enumerate(shingles)]
+    nodes = spark.createDataFrame(rows, "node bigint, keys array<bigint>, n bigint, counts binary")
+    return nodes, spark.createDataFrame([], "node bigint, class_id bigint")
+
+
+class Counted(Scratch):
+    """A scratch folder that knows how many rows each table has."""
+
+    def write(self, df):
+        out = super().write(df)
+        self.rows = [*getattr(self, "rows", []), out.count()]
+        return out
+
+
+def test_sketches_are_fetched_once_a_node(spark):
+    """Members of many buckets that are all mixed: their sketches are joined by node, and far lengths do not meet."""
+    joined = []
+    for lengths in ([60] * 20, [40 * 2**n for n in range(8)]):
+        nodes, classes = open_nodes(spark, [prose(n, 900 + k) for k, n in enumerate(lengths)])
+        scratch = Counted(spark, "t")
+        assert near_dedup_module._open_pairs(nodes, classes, F.col("keys"), None, 4, 0.8, scratch) == (None, None)
+        # The tables: nodes, buckets, members by slot, slots, places, pairs and the slots left.
+        joined.append(scratch.rows[4])
+    assert joined == [20, 0]
+
+
+def test_open_pairs_over_bands_and_blocks(spark, monkeypatch):
+    """Every pair that lengths and counts allow is found, in whichever bands and blocks it is."""
+    monkeypatch.setattr(near_dedup_module, "BLOCK", 3)
+    text = prose(400, 950).split()
+    texts = [" ".join(text[: 60 + 9 * n]) for n in range(30)]
+    nodes, classes = open_nodes(spark, texts)
+    own = [r.asDict() for r in nodes.collect()]
+    pairs, rest = near_dedup_module._open_pairs(nodes, classes, F.col("keys"), None, 4, 0.8, Scratch(spark, "t"))
+    side = (
+        np.arange(30),
+        np.array([r["n"] for r in own]),
+        np.array([r["keys"] for r in own]),
+        np.array([list(r["counts"]) for r in own], dtype="uint8"),
+    )
+    a, b, _ = unlike_pairs(side, None, 0, 0.8)
+    assert len(a) and {tuple(r) for r in pairs.collect()} == set(zip(a.tolist(), b.tolist())) and rest is None
