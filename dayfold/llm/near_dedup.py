@@ -293,7 +293,7 @@ def near_dedup(
     def verified(pairs: DataFrame) -> DataFrame:
         wanted = pairs.select("node").unionAll(pairs.select(F.col("head").alias("node"))).distinct()
         wanted = scratch.write(wanted.join(nodes, "node").select("node", "id", "mark"))
-        found = given.select("id", "mark", "text").join(wanted, ["id", "mark"])
+        found = _marked(given.select("id", "mark", "text"), wanted).join(wanted, ["id", "mark"])
         texts = scratch.write(found.groupBy("node").agg(F.min("text").alias("text")))
         links = scratch.write(_verified(pairs, texts, size, least))
         scratch.drop(texts, wanted)
@@ -474,6 +474,32 @@ def _open_pairs(
     return pairs.distinct() if some else None, rest if more else None
 
 
+# Bits of the map of wanted marks: so many for each, and at most.
+BITS_EACH = 64
+MOST_BITS = 1 << 28
+
+
+def _marked(texts: DataFrame, wanted: DataFrame) -> DataFrame:
+    """The rows of ``texts`` whose ``mark`` may be in ``wanted``: all that are, and about one in ``BITS_EACH`` of the others.
+
+    Where ``wanted`` is too long to be broadcast, its join would shuffle every text. A map with a bit for each
+    residue of the marks has ``MOST_BITS`` / 8 bytes at most, so it is always broadcast; the exact join follows.
+    """
+    bits = min(max(BITS_EACH * wanted.count(), 1 << 15), MOST_BITS)
+    bit = F.pmod("mark", F.lit(bits))
+    maps = wanted.groupBy(F.bitmap_bucket_number(bit).alias("__map")).agg(
+        F.bitmap_construct_agg(F.bitmap_bit_position(bit)).alias("__bits")
+    )
+    place = F.bitmap_bit_position(bit)
+    byte = F.conv(F.hex(F.substring("__bits", F.floor(place / 8).cast("int") + 1, F.lit(1))), 16, 10).cast("int")
+    return (
+        texts.withColumn("__map", F.bitmap_bucket_number(bit))
+        .join(F.broadcast(maps), "__map")
+        .where(F.getbit(byte, (place % 8).cast("int")) == 1)
+        .select(texts.columns)
+    )
+
+
 def _verified(pairs: DataFrame, texts: DataFrame, size: int, least: float) -> DataFrame:
     """The pairs whose texts are similar, as links (a, b)."""
     left = pairs.join(texts.withColumnRenamed("text", "x"), "node")

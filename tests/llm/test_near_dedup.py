@@ -243,3 +243,15 @@ def test_open_pairs_over_bands_and_blocks(spark, monkeypatch):
     )
     a, b, _ = unlike_pairs(side, None, 0, 0.8)
     assert len(a) and {tuple(r) for r in pairs.collect()} == set(zip(a.tolist(), b.tolist())) and rest is None
+
+
+def test_only_wanted_texts_are_shuffled(spark):
+    """The map of marks keeps every wanted text and few others."""
+    marked = near_dedup_module._marked
+    texts = spark.range(20_000).select("id", F.xxhash64("id").alias("mark"), F.lit("t").alias("text"))
+    wanted = texts.where("id % 40 = 3").select(F.col("id").alias("node"), "id", "mark")
+    left = marked(texts, wanted)
+    assert left.columns == texts.columns
+    assert left.join(wanted, ["id", "mark"]).count() == wanted.count() == 500
+    assert left.count() < 1500
+    assert marked(texts, wanted.where("false")).count() == 0
