@@ -313,7 +313,7 @@ def near_dedup(
         if rest is None:
             break
         limit *= 8
-    links = scratch.write(links.distinct())
+    links = scratch.write(links.distinct(), links.count())
 
     counted = links.select("a").unionAll(links.select(F.col("b").alias("a"))).groupBy("a").agg(
         F.count(F.lit(1)).alias("links")
@@ -326,12 +326,14 @@ def near_dedup(
         F.coalesce("class_id", "node").alias("class"),
         F.coalesce("links", F.lit(0)).cast("bigint").alias("links"),
     )
-    labels = scratch.write(labels)
-    firsts = scratch.write(labels.groupBy("class").agg(F.min(F.struct("id", "node")).alias("first")))
+    number = nodes.count()
+    labels = scratch.write(labels, number)
+    firsts = scratch.write(labels.groupBy("class").agg(F.min(F.struct("id", "node")).alias("first")), number)
     labels = scratch.write(
         labels.join(firsts, "class").select(
             "same", F.col("first.id").alias("class_id"), "links", F.col("first.node").alias("kept_tag")
-        )
+        ),
+        number,
     )
     out = sketched.drop("keys", "n", "counts").join(labels, "same")
     out = out.select("id", "class_id", "links", (F.col("tag") == F.col("kept_tag")).alias("keep"), *carried)
@@ -468,10 +470,10 @@ def _open_pairs(
     )
     found = scratch.write(met.select("bucket", "slot", "sketch", "sides").mapInArrow(compare, schema))
     scratch.drop(known, several, members, places, mixed)
-    rest = scratch.write(found.where("more").select("bucket", "slot").distinct())
+    number = found.count()
+    rest = scratch.write(found.where("more").select("bucket", "slot").distinct(), number)
     pairs = found.select(F.least("head", "node").alias("head"), F.greatest("head", "node").alias("node"))
-    some, more = not found.isEmpty(), not rest.isEmpty()
-    return pairs.distinct() if some else None, rest if more else None
+    return pairs.distinct() if number else None, None if rest.isEmpty() else rest
 
 
 # Bits of the map of wanted marks: so many for each, and at most.
@@ -524,26 +526,33 @@ def components(links: DataFrame, scratch: Scratch) -> DataFrame:
     edges = scratch.write(
         links.where("a != b").select(F.greatest("a", "b").alias("u"), F.least("a", "b").alias("v")).distinct()
     )
-    state = _fingerprint(edges)
     while True:
+        number, settled = _stars(edges)
+        if settled:
+            break
+        # No table of a round has more rows than both ends of its edges.
+        most = 2 * number
         both = edges.unionByName(edges.select(F.col("v").alias("u"), F.col("u").alias("v")))
         # Written, so that AQE can split the join at a node with very many neighbours.
-        least = scratch.write(both.groupBy("u").agg(F.least(F.min("v"), F.col("u")).alias("m")))
+        least = scratch.write(both.groupBy("u").agg(F.least(F.min("v"), F.col("u")).alias("m")), most)
         large = scratch.write(
-            both.join(least, "u").where("v > u").select(F.col("v").alias("u"), F.col("m").alias("v")).distinct()
+            both.join(least, "u").where("v > u").select(F.col("v").alias("u"), F.col("m").alias("v")).distinct(), most
         )
-        least_small = scratch.write(large.groupBy("u").agg(F.min("v").alias("m")))
+        least_small = scratch.write(large.groupBy("u").agg(F.min("v").alias("m")), most)
         small = large.join(least_small, "u").select(F.col("v").alias("u"), F.col("m").alias("v")).where("u != v")
-        following = scratch.write(small.unionByName(least_small.select("u", F.col("m").alias("v"))).distinct())
+        following = small.unionByName(least_small.select("u", F.col("m").alias("v"))).distinct()
+        following = scratch.write(following, most)
         scratch.drop(edges, large, least, least_small)
-        edges, before = following, state
-        state = _fingerprint(edges)
-        if state == before:
-            break
+        edges = following
     # Every node but the smallest of a component is now tied to that one alone.
     return edges.select(F.col("u").alias("node"), F.col("v").alias("class_id"))
 
 
-def _fingerprint(edges: DataFrame) -> tuple:
-    """Two numbers by which sets of edges are told apart."""
-    return tuple(edges.agg(F.count(F.lit(1)), F.bit_xor(F.xxhash64("u", "v"))).first())
+def _stars(edges: DataFrame) -> tuple[int, bool]:
+    """The number of ``edges`` (u, v), and whether each u has one edge and no v is a u: then no round changes them."""
+    ends = edges.select("u", F.lit(1).alias("up"), F.lit(0).alias("down")).unionByName(
+        edges.select(F.col("v").alias("u"), F.lit(0).alias("up"), F.lit(1).alias("down"))
+    )
+    of_node = ends.groupBy("u").agg(F.sum("up").alias("up"), F.max("down").alias("down"))
+    number, torn = of_node.agg(F.coalesce(F.sum("up"), F.lit(0)), F.count_if(F.expr("up > 1 OR up + down > 1"))).first()
+    return number, torn == 0

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import math
 from collections.abc import Iterable
 
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -24,6 +25,10 @@ def read(spark: SparkSession, folder: str, name: str) -> DataFrame:
     return spark.read.schema(SCHEMAS[name]).parquet(f"{folder}/{name}.parquet")
 
 
+# Rows of a file of a table that is known to be short. Only narrow tables are written so.
+FILE_ROWS = 1 << 14
+
+
 class Scratch:
     """Tables that an operator writes to the shared folder while it runs.
 
@@ -36,7 +41,10 @@ class Scratch:
         self.base = work_folder(spark, name)
         self.made = 0
 
-    def write(self, df: DataFrame) -> DataFrame:
+    def write(self, df: DataFrame, most: int | None = None) -> DataFrame:
+        """``df`` as a table; of at most ``most`` rows, if that is known, so that a short one is not cut into very many files."""
+        if most is not None:
+            df = df.coalesce(max(1, math.ceil(most / FILE_ROWS)))
         self.made += 1
         path = f"{self.base}/{self.made}"
         df.write.option("compression", "zstd").parquet(path)

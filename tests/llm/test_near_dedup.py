@@ -156,6 +156,20 @@ def test_components(spark):
     assert {n: got.get(n, n) for n in parent} == {n: top(n) for n in parent}
 
 
+def test_components_stop_at_stars(spark):
+    """Links that are stars need no round, and rounds on few links write few files, whatever the number of partitions."""
+    scratch = Scratch(spark, "t")
+    links = spark.createDataFrame([(1, n) for n in range(2, 9)] + [(20, 10), (30, 10), (7, 7)], "a bigint, b bigint")
+    got = {r.node: r.class_id for r in components(links, scratch).collect()}
+    assert got == {n: 1 for n in range(2, 9)} | {20: 10, 30: 10} and scratch.made == 1
+    assert components(links.where("false"), Scratch(spark, "t")).collect() == []
+    # Two edges of one node, and a node that is both ends, are no stars.
+    for edges in ([(3, 1), (3, 2)], [(2, 1), (3, 2)]):
+        found = components(spark.createDataFrame(edges, "a bigint, b bigint"), Scratch(spark, "t"))
+        assert {r.node: r.class_id for r in found.collect()} == {2: 1, 3: 1}
+        assert len(found.inputFiles()) == 1
+
+
 def aligned_classes(rows, least=0.8):
     """Classes by aligning all pairs of texts whose ids are less than 1000 apart."""
     shingles = {doc_id: shingle_hashes(words_of(text), 5).tolist() for doc_id, text in rows}
