@@ -226,3 +226,23 @@ def test_reconcile_uses_hash_aggregates(spark):
 
     df = spark.range(5).selectExpr("id", "id AS x", "'t' AS y")
     assert "SortAggregate" not in plan_of(reconcile(df, df, ["id"]))
+
+
+def test_merged_partitions_stay_small(spark):
+    """AQE merges shuffle partitions to a few megabytes a task, as sorts and hash maps take many times that."""
+    given = {
+        "spark.sql.shuffle.partitions": "64",
+        # Merge as far as the size allows, whatever the number of cores.
+        "spark.sql.adaptive.coalescePartitions.parallelismFirst": "false",
+    }
+    before = {name: spark.conf.get(name) for name in given}
+    try:
+        for name, value in given.items():
+            spark.conf.set(name, value)
+        rows = spark.range(2_000_000).select(F.xxhash64("id").alias("k"), F.xxhash64("id", F.lit(1)).alias("v"))
+        tasks = rows.groupBy("k").agg(F.max("v").alias("v")).select(F.spark_partition_id().alias("task"), "v")
+        counts = [n for _, n in tasks.where("v IS NOT NULL").groupBy("task").agg(F.count("v")).collect()]
+    finally:
+        for name, value in before.items():
+            spark.conf.set(name, value)
+    assert sum(counts) == 2_000_000 and max(counts) < 600_000
