@@ -228,21 +228,36 @@ def test_reconcile_uses_hash_aggregates(spark):
     assert "SortAggregate" not in plan_of(reconcile(df, df, ["id"]))
 
 
-def test_merged_partitions_stay_small(spark):
-    """AQE merges shuffle partitions to a few megabytes a task, as sorts and hash maps take many times that."""
-    given = {
-        "spark.sql.shuffle.partitions": "64",
-        # Merge as far as the size allows, whatever the number of cores.
-        "spark.sql.adaptive.coalescePartitions.parallelismFirst": "false",
-    }
+@pytest.fixture
+def merged(spark):
+    """Many shuffle partitions, which AQE merges as far as the size allows, whatever the number of cores."""
+    given = {"spark.sql.shuffle.partitions": "64", "spark.sql.adaptive.coalescePartitions.parallelismFirst": "false"}
     before = {name: spark.conf.get(name) for name in given}
-    try:
-        for name, value in given.items():
-            spark.conf.set(name, value)
-        rows = spark.range(2_000_000).select(F.xxhash64("id").alias("k"), F.xxhash64("id", F.lit(1)).alias("v"))
-        tasks = rows.groupBy("k").agg(F.max("v").alias("v")).select(F.spark_partition_id().alias("task"), "v")
-        counts = [n for _, n in tasks.where("v IS NOT NULL").groupBy("task").agg(F.count("v")).collect()]
-    finally:
-        for name, value in before.items():
-            spark.conf.set(name, value)
+    for name, value in given.items():
+        spark.conf.set(name, value)
+    yield
+    for name, value in before.items():
+        spark.conf.set(name, value)
+
+
+def rows_by_task(df, column):
+    tasks = df.select(F.spark_partition_id().alias("task"), column)
+    return [n for _, n in tasks.groupBy("task").agg(F.count(column)).collect()]
+
+
+def test_merged_partitions_stay_small(spark, merged):
+    """AQE merges shuffle partitions to a few megabytes a task, as sorts and hash maps take many times that."""
+    rows = spark.range(2_000_000).select(F.xxhash64("id").alias("k"), F.xxhash64("id", F.lit(1)).alias("v"))
+    counts = rows_by_task(rows.groupBy("k").agg(F.max("v").alias("v")), "v")
     assert sum(counts) == 2_000_000 and max(counts) < 600_000
+
+
+def test_lookup_tasks_stay_small(spark, merged):
+    """The join of facts with a large history is dealt over tasks of a few megabytes each."""
+    rows = spark.range(1_000_000).select(
+        F.xxhash64("id").alias("k"), F.xxhash64("id", F.lit(1)).alias("v"), F.timestamp_seconds("id").alias("ts")
+    )
+    history = rows.select("k", "v", F.lit(0).cast("timestamp").alias("valid_from"), F.lit(9e9).cast("timestamp").alias("valid_to"))
+    found = scd2_lookup(rows.drop("v"), history, {"k": "k"}, "ts", {"v": "v"}, small=False)
+    counts = rows_by_task(found, "v")
+    assert sum(counts) == 1_000_000 and max(counts) < 500_000
